@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import packing
+from tallyforge.llm import exact_dedup, packing
 
+#: oracle SQL by query name
+SQL: dict[str, str] = {}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,9 +23,26 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(_table(spark, sf_dir, "documents"))
+
+
+SQL["op5_exact_dedup"] = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256(regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', '', 'g')) AS text_sha256
+  FROM documents
+), g AS (
+  SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id) AS keep_id
+  FROM t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
