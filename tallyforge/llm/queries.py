@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import exact_dedup, packing
+from tallyforge.llm import exact_dedup, minhash, packing
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -40,6 +40,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.NearDuplicates(words=3, percent=85)(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
