@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, app: str = "tallyforge") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TALLYFORGE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
