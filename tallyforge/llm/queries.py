@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import exact_dedup, minhash, packing
+from tallyforge.llm import decontamination, exact_dedup, language, minhash, packing
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -44,6 +44,37 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.NearDuplicates(words=3, percent=85)(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+SQL["op7_decontamination"] = """
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') FROM benchmark
+), spot AS (
+  SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0
+), s AS (
+  SELECT DISTINCT kind, id, array_to_string(w[k:k + 4], ' ') AS g FROM spot
+), n AS (
+  SELECT id AS item_id, count(*) AS n_item_shingles FROM s WHERE kind = 'i' GROUP BY id
+), both AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM s d JOIN s i ON d.g = i.g WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
+)
+SELECT doc_id, item_id, n_item_shingles, n_shared, n_shared / n_item_shingles::DOUBLE AS containment
+FROM both JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_item_shingles
+"""
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out("doc_id")))
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", F.to_json("languages").alias("languages"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
