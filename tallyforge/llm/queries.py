@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, exact_dedup, language, minhash, packing
+from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -59,12 +59,12 @@ WITH words AS (
   SELECT DISTINCT kind, id, array_to_string(w[k:k + 4], ' ') AS g FROM spot
 ), n AS (
   SELECT id AS item_id, count(*) AS n_item_shingles FROM s WHERE kind = 'i' GROUP BY id
-), both AS (
+), hits AS (
   SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
   FROM s d JOIN s i ON d.g = i.g WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
 )
 SELECT doc_id, item_id, n_item_shingles, n_shared, n_shared / n_item_shingles::DOUBLE AS containment
-FROM both JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_item_shingles
+FROM hits JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_item_shingles
 """
 
 
@@ -75,6 +75,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", F.to_json("languages").alias("languages"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
