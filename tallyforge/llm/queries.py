@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing
+from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing, warc
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -79,6 +79,24 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op2_warc"] = """
+WITH t AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM t
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM g
+"""
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
