@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing, warc
+from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing, quality, separators, warc
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -97,6 +97,15 @@ FROM g
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separators.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

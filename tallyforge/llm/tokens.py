@@ -33,8 +33,9 @@ class Encoder:
     is checked). Every other text goes through tokenizers itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_is_text: bool = False):
         self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = special_is_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -64,5 +65,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, special_is_text: bool = False) -> Encoder:
+    """``special_is_text``: the strings of special tokens are ordinary text."""
+    return Encoder(path, special_is_text)
