@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing, quality, separators, warc
+from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing, quality, secrets, separators, warc
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -106,6 +106,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "finding", "candidate", "score", "is_secret")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
