@@ -258,3 +258,16 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha256")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of equal texts, all columns.
+
+    Of rows that repeat the id that stays and its text one is kept.
+    """
+    names = docs.columns
+    kept = stored(deduplicate(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct(), "dedup-kept")
+    key = F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANKS.decode(), ""), 256)
+    keyed = docs.withColumn("_row_sha", key)
+    same = keyed[id_col].cast("long").eqNullSafe(kept["_kept_id"]) & (keyed["_row_sha"] == kept["_kept_sha"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_row_sha"]).select(*names)

@@ -187,3 +187,19 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_predict(model), SCHEMA)
+
+
+def _keep(model: LanguageModel, text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = _predict(model)
+        for batch in batches:
+            rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch[text_at]], names=["doc_id", "text"])
+            known = [p != UNKNOWN for found in predict(iter([rows])) for p in found["lang_pred"].to_pylist()]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return run
+
+
+def identified(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
+    """The rows, all columns, whose language is not ``und``; nothing is shuffled."""
+    return docs.mapInArrow(_keep(model, docs.columns.index(text_col)), docs.schema)
