@@ -11,9 +11,10 @@ candidate edges shaped as a star around each bucket's hub:
    confirmed on the full shingle sets of both texts.
 3. A member that the hub does not confirm may still link with other members.
    Those members alone are compared on their bins' bytes with the rest of the
-   bucket, in blocks of bounded size; pairs of different components whose
-   estimate is within six deviations of the threshold are confirmed too: first
-   the two best of each member, then, for what is still apart, all others.
+   bucket, in blocks of bounded size and in the first band that a pair shares;
+   pairs of different components whose estimate is within five deviations of
+   the threshold are confirmed too: first the two best of each member, then,
+   for what is still apart, all others.
 4. Components of the confirmed links give the groups.
 """
 
@@ -33,6 +34,10 @@ from tallyforge.llm.storage import stored
 from tallyforge.llm.texthash import mix, shingles
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: bins of a signature; the bands take the first ``rows * bands`` of them
+BINS = 512
+#: deviations below the threshold at which an estimate is still confirmed
+DEVIATIONS = 5
 ROWS = "doc_id long, n_shingles long, set_key binary, bands array<long>, bins binary"
 
 
@@ -41,10 +46,6 @@ class Banding:
     rows: int
     bands: int
 
-    @property
-    def bins(self) -> int:
-        return self.rows * self.bands
-
 
 def banding(similarity: float, miss: float = 1e-7, most_bands: int = 32) -> Banding:
     """The most rows a band for which a pair at the threshold is missed at most with ``miss``."""
@@ -69,8 +70,8 @@ def densified(filled: np.ndarray) -> np.ndarray:
     return source
 
 
-def signature(hashes: np.ndarray, k: int) -> np.ndarray:
-    """One value per bin: the smallest hash that falls there, densified."""
+def signature(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """One value per bin, the smallest hash that falls there: densified, and as a byte that is 0 for an empty bin."""
     y = mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
     at = ((y >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
     value = mix(y) | np.uint64(1)
@@ -78,7 +79,8 @@ def signature(hashes: np.ndarray, k: int) -> np.ndarray:
     np.minimum.at(out, at, value)
     filled = np.zeros(k, bool)
     filled[at] = True
-    return out if filled.all() else out[densified(filled)]
+    byte = np.where(filled, 1 + (mix(out) >> np.uint64(32)) % np.uint64(255), 0).astype(np.uint8)
+    return out if filled.all() else out[densified(filled)], byte
 
 
 def sliced(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
@@ -115,10 +117,11 @@ def _signatures(words: int, band: Banding):
                     bins.append(None)
                     continue
                 keys.append(np.array([mix(s).sum(), mix(s ^ EMPTY).sum()], np.uint64).tobytes())
-                sig = signature(s, band.bins)
-                rows = sig.reshape(band.bands, band.rows)
-                bands.append(mix((rows * mult).sum(axis=1, dtype=np.uint64) + salt).view(np.int64))
-                bins.append((mix(sig) >> np.uint64(56)).astype(np.uint8).tobytes())
+                sig, byte = signature(s, BINS)
+                rows = sig[: band.bands * band.rows].reshape(band.bands, band.rows)
+                key = mix((rows * mult).sum(axis=1, dtype=np.uint64) + salt)
+                bands.append(key.view(np.int64))
+                bins.append(byte.tobytes() + (key >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bins, pa.binary())],
                 names=["doc_id", "n_shingles", "set_key", "bands", "bins"],
@@ -156,26 +159,41 @@ def _confirm(words: int, percent: int):
     return run
 
 
-def _compare(percent: int, bins: int, top: int | None):
+def least_estimate(s: float, n: np.ndarray) -> np.ndarray:
+    """The estimate that a pair of similarity ``s`` and smaller set ``n`` reaches but for DEVIATIONS.
+
+    The bins that are not empty sample the union without replacement.
+    """
+    sampled = BINS * -np.expm1(-n / BINS)
+    spread = s * (1 - s) / sampled * np.maximum(1 - sampled / (n / math.sqrt(s)), 0.1)
+    return s - DEVIATIONS * np.sqrt(spread)
+
+
+def _compare(percent: int, top: int | None):
     """Pairs worth confirming in each block of a bucket; rows come sorted by block.
 
-    Columns: block, id, n, component, bins, asks, answers. A pair has one row
-    that asks (a member its hub did not confirm) and one that answers.
+    Columns: block, id, n, component, bins, asks, answers, number (the band's).
+    A pair has one row that asks (a member its hub did not confirm) and one
+    that answers. It is made in the first band only that both share: there too
+    it has met its hub.
     """
     s = percent / 100
 
-    def pairs(ids, n, comp, sig, asks, answers) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(ids, n, comp, sig, asks, answers, number) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.ascontiguousarray(sig[:, BINS:]).view("<u4")[:, : number[0]]
+        sig = sig[:, :BINS]
         outs_a, outs_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         x = np.flatnonzero(answers)
         for r in np.flatnonzero(asks):
             ok = (comp[x] != comp[r]) & (np.minimum(n[x], n[r]) * 100 >= percent * np.maximum(n[x], n[r]))
             ok &= (ids[x] != ids[r]) & ~(asks[x] & answers[r] & (ids[x] < ids[r]))
             y = x[ok]
+            y = y[~(keys[y] == keys[r]).any(axis=1)]
             if not len(y):
                 continue
-            like = (sig[y] == sig[r]).mean(axis=1)
-            least = s - 6 * np.sqrt(s * (1 - s) * (1 / bins + 1 / np.minimum(n[y], n[r])))
-            y, like = y[like >= least], like[like >= least]
+            like = ((sig[y] == sig[r]) & (sig[r] > 0)).sum(axis=1) / ((sig[y] | sig[r]) > 0).sum(axis=1)
+            near = like >= least_estimate(s, np.minimum(n[y], n[r]))
+            y, like = y[near], like[near]
             if top is not None and len(y) > top:
                 y = y[np.argsort(-like, kind="stable")[:top]]
             outs_a.append(np.minimum(ids[y], ids[r]))
@@ -190,8 +208,9 @@ def _compare(percent: int, bins: int, top: int | None):
             ids, n, comp = (t[c].to_numpy() for c in ("id", "n", "component"))
             sig = np.frombuffer(b"".join(t["bins"].to_pylist()), np.uint8).reshape(len(ids), -1)
             asks, answers = (np.array(t[c].to_pylist(), bool) for c in ("asks", "answers"))
+            number = t["number"].to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
-            made = [pairs(ids[i:j], n[i:j], comp[i:j], sig[i:j], asks[i:j], answers[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
+            made = [pairs(ids[i:j], n[i:j], comp[i:j], sig[i:j], asks[i:j], answers[i:j], number[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([m[k] for m in made]), pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
@@ -223,8 +242,8 @@ class NearDuplicates:
         case. A text of fewer words than a shingle is one shingle; one without
         words (or null) has the empty set and links with nothing, not even with
         another empty one. Equal sets are linked. Repeated rows give repeated
-        result rows. Ids must not be null where a text has words. Other columns
-        are not read. An empty table gives no rows.
+        result rows. A row without id joins the group of an equal set only.
+        Other columns are not read. An empty table gives no rows.
         """
         source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         band = banding(self.percent / 100)
@@ -233,7 +252,7 @@ class NearDuplicates:
         first = rows.where("set_key is not null").join(sets.withColumnRenamed("id", "doc_id"), ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key"])
         reps = stored(first.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "bins"), "minhash-reps")
 
-        members = reps.select("id", "n", F.explode("bands").alias("band"))
+        members = reps.select("id", "n", F.posexplode("bands").alias("number", "band"))
         hubs = members.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
         hubs = stored(hubs.select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "size"), "minhash-hubs")
         inside = stored(members.join(hubs, "band").where("id <> hub"), "minhash-members")
@@ -246,7 +265,7 @@ class NearDuplicates:
         links = self._linked(star, texts)
         for top in (2, None):
             labels = components(links) if not links.isEmpty() else None
-            apart = self._apart(inside, reps, links, labels, band, top)
+            apart = self._apart(inside, reps, links, labels, top)
             if apart is None:
                 break
             links = stored(links.unionByName(self._linked(apart, texts)).distinct(), "minhash-links")
@@ -254,6 +273,12 @@ class NearDuplicates:
             labels = components(links) if not links.isEmpty() else None
         return self._result(rows, sets, labels)
 
+    def keep_one(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """The rows, all columns, of the smallest id of each group."""
+        kept = self(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+        kept = stored(kept, "minhash-kept")
+        return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
+
     @staticmethod
     def _texts(source: DataFrame, inside: DataFrame) -> DataFrame:
         ids = stored(inside.select(F.col("id").alias("doc_id")).union(inside.select("hub")).distinct(), "minhash-ids")
@@ -268,7 +293,7 @@ class NearDuplicates:
         confirmed = both.mapInArrow(_confirm(self.words, self.percent), "a long, b long, linked boolean")
         return stored(confirmed.where("linked").select("a", "b"), "minhash-linked")
 
-    def _apart(self, inside: DataFrame, reps: DataFrame, links: DataFrame, labels: DataFrame | None, band: Banding, top: int | None) -> DataFrame | None:
+    def _apart(self, inside: DataFrame, reps: DataFrame, links: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame | None:
         """Pairs of different components to confirm next; None if there are none."""
         confirmed = links.select(F.col("a").alias("hub"), F.col("b").alias("id"))
         rest = stored(inside.where("size > 2").join(confirmed, ["hub", "id"], "left_anti").select("band", "id"), "minhash-rest")
@@ -276,7 +301,7 @@ class NearDuplicates:
             return None
         buckets = stored(rest.select("band").distinct(), "minhash-open")
         here = inside.where("size > 2").join(buckets, "band", "left_semi")
-        here = here.join(rest.withColumn("asks", F.lit(True)), ["band", "id"], "left").select("band", "id", "n", "size", F.coalesce("asks", F.lit(False)).alias("asks"))
+        here = here.join(rest.withColumn("asks", F.lit(True)), ["band", "id"], "left").select("band", "number", "id", "n", "size", F.coalesce("asks", F.lit(False)).alias("asks"))
         here = here.join(reps.select("id", "bins"), "id")
         if labels is not None:
             here = here.join(labels.withColumnRenamed("vertex", "id"), "id", "left")
@@ -286,13 +311,13 @@ class NearDuplicates:
         blocks = F.ceil(F.col("size") / self.block).cast("int")
         mine = F.pmod(F.xxhash64("id"), blocks)
         every = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-        columns = ["id", "n", "component", "bins"]
+        columns = ["id", "n", "component", "bins", "number"]
         one = here.where(blocks == 1).select(F.col("band").alias("block"), *columns, "asks", F.lit(True).alias("answers"))
         many = here.where(blocks > 1).withColumn("mine", mine)
         ask = many.where("asks").select("band", *columns, "mine", every).select(F.xxhash64("band", "mine", "other").alias("block"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("answers"))
         answer = many.select("band", *columns, "mine", every).select(F.xxhash64("band", "other", "mine").alias("block"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("answers"))
         dealt = one.unionByName(ask).unionByName(answer).repartition("block").sortWithinPartitions("block")
-        pairs = stored(dealt.mapInArrow(_compare(self.percent, band.bins, top), "a long, b long").distinct(), "minhash-apart")
+        pairs = stored(dealt.mapInArrow(_compare(self.percent, top), "a long, b long").distinct(), "minhash-apart")
         return None if pairs.isEmpty() else pairs
 
     @staticmethod
