@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SOFT_HYPHEN = "­"
 
@@ -58,7 +59,7 @@ def is_better(new: Column, old: Column) -> Column:
     return F.length(strip(F.coalesce(new, F.lit("")))) > F.length(strip(F.coalesce(old, F.lit(""))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def compatible(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """NFKC, which no built-in function gives."""
     for s in parts:
@@ -84,7 +85,8 @@ def file_name(url: Column, default: str = "file") -> Column:
 
 def looks_like_html(content_type: Column, path: Column) -> Column:
     """F17."""
-    return F.coalesce(F.contains(F.lower(content_type), F.lit("html")), F.lit(False)) | F.lower(path).rlike(r"\.(?:html?|aspx)$")
+    named = F.contains(F.lower(content_type), F.lit("text/html")) | F.contains(F.lower(content_type), F.lit("application/xhtml"))
+    return F.coalesce(named, F.lit(False)) | F.coalesce(F.lower(path).rlike(r"\.html?$"), F.lit(False))
 
 
 def unsafe_member(path: Column) -> Column:
