@@ -209,7 +209,7 @@ def _compare(percent: int, top: int | None):
             sig = np.frombuffer(b"".join(t["bins"].to_pylist()), np.uint8).reshape(len(ids), -1)
             asks, answers = (np.array(t[c].to_pylist(), bool) for c in ("asks", "answers"))
             number = t["number"].to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+            edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), len(block)]
             made = [pairs(ids[i:j], n[i:j], comp[i:j], sig[i:j], asks[i:j], answers[i:j], number[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([m[k] for m in made]), pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -217,7 +217,7 @@ def _compare(percent: int, top: int | None):
             t = pa.Table.from_batches([batch])
             held = t if held is None else pa.concat_tables([held, t])
             block = held["block"].to_numpy()
-            whole = int(np.searchsorted(block, block[-1])) if (np.diff(block) >= 0).all() else 0
+            whole = int(np.searchsorted(block, block[-1]))
             if whole:
                 yield found(held.slice(0, whole))
                 held = held.slice(whole)
@@ -309,7 +309,7 @@ class NearDuplicates:
             here = here.withColumn("component", F.lit(None).cast("long"))
         here = here.withColumn("component", F.coalesce("component", "id"))
         blocks = F.ceil(F.col("size") / self.block).cast("int")
-        mine = F.pmod(F.xxhash64("id"), blocks)
+        mine = F.pmod(F.xxhash64("id"), blocks).cast("int")  # of the type of "other", as hashes of the two are compared
         every = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
         columns = ["id", "n", "component", "bins", "number"]
         one = here.where(blocks == 1).select(F.col("band").alias("block"), *columns, "asks", F.lit(True).alias("answers"))
