@@ -132,12 +132,12 @@ def document_links(page: str | None, base: str | None) -> list[str]:
     return list(found)
 
 
-def unwrapped(page: str, marker: str = "<table") -> str:
-    """A page shown as its own source gives that source."""
-    if marker in page:
+def unwrapped(page: str, *markers: str) -> str:
+    """A page shown as its own source, which lacks a marker itself, gives that source."""
+    if all(m in page for m in markers):
         return page
     shown = "".join(tree(page).texts(("script", "style")))
-    return shown if marker in shown else page
+    return shown if markers[-1] in shown else page
 
 
 def search_results(page: str | None) -> list[tuple[str, str, str]]:
@@ -145,7 +145,7 @@ def search_results(page: str | None) -> list[tuple[str, str, str]]:
     if not page:
         return []
     out = []
-    for a in tree(unwrapped(page, "company.aspx")).all("a"):
+    for a in tree(unwrapped(page, "<a", "company.aspx")).all("a"):
         href = a.attributes.get("href", "").strip()
         if m := re.search(r"company\.aspx\?id=(\d+)", href):
             out.append((m[1], a.text(), href))
@@ -168,7 +168,7 @@ def listing(page: str | None) -> tuple[list[tuple], list[str]]:
     """
     if not page or not page.strip():
         return [], ["empty html"]
-    files = next((t for t in tree(unwrapped(page)).all("table") if t.has_class("files-table")), None)
+    files = next((t for t in tree(unwrapped(page, "<table")).all("table") if t.has_class("files-table")), None)
     if files is None:
         return [], []
     rows, warnings = [], []
