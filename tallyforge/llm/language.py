@@ -52,7 +52,9 @@ _tables: dict[int, np.ndarray] = {}
 
 def _bucket_table(buckets: int) -> np.ndarray:
     if buckets not in _tables:
-        _tables[buckets] = (mix(np.arange(1 << 24, dtype=np.uint64)) % np.uint64(buckets)).astype(np.uint16)
+        step = 1 << 18
+        parts = [(mix(np.arange(k, k + step, dtype=np.uint64)) % np.uint64(buckets)).astype(np.uint16) for k in range(0, 1 << 24, step)]
+        _tables[buckets] = np.concatenate(parts)
     return _tables[buckets]
 
 
@@ -67,10 +69,7 @@ def _count(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
 
-        def named(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from source
-
-        for langs, texts in sliced(named(batches)):
+        for langs, texts in sliced(batches):
             codes, owner = trigrams(texts, buckets)
             names = np.array(langs, object)
             for lang in set(langs):

@@ -83,16 +83,16 @@ def signature(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out if filled.all() else out[densified(filled)], byte
 
 
-def sliced(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, UTF-8 texts) in slices of about ``most`` bytes; null is empty."""
+def sliced(batches: Iterator[pa.RecordBatch], most: int = 1 << 20, rows: int = 512) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, UTF-8 texts) in slices of about ``most`` bytes and ``rows`` texts at most; null is empty."""
     for batch in batches:
         ids, texts, size = [], [], 0
         for i, text in zip(batch[0], batch[1], strict=True):
             t = (text.as_py() or "").encode("utf-8", "surrogatepass")
             ids.append(i.as_py())
             texts.append(t)
-            size += len(t) + 64
-            if size >= most:
+            size += len(t)
+            if size >= most or len(ids) >= rows:
                 yield ids, texts
                 ids, texts, size = [], [], 0
         if ids:
