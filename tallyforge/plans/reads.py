@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.operators import control, documents, mart, quality_rules, state
+from tallyforge.operators import control, documents, mart, quality_rules
 from tallyforge.plans.domain import oracle, table
 from tallyforge.plans.registry import query
 
@@ -391,8 +391,6 @@ def t1(spark, d):
 @query("t2_sheet_order", oracle("metrics filings publications", f"SELECT row_number() OVER (ORDER BY ticker, reporting_date, period_type, metric_name, reporting_standard, metric_id) AS place, metric_id FROM ({_MART}) ORDER BY place LIMIT 500"))
 def t2(spark, d):
     top = _mart(spark, d).orderBy(*mart.SHEET_ORDER).limit(500).select(*mart.SHEET_ORDER)
-    from pyspark.sql import Window
-
     return top.withColumn("place", F.row_number().over(Window.orderBy(*mart.SHEET_ORDER))).select("place", "metric_id")
 
 
@@ -475,5 +473,3 @@ def a13(spark, d):
     rows = rows.groupBy("ticker", "period_type", "metric_no", "seq").agg(F.max("value").alias("value"))
     return quality_rules.dedup_rows(rows, ("ticker", "period_type", "metric_no"))
 
-
-STATE = state

@@ -56,8 +56,7 @@ COMPANY = "company_id string, name string, type string"
 
 def companies(spark: SparkSession, path: str) -> DataFrame:
     """S3: id, name, type of a CSV; a row that is empty, unknown or malformed raises with its line."""
-    text = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file"))
-    body = text.where(F.lower(F.trim("value")) != "id,name,type")
+    body = spark.read.text(path).where(F.lower(F.trim("value")) != "id,name,type")
     row = F.from_csv("value", COMPANY, {"mode": "FAILFAST"})
     r = body.where(F.trim("value") != "").select("value", row.alias("r"))
     clean = r.select("value", F.trim("r.company_id").alias("company_id"), F.trim("r.name").alias("name"), F.lower(F.trim("r.type")).alias("type"))
