@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.minhash import sliced
-from tallyforge.llm.storage import stored
+from tallyforge.llm.storage import bound_batches, stored
 from tallyforge.llm.texthash import NOT_WORD, mix, shingles
 
 SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
@@ -140,6 +140,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     more items make more passes.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("item_text"))
     n = items.count()

@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import filesystem, shared_dir, stored
+from tallyforge.llm.storage import bound_batches, filesystem, shared_dir, stored
 
 #: fixed values: the characters deleted before texts are compared
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -232,6 +232,7 @@ def _groups(where: str, memory: int):
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_memory: int = 64 << 20, bucket_memory: int = 128 << 20) -> DataFrame:
     """One row per distinct normalised content (see GROUPS)."""
     spark = docs.sparkSession
+    bound_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     local = source.mapInArrow(_local_records(local_memory), RECORDS)
     dealt = local.repartition(F.col("sha256"), F.col("xxh128"))

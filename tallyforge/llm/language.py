@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.minhash import sliced
+from tallyforge.llm.storage import bound_batches
 from tallyforge.llm.texthash import LOWER, mix
 
 UNKNOWN = "und"
@@ -89,6 +90,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", bu
     The model holds ``buckets`` numbers for each language; more than
     ``most_languages`` labels raise ValueError. Null labels are left out.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counted = rows.mapInArrow(_count(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     per = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).orderBy("lang").limit(most_languages + 1).collect()
@@ -184,6 +186,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     language was learned. Repeated rows and null ids give a row each; ties
     take the first language in alphabetical order. Other columns are not read.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_predict(model), SCHEMA)
 
@@ -201,4 +204,5 @@ def _keep(model: LanguageModel, text_at: int):
 
 def identified(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """The rows, all columns, whose language is not ``und``; nothing is shuffled."""
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(_keep(model, docs.columns.index(text_col)), docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.components import components
-from tallyforge.llm.storage import stored
+from tallyforge.llm.storage import bound_batches, stored
 from tallyforge.llm.texthash import mix, shingles
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -245,6 +245,7 @@ class NearDuplicates:
         result rows. A row without id joins the group of an equal set only.
         Other columns are not read. An empty table gives no rows.
         """
+        bound_batches(docs.sparkSession)
         source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         band = banding(self.percent / 100)
         rows = stored(source.mapInArrow(_signatures(self.words, band), ROWS), "minhash-rows")

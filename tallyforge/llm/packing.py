@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.storage import bound_batches
 from tallyforge.llm.tokens import encoder, tokenizer_path
 
 #: sequence_id = partition * 2**36 + number within the partition
@@ -192,6 +193,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", los
     Other input columns are not read. An empty table gives no rows. A sequence
     that cannot be filled is cut into lengths that are powers of two.
     """
+    bound_batches(docs.sparkSession)
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")]
     if loss_start_col:
         columns.append(F.col(loss_start_col).cast("long").alias("loss_start"))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import filesystem, fresh_dir, publish, stored
+from tallyforge.llm.storage import bound_batches, filesystem, fresh_dir, publish, stored
 from tallyforge.llm.tokens import encoder, tokenizer_path
 
 #: <|endoftext|> of the default tokenizer
@@ -56,6 +56,7 @@ def write_tokens(docs: DataFrame, where: str, *, id_col: str = "doc_id", text_co
     """
     if end_id > np.iinfo(dtype).max:
         raise ValueError(f"{end_id} does not fit {dtype}")
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return stored(rows.mapInArrow(_write(path or tokenizer_path(), where, end_id, dtype), "file string, ordinal long, doc_id long"), "token-manifest")
 

@@ -36,6 +36,22 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: largest Arrow batch of texts that passes between Spark and Python
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to ``BATCH_BYTES``, whatever the length of their texts.
+
+    The default bounds rows; 10,000 long texts are hundreds of megabytes in
+    each task, on both sides. A smaller setting of the session stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI; a bare path is a local one."""
     if "://" not in uri and not uri.startswith("file:"):

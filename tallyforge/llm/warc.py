@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition, IsNotNull
 from pyspark.sql.types import StructType
 
-from tallyforge.llm.storage import filesystem, fresh_dir, publish, stored
+from tallyforge.llm.storage import bound_batches, filesystem, fresh_dir, publish, stored
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -103,6 +103,7 @@ def write(pages: DataFrame, where: str, *, id_col: str = "page_id", url_col: str
     without id is a response, as it has no id to be told by. The work is done
     when this returns.
     """
+    bound_batches(pages.sparkSession)
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
     large = source.where((F.octet_length("payload") >= LEAST_REVISIT) & F.col("page_id").isNotNull())
