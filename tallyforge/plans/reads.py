@@ -287,6 +287,23 @@ def j12(spark, d):
     return control.ranked(table(spark, d, "companies"), table(spark, d, "skiplist"), table(spark, d, "ticks"), "2024-01-31 00:00:00")
 
 
+@query("c5_priorities", oracle("companies skiplist ticks", f"WITH {_LATEST}, {_RANKED} SELECT priority, count(*) AS n FROM ranked GROUP BY priority"))
+def c5(spark, d):
+    ranked = control.ranked(table(spark, d, "companies"), table(spark, d, "skiplist"), table(spark, d, "ticks"), "2024-01-31 00:00:00")
+    return ranked.groupBy("priority").agg(F.count("*").alias("n"))
+
+
+@query("w2_previous_dates", oracle("metrics", f"WITH {_PREV} SELECT ticker, period_type, reporting_standard, reporting_date, previous_date FROM prev"))
+def w2(spark, d):
+    return quality_rules.previous_periods(table(spark, d, "metrics"))
+
+
+@query("u3_not_ignored", oracle("filings", "SELECT relative_path FROM d_filings EXCEPT SELECT relative_path FROM d_filings WHERE line < 3"))
+def u3(spark, d):
+    f = table(spark, d, "filings")
+    return f.select("relative_path").subtract(f.where("line < 3").select("relative_path"))
+
+
 @query("j13_line_owner", oracle("logs tickers publications", "SELECT l.seq, coalesce(p.ticker, t.ticker) AS owner FROM d_logs l LEFT JOIN d_publications p ON l.publication_id = p.publication_id LEFT JOIN d_tickers t ON starts_with(l.publication_id, t.ticker || '-')"))
 def j13(spark, d):
     return control.owner_of(table(spark, d, "logs"), table(spark, d, "publications"), table(spark, d, "tickers")).select("seq", "owner")

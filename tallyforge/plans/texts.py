@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.functions import classify, markup, period, text
-from tallyforge.operators import documents, extraction
+from tallyforge.operators import control, documents, extraction
 from tallyforge.plans.domain import oracle, table
 from tallyforge.plans.registry import query
 from tallyforge.sources import files, listings, logs
@@ -327,6 +332,41 @@ def x2(spark, d):
     return incremental.sessions(table(spark, d, "events"))
 
 
+@query("a15_marker_occurrences", f"SELECT doc_id, {_score(('the', 'de'))} AS n FROM (SELECT doc_id, lower(text) AS t FROM documents)")
+def a15(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.marker_score(F.col("text"), ("the", "de")).alias("n"))
+
+
+@query("f25_trimmed_evidence", oracle("logs", """SELECT ticker, string_agg(j, ';' ORDER BY seq) AS evidence FROM (SELECT ticker, seq, to_json({'event': event, 'level': level, 'status': status}) AS j, row_number() OVER (PARTITION BY ticker ORDER BY seq) AS r FROM d_logs WHERE level = 'error') WHERE r <= 5 GROUP BY ticker"""))
+def f25(spark, d):
+    """The first five lines of each ticker as JSON of whitelisted fields, in the order of their names."""
+    lines = table(spark, d, "logs").where("level = 'error'").select("ticker", "seq", F.to_json(F.struct("event", "level", "status"), {"ignoreNullFields": "false"}).alias("j"))
+    few = control.ranked_latest(lines, "ticker", F.asc("seq"), 5)
+    return few.groupBy("ticker").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "j"))), lambda x: x["j"]), ";").alias("evidence"))
+
+
+@query("s14_unpack", "SELECT doc_id || '.zip' AS path, 'a/text.txt' AS member, strlen(text) AS size, sha256(text) AS file_hash FROM documents")
+def s14(spark, d):
+    @F.pandas_udf(T.BinaryType())
+    def packed(texts: pd.Series) -> pd.Series:
+        def one(t: str) -> bytes:
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("a/text.txt", t)
+            return out.getvalue()
+
+        return texts.map(one)
+
+    archives = table(spark, d, "documents").select(F.concat("doc_id", F.lit(".zip")).alias("path"), packed("text").alias("content"))
+    return files.unpack(archives, with_content=False).select("path", "member", "size", "file_hash")
+
+
+@query("k4_nested_extracts", f"WITH {_PARTS} SELECT doc_id, count(*) AS pages, CAST(sum(length(page)) AS BIGINT) AS chars FROM p GROUP BY doc_id")
+def k4(spark, d):
+    nested = files.nested_extracts(_parts(spark, d))
+    return nested.select("doc_id", F.size("pages").cast("bigint").alias("pages"), F.aggregate("pages", F.lit(0).cast("bigint"), lambda n, p: n + F.length(p["text"])).alias("chars"))
+
+
 @query("m1_model_extraction")
 def m1(spark, d):
     """Requests to the deterministic provider, answers, and deduplicated metric rows."""

@@ -274,6 +274,11 @@ def c2(spark, d):
     return control.worst(_verdicts(spark, d).join(table(spark, d, "tickers").select("ticker", "profile"), "ticker"), ("profile",))
 
 
+@query("a17_aggregate_verdict", oracle("before after", f"WITH {_CODE} SELECT CASE WHEN bool_or(code = 'regression') THEN 'regression' WHEN bool_or(code = 'fail') THEN 'fail' WHEN bool_and(code = 'ok') THEN 'ok' ELSE 'neutral' END AS code FROM code"))
+def a17(spark, d):
+    return control.worst(_verdicts(spark, d))
+
+
 @query("c3_improved", oracle("before after", f"WITH {_CODE}, a AS (SELECT ticker, CASE WHEN code = 'regression' THEN 'ok' ELSE code END AS code FROM code) SELECT bool_or(code.code <> 'ok' AND a.code = 'ok') AND bool_and(a.code <> 'regression') AS improved FROM code JOIN a USING (ticker)"))
 def c3(spark, d):
     v = _verdicts(spark, d)

@@ -82,7 +82,11 @@ def write_sheets(sheets: dict[str, DataFrame], folder: str, kind: str = "parquet
         df.write.mode("overwrite").format(kind).option("header", "true").save(f"{folder}/{name}")
 
 
+def nested_extracts(pages: DataFrame) -> DataFrame:
+    """One row per document with its pages in order."""
+    return pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_number", F.col("page").alias("text")))).alias("pages"))
+
+
 def write_extracts(pages: DataFrame, folder: str) -> None:
-    """K4: one nested row per document."""
-    nested = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_number", F.col("page").alias("text")))).alias("pages"))
-    nested.write.mode("overwrite").parquet(folder)
+    """K4."""
+    nested_extracts(pages).write.mode("overwrite").parquet(folder)
