@@ -21,8 +21,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def session_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that this application writes to."""
+    return f"{shared_dir(spark)}/tallyforge-{spark.sparkContext.applicationId}"
+
+
 def fresh_dir(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    return f"{session_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete what this application stored; only when no result is still to be read."""
+    system, path = filesystem(session_dir(spark))
+    if system.get_file_info(path).type != fs.FileType.NotFound:
+        system.delete_dir(path)
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
