@@ -84,13 +84,13 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         FROM {events} WHERE user_id % 10 <> 9 AND (user_id % 7 < 3 OR event_id % 16 >= 3)""",
     "ticks": (
         """
-        SELECT year(ts) * 10000 + month(ts) * 100 + day(ts) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
+        SELECT CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS BIGINT) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
                CASE day(ts) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ok' WHEN 2 THEN 'fail' WHEN 3 THEN 'regression' WHEN 4 THEN 'neutral' ELSE 'ok' END AS verdict,
                CAST(day(ts) AS DOUBLE) / CAST(4 AS DOUBLE) AS cost,
                concat('[', array_join(array_sort(collect_set(concat('{"company_id":"', user_id, '","ticker":"EDX', user_id, '"}'))), ','), ']') AS batch_json
         FROM {events} WHERE user_id % 30 = day(ts) GROUP BY 1, 2, 3, 4, 5""",
         """
-        SELECT year(ts) * 10000 + month(ts) * 100 + day(ts) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
+        SELECT CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS BIGINT) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
                CASE day(ts) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ok' WHEN 2 THEN 'fail' WHEN 3 THEN 'regression' WHEN 4 THEN 'neutral' ELSE 'ok' END AS verdict,
                CAST(day(ts) AS DOUBLE) / CAST(4 AS DOUBLE) AS cost,
                concat('[', array_to_string(list_sort(list(DISTINCT concat('{"company_id":"', user_id, '","ticker":"EDX', user_id, '"}'))), ','), ']') AS batch_json

@@ -405,7 +405,7 @@ def t1(spark, d):
     return table(spark, d, "ticks").orderBy(F.desc("tick_id")).limit(10).select("tick_id", "verdict", "cost")
 
 
-@query("t2_sheet_order", oracle("metrics filings publications", f"SELECT row_number() OVER (ORDER BY ticker, reporting_date, period_type, metric_name, reporting_standard, metric_id) AS place, metric_id FROM ({_MART}) ORDER BY place LIMIT 500"))
+@query("t2_sheet_order", oracle("metrics filings publications", f"SELECT CAST(row_number() OVER (ORDER BY ticker, reporting_date, period_type, metric_name, reporting_standard, metric_id) AS INT) AS place, metric_id FROM ({_MART}) ORDER BY place LIMIT 500"))
 def t2(spark, d):
     top = _mart(spark, d).orderBy(*mart.SHEET_ORDER).limit(500).select(*mart.SHEET_ORDER)
     return top.withColumn("place", F.row_number().over(Window.orderBy(*mart.SHEET_ORDER))).select("place", "metric_id")
@@ -457,7 +457,7 @@ def k2(spark, d):
     return _mart(spark, d).select("metric_id", mart.number_format(F.col("value")).alias("number_format"))
 
 
-@query("k3_column_widths", oracle("publications", "SELECT * FROM (SELECT 'publication_id' AS \"column\", least(greatest(10, max(length(publication_id)), 14) + 2, 60) AS width FROM d_publications UNION ALL SELECT 'status', least(greatest(10, max(length(status)), 6) + 2, 60) FROM d_publications UNION ALL SELECT 'ticker', least(greatest(10, max(length(ticker)), 6) + 2, 60) FROM d_publications)"))
+@query("k3_column_widths", oracle("publications", "SELECT \"column\", CAST(width AS INT) AS width FROM (SELECT 'publication_id' AS \"column\", least(greatest(10, max(length(publication_id)), 14) + 2, 60) AS width FROM d_publications UNION ALL SELECT 'status', least(greatest(10, max(length(status)), 6) + 2, 60) FROM d_publications UNION ALL SELECT 'ticker', least(greatest(10, max(length(ticker)), 6) + 2, 60) FROM d_publications)"))
 def k3(spark, d):
     return mart.column_widths(table(spark, d, "publications"), ["publication_id", "status", "ticker"])
 

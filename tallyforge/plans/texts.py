@@ -85,7 +85,7 @@ def f8(spark, d):
     return table(spark, d, "pages_of").select("doc_id", "page_number", text.page_kind(F.col("page"), 40).alias("kind"))
 
 
-@query("f9_from_anchor", "SELECT doc_id, nullif(instr(t, ' the '), 0) AS anchor_at, CASE WHEN instr(t, ' the ') > 0 THEN 'lead: ' || substr(text, instr(t, ' the '), 200) END AS content, instr(t, ' the ') > 0 AND length(text) - instr(t, ' the ') + 1 > 200 AS capped FROM (SELECT doc_id, text, lower(text) AS t FROM documents)")
+@query("f9_from_anchor", "SELECT doc_id, CAST(nullif(instr(t, ' the '), 0) AS INT) AS anchor_at, CASE WHEN instr(t, ' the ') > 0 THEN 'lead: ' || substr(text, instr(t, ' the '), 200) END AS content, instr(t, ' the ') > 0 AND length(text) - instr(t, ' the ') + 1 > 200 AS capped FROM (SELECT doc_id, text, lower(text) AS t FROM documents)")
 def f9(spark, d):
     # documents here have no statements; a plain anchor exercises the same column, headings are unit-tested
     cut = classify.from_anchor(F.col("text"), (" the ",), "lead: ", 200)
@@ -332,7 +332,7 @@ def x2(spark, d):
     return incremental.sessions(table(spark, d, "events"))
 
 
-@query("a15_marker_occurrences", f"SELECT doc_id, {_score(('the', 'de'))} AS n FROM (SELECT doc_id, lower(text) AS t FROM documents)")
+@query("a15_marker_occurrences", f"SELECT doc_id, CAST({_score(('the', 'de'))} AS INT) AS n FROM (SELECT doc_id, lower(text) AS t FROM documents)")
 def a15(spark, d):
     return table(spark, d, "documents").select("doc_id", text.marker_score(F.col("text"), ("the", "de")).alias("n"))
 
