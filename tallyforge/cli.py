@@ -23,6 +23,7 @@ from tallyforge.operators.extraction import FixedProvider
 from tallyforge.plans import pipeline, registry
 from tallyforge.session import local_session
 from tallyforge.sources.files import write_sheets
+from tallyforge.sources.xlsx import write_workbook
 
 OK, CONFIG, RUNTIME = 0, 2, 3
 
@@ -85,7 +86,10 @@ def _export(s: Store, a: argparse.Namespace) -> None:
     p = s.read("publications")
     rows = mart.metric_sheet(s.read("metrics"), s.read("documents"), p)
     sheets = {"metrics": rows.orderBy(*mart.SHEET_ORDER), "qa_issues": s.read("qa_issues"), "status": mart.status_counts(p)}
-    write_sheets(sheets, a.out, a.format)
+    if a.format == "xlsx":
+        write_workbook(sheets, f"{a.out}/mart.xlsx")
+    else:
+        write_sheets(sheets, a.out, a.format)
     s.write("publications", state.promote_validated(p))
 
 
@@ -140,7 +144,7 @@ def parser() -> argparse.ArgumentParser:
         verbs.add_parser(name).set_defaults(do=_stage)
     v = verbs.add_parser("export")
     v.add_argument("out")
-    v.add_argument("--format", default="parquet", choices=("parquet", "csv", "json"))
+    v.add_argument("--format", default="parquet", choices=("parquet", "csv", "json", "xlsx"))
     v.set_defaults(do=_export)
     v = verbs.add_parser("status")
     v.add_argument("--limit", type=int, default=10)
