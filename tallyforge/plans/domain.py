@@ -96,11 +96,11 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                concat('[', array_to_string(list_sort(list(DISTINCT concat('{"company_id":"', user_id, '","ticker":"EDX', user_id, '"}'))), ','), ']') AS batch_json
         FROM {events} WHERE user_id % 30 = day(ts) GROUP BY 1, 2, 3, 4, 5""",
     ),
-    "companies": "SELECT CAST(c_custkey AS STRING) AS company_id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN 'bank' ELSE 'non_bank' END AS type FROM {customer} WHERE c_custkey < 400",
+    "companies": "SELECT CAST(c_custkey AS STRING) AS company_id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN 'bank' ELSE 'non_bank' END AS type FROM {customer}",
     "skiplist": """
         SELECT CAST(c_custkey AS STRING) AS company_id, CASE c_custkey % 3 WHEN 0 THEN 'give_up' WHEN 1 THEN 'manual_blacklist' ELSE 'moex_overlap' END AS reason,
                CAST(c_custkey % 14 AS INT) AS failure_count, CAST(NULL AS BIGINT) AS last_tick_id
-        FROM {customer} WHERE c_custkey % 9 = 0 AND c_custkey < 400""",
+        FROM {customer} WHERE c_custkey % 9 = 0""",
     "discovered": """
         SELECT concat('EDX', o_custkey, '-', 2 + o_orderkey % 4, '-', CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_orderkey + 1000000000 END) AS publication_id, concat('EDX', o_custkey) AS ticker,
                'report' AS publication_type, CAST(o_orderdate AS DATE) AS publication_date, 'new' AS file_hash, 'discovered' AS status, CAST(NULL AS STRING) AS last_error, 0 AS is_incomplete,
@@ -113,6 +113,11 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "after": """SELECT ticker, CAST(CASE WHEN seq % 5 = 0 THEN 0 ELSE 5 END AS INT) AS publications_total, CAST(CASE WHEN seq % 3 = 0 THEN 5 ELSE seq % 4 END AS INT) AS written, 0 AS skipped,
                CAST(CASE WHEN seq % 3 = 0 THEN 0 ELSE seq % 5 END AS INT) AS metrics_rows, CAST(seq % 3 AS INT) AS qa_issues_count, CAST(CASE WHEN seq % 7 = 0 THEN 1 ELSE 0 END AS INT) AS returncode
         FROM (SELECT ticker, min(seq) AS seq FROM {publications} GROUP BY ticker) x""",
+    # the state after a run that stopped early: what it has of each ticker differs
+    "early_publications": "SELECT ticker, status, CASE WHEN seq % 2 = 0 THEN upper(last_error) ELSE last_error END AS last_error FROM {publications} WHERE seq % 9 < 2",
+    "early_filings": "SELECT ticker, is_machine_readable, reporting_standard, page_count, text_pages_count FROM {filings} WHERE line > 5",
+    "early_metrics": "SELECT ticker, metric_id FROM {metrics} WHERE currency = 'USD' OR unit = 'thousands'",
+    "early_issues": "SELECT ticker, code FROM {qa_issues} WHERE issue_id % 5 = 0",
     # one metric for each key may come several times, as from repeated extractions of one period
     "extracted_rows": """
         SELECT concat('EDX', o_custkey) AS ticker, concat('Q', quarter(o_orderdate)) AS period_type, l_linenumber AS metric_no, o_orderkey * 1000000 + l_partkey AS seq,

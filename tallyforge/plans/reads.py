@@ -206,9 +206,9 @@ def p19(spark, d):
     return table(spark, d, "filings").groupBy("ticker").agg(F.bool_or(F.coalesce(F.col("is_machine_readable") == 1, F.lit(False))).alias("readable"))
 
 
-@query("j1_metrics_of_publications", oracle("metrics filings", "SELECT m.metric_id, f.publication_id FROM d_metrics m JOIN d_filings f ON m.source_document_id = f.document_id WHERE f.ticker < 'EDX2'"))
+@query("j1_metrics_of_publications", oracle("metrics filings", "SELECT m.metric_id, f.publication_id FROM d_metrics m JOIN d_filings f ON m.source_document_id = f.document_id"))
 def j1(spark, d):
-    f = table(spark, d, "filings").where("ticker < 'EDX2'").select("document_id", "publication_id")
+    f = table(spark, d, "filings").select("document_id", "publication_id")
     return table(spark, d, "metrics").join(f, F.col("source_document_id") == F.col("document_id")).select("metric_id", "publication_id")
 
 
@@ -405,15 +405,16 @@ def t1(spark, d):
     return table(spark, d, "ticks").orderBy(F.desc("tick_id")).limit(10).select("tick_id", "verdict", "cost")
 
 
-@query("t2_sheet_order", oracle("metrics filings publications", f"SELECT CAST(row_number() OVER (ORDER BY ticker, reporting_date, period_type, metric_name, reporting_standard, metric_id) AS INT) AS place, metric_id FROM ({_MART}) ORDER BY place LIMIT 500"))
+@query("t2_sheet_order", oracle("metrics filings publications", f"SELECT CAST(row_number() OVER (PARTITION BY ticker ORDER BY reporting_date, period_type, metric_name, reporting_standard, metric_id) AS INT) AS place, metric_id FROM ({_MART})"))
 def t2(spark, d):
-    top = _mart(spark, d).orderBy(*mart.SHEET_ORDER).limit(500).select(*mart.SHEET_ORDER)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(*mart.SHEET_ORDER))).select("place", "metric_id")
+    """The sheet's order within each ticker, as a number."""
+    place = F.row_number().over(Window.partitionBy(mart.SHEET_ORDER[0]).orderBy(*mart.SHEET_ORDER[1:]))
+    return _mart(spark, d).select(place.alias("place"), "metric_id")
 
 
-@query("t3_newest_events", oracle("disclosures", "SELECT event_id, event_date, event_type FROM d_disclosures ORDER BY event_date DESC, event_id LIMIT 200"))
+@query("t3_newest_events", oracle("disclosures", "SELECT event_id, event_date, event_type FROM d_disclosures"))
 def t3(spark, d):
-    return table(spark, d, "disclosures").orderBy(F.desc("event_date"), "event_id").limit(200).select("event_id", "event_date", "event_type")
+    return table(spark, d, "disclosures").orderBy(F.desc("event_date"), "event_id").select("event_id", "event_date", "event_type")
 
 
 @query("t4_next_batch", oracle("companies skiplist ticks", f"WITH {_LATEST}, {_RANKED} SELECT company_id, priority FROM ranked WHERE priority <> 99 ORDER BY priority, company_id LIMIT 25"))
@@ -479,9 +480,9 @@ def w7(spark, d):
     return mart.tail_lines(_lines(spark, d), 100).select("seq", "line")
 
 
-@query("k8_baseline", oracle("before", "SELECT ticker, publications_total, metrics_rows, written FROM d_before WHERE ticker < 'EDX2'"))
+@query("k8_baseline", oracle("before", "SELECT ticker, publications_total, metrics_rows, written FROM d_before"))
 def k8(spark, d):
-    return table(spark, d, "before").where("ticker < 'EDX2'").select("ticker", "publications_total", "metrics_rows", "written")
+    return table(spark, d, "before").select("ticker", "publications_total", "metrics_rows", "written")
 
 
 @query("a13_dedup_rows", oracle("extracted_rows", "SELECT ticker, period_type, metric_no, seq, value FROM (SELECT *, row_number() OVER (PARTITION BY ticker, period_type, metric_no ORDER BY (value IS NOT NULL) DESC, CASE WHEN value IS NOT NULL THEN -seq ELSE seq END) AS r FROM (SELECT ticker, period_type, metric_no, seq, max(value) AS value FROM d_extracted_rows WHERE period_type = expected_type GROUP BY ALL)) WHERE r = 1"))

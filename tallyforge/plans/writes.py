@@ -333,16 +333,16 @@ _SIGNALS = """own AS (SELECT ticker, count(*) FILTER (event = 'discoverer_non_20
  count(*) FILTER (event = 'ticker_type_discovered' AND found > 0) AS n_found, count(*) FILTER (event = 'ticker_type_discovered' AND found > 0 AND new <> 0) AS n_new, count(*) FILTER (event = 'metric_extract_failed' AND contains(error, 'UNIQUE constraint')) AS n_unique,
  count(*) FILTER (event = 'discoverer_parse_warning' AND contains(lower(detail), 'reporting period')) AS n_period, count(*) FILTER (event = 'publication_extracted') AS n_extracted, count(*) FILTER (starts_with(event, 'metric_extract')) AS n_metric,
  count(*) FILTER (event = 'metric_extract_llm_unavailable' AND contains(error, 'Argument list too long')) AS n_too_long, count(*) FILTER (event = 'metric_extract_llm_unavailable') AS n_unavailable FROM d_logs GROUP BY ticker),
- p AS (SELECT ticker, count(*) AS n_pubs, count(*) FILTER (status IN ('written', 'skipped')) AS n_terminal, count(*) FILTER (status = 'failed' AND contains(last_error, 'HTTP 402')) AS n_stuck FROM pub GROUP BY ticker),
- dd AS (SELECT ticker, count(*) AS n_docs, count(*) FILTER (is_machine_readable = 1) AS n_readable, count(*) FILTER (reporting_standard = 'OTHER') AS n_other, count(*) FILTER (page_count > 0 AND text_pages_count = 0) AS n_short FROM d_filings WHERE line > 5 GROUP BY ticker),
- q AS (SELECT ticker, count(*) FILTER (code = 'incomplete') AS n_incomplete FROM d_qa_issues WHERE issue_id % 5 = 0 GROUP BY ticker), m AS (SELECT ticker, count(*) AS n_metrics FROM d_metrics WHERE ticker < 'EDX5' GROUP BY ticker)"""
+ p AS (SELECT ticker, count(*) AS n_pubs, count(*) FILTER (status IN ('written', 'skipped')) AS n_terminal, count(*) FILTER (status = 'failed' AND contains(last_error, 'HTTP 402')) AS n_stuck FROM d_early_publications GROUP BY ticker),
+ dd AS (SELECT ticker, count(*) AS n_docs, count(*) FILTER (is_machine_readable = 1) AS n_readable, count(*) FILTER (reporting_standard = 'OTHER') AS n_other, count(*) FILTER (page_count > 0 AND text_pages_count = 0) AS n_short FROM d_early_filings GROUP BY ticker),
+ q AS (SELECT ticker, count(*) FILTER (code = 'incomplete') AS n_incomplete FROM d_early_issues GROUP BY ticker), m AS (SELECT ticker, count(*) AS n_metrics FROM d_early_metrics GROUP BY ticker)"""
 
 
 @query(
     "c7_failure_classes",
     oracle(
-        "tickers logs publications filings metrics qa_issues",
-        f"""WITH pub AS (SELECT ticker, status, CASE WHEN seq % 2 = 0 THEN upper(last_error) ELSE last_error END AS last_error FROM d_publications WHERE seq % 9 < 2), {_SIGNALS},
+        "tickers logs early_publications early_filings early_metrics early_issues",
+        f"""WITH {_SIGNALS},
         j AS (SELECT t.ticker, own.* EXCLUDE (ticker), p.* EXCLUDE (ticker), dd.* EXCLUDE (ticker), q.* EXCLUDE (ticker), m.* EXCLUDE (ticker) FROM d_tickers t LEFT JOIN own USING (ticker) LEFT JOIN p USING (ticker) LEFT JOIN dd USING (ticker) LEFT JOIN q USING (ticker) LEFT JOIN m USING (ticker)),
         z AS (SELECT ticker, coalesce(COLUMNS(* EXCLUDE (ticker)), 0) FROM j)
         SELECT ticker, CASE WHEN n_403 > 0 THEN 'discoverer_403_servicepipe' WHEN n_none >= 4 AND n_not_found = n_none THEN 'discoverer_id_not_found' WHEN n_none >= 4 THEN 'discoverer_no_publications' WHEN n_found > 0 AND n_new = 0 AND n_pubs = 0 THEN 'no_recent_publications'
@@ -353,7 +353,6 @@ _SIGNALS = """own AS (SELECT ticker, count(*) FILTER (event = 'discoverer_non_20
 )
 def c7(spark, d):
     tickers = table(spark, d, "tickers").select("ticker")
-    pub = table(spark, d, "publications").where("seq % 9 < 2").withColumn("last_error", F.when(F.col("seq") % 2 == 0, F.upper("last_error")).otherwise(F.col("last_error")))
     lines = control.owner_of(table(spark, d, "logs"), table(spark, d, "publications").drop("seq"), tickers)
-    found = control.state_signals(pub, table(spark, d, "filings").where("line > 5"), table(spark, d, "metrics").where("ticker < 'EDX5'"), table(spark, d, "qa_issues").where("issue_id % 5 = 0"))
+    found = control.state_signals(*(table(spark, d, f"early_{n}") for n in ("publications", "filings", "metrics", "issues")))
     return control.failure_classes(tickers, lines, found, -9)
