@@ -44,6 +44,33 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.NearDuplicates(words=3, percent=85)(_table(spark, sf_dir, "documents"))
 
 
+SQL["op6_minhash"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), spot AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS k FROM words WHERE len(w) > 0
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 2], ' ') AS g FROM spot
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS v, doc_id AS r FROM documents
+  UNION
+  SELECT y, r FROM reach JOIN edges ON x = v
+), c AS (
+  SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
