@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.components import components
@@ -233,7 +233,7 @@ class NearDuplicates:
 
     words: int = 5
     percent: int = 80
-    block: int = 1024
+    block: int = 512
 
     def __call__(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row per input row: doc_id, n_shingles, component_id, kept.
@@ -300,23 +300,29 @@ class NearDuplicates:
         rest = stored(inside.where("size > 2").join(confirmed, ["hub", "id"], "left_anti").select("band", "id"), "minhash-rest")
         if rest.isEmpty():
             return None
-        buckets = stored(rest.select("band").distinct(), "minhash-open")
-        here = inside.where("size > 2").join(buckets, "band", "left_semi")
-        here = here.join(rest.withColumn("asks", F.lit(True)), ["band", "id"], "left").select("band", "number", "id", "n", "size", F.coalesce("asks", F.lit(False)).alias("asks"))
+        buckets = stored(rest.groupBy("band").agg(F.count("*").alias("n_asks")), "minhash-open")
+        here = inside.where("size > 2").join(buckets, "band")
+        here = here.join(rest.withColumn("asks", F.lit(True)), ["band", "id"], "left").select("band", "number", "id", "n", "size", "n_asks", F.coalesce("asks", F.lit(False)).alias("asks"))
         here = here.join(reps.select("id", "bins"), "id")
         if labels is not None:
             here = here.join(labels.withColumnRenamed("vertex", "id"), "id", "left")
         else:
             here = here.withColumn("component", F.lit(None).cast("long"))
         here = here.withColumn("component", F.coalesce("component", "id"))
-        blocks = F.ceil(F.col("size") / self.block).cast("int")
-        mine = F.pmod(F.xxhash64("id"), blocks).cast("int")  # of the type of "other", as hashes of the two are compared
-        every = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        # an asking member meets each block of answers, an answering one each block of those that ask:
+        # where few ask, rows are few however large the bucket is
+        asking = F.ceil(F.col("n_asks") / self.block).cast("int")
+        answering = F.ceil(F.col("size") / self.block).cast("int")
         columns = ["id", "n", "component", "bins", "number"]
-        one = here.where(blocks == 1).select(F.col("band").alias("block"), *columns, "asks", F.lit(True).alias("answers"))
-        many = here.where(blocks > 1).withColumn("mine", mine)
-        ask = many.where("asks").select("band", *columns, "mine", every).select(F.xxhash64("band", "mine", "other").alias("block"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("answers"))
-        answer = many.select("band", *columns, "mine", every).select(F.xxhash64("band", "other", "mine").alias("block"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("answers"))
+
+        def spread(rows: DataFrame, own: Column, others: Column) -> DataFrame:
+            return rows.select("band", *columns, F.pmod(F.xxhash64("id"), own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
+
+        small = (asking == 1) & (answering == 1)
+        one = here.where(small).select(F.col("band").alias("block"), *columns, "asks", F.lit(True).alias("answers"))
+        many = here.where(~small)
+        ask = spread(many.where("asks"), asking, answering).select(F.xxhash64("band", "own", "other").alias("block"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("answers"))
+        answer = spread(many, answering, asking).select(F.xxhash64("band", "other", "own").alias("block"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("answers"))
         dealt = one.unionByName(ask).unionByName(answer).repartition("block").sortWithinPartitions("block")
         pairs = stored(dealt.mapInArrow(_compare(self.percent, top), "a long, b long").distinct(), "minhash-apart")
         return None if pairs.isEmpty() else pairs
