@@ -29,6 +29,8 @@ from tallyforge.llm.texthash import NOT_WORD, mix, shingles
 SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
 #: largest number of shingles of each partition's items, and bins of its sketches
 SMALLEST, STEP = 16, 4
+#: shingles that are sketched at once
+SEGMENT = 1 << 15
 
 
 def bins_of(size: int) -> int:
@@ -86,7 +88,29 @@ class ItemIndex:
         return out
 
     def candidates(self, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
-        """(document, item) pairs of which a window and the item agree in a bin."""
+        """(document, item) pairs of which a window and the item agree in a bin.
+
+        Documents are taken together up to ``SEGMENT`` shingles; a longer one is
+        taken in segments that overlap by a window, so memory stays bounded.
+        """
+        overlap = 2 * max(self.values, default=0)
+        segment = max(SEGMENT, overlap)
+        begins = np.cumsum(counts) - counts
+        found: set[tuple[int, int]] = set()
+        d = 0
+        while d < len(counts):
+            if counts[d] > segment:
+                for s in range(0, int(counts[d]), segment):
+                    part = h[begins[d] + max(0, s - overlap) : begins[d] + min(int(counts[d]), s + segment)]
+                    found.update((d, i) for _, i in self._agreeing(part, np.array([len(part)])))
+                d += 1
+                continue
+            e = d + max(1, int(np.searchsorted(np.cumsum(counts[d:]), segment, side="right")))
+            found.update((d + k, i) for k, i in self._agreeing(h[begins[d] : begins[e - 1] + counts[e - 1]], counts[d:e]))
+            d = e
+        return found
+
+    def _agreeing(self, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
         doc = np.repeat(np.arange(len(counts)), counts)
         position = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
         found: set[tuple[int, int]] = set()

@@ -48,6 +48,29 @@ def trigrams(texts: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return table[code[keep]], owner[: len(code)][keep]
 
 
+def pieces(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """The texts in groups of about ``most`` bytes, with the index of each; longer ones are cut at spaces.
+
+    No counted trigram reaches across a space, so pieces have the whole text's trigrams.
+    """
+    owners, group, size = [], [], 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text) or at == 0:
+            to = len(text)
+            if to - at > most:
+                to = text.rfind(b" ", at, at + most) + 1 or at + most
+            owners.append(k)
+            group.append(text[at:to])
+            size += to - at
+            at = to or 1
+            if size >= most:
+                yield np.array(owners), group
+                owners, group, size = [], [], 0
+    if group:
+        yield np.array(owners), group
+
+
 _tables: dict[int, np.ndarray] = {}
 
 
@@ -71,12 +94,13 @@ def _count(buckets: int):
         counts: dict[str, np.ndarray] = {}
 
         for langs, texts in sliced(batches):
-            codes, owner = trigrams(texts, buckets)
             names = np.array(langs, object)
-            for lang in set(langs):
-                mine = (names == lang)[owner]
-                counts.setdefault(lang, np.zeros(buckets, np.int64))
-                counts[lang] += np.bincount(codes[mine], minlength=buckets)
+            for of, group in pieces(texts):
+                codes, owner = trigrams(group, buckets)
+                for lang in set(langs):
+                    mine = (names == lang)[of][owner]
+                    counts.setdefault(lang, np.zeros(buckets, np.int64))
+                    counts[lang] += np.bincount(codes[mine], minlength=buckets)
         for lang, c in counts.items():
             some = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), pa.array(some, pa.int32()), pa.array(c[some], pa.int64())], names=["lang", "bucket", "n"])
@@ -117,12 +141,13 @@ def mixtures(model: LanguageModel, texts: list[bytes], steps: int = 12, penalty:
     """Per text its proportions (0 outside the selected set), and whether it has trigrams."""
     n, k = len(texts), len(model.languages)
     share = np.zeros((n, k), np.float32)
-    codes, owner = trigrams(texts, model.buckets)
-    some = np.zeros(n, bool)
-    some[owner] = True
-    if not len(codes) or not k:
+    dense = np.zeros(n * model.buckets, np.int64)
+    for of, group in pieces(texts):
+        codes, owner = trigrams(group, model.buckets)
+        dense += np.bincount(of[owner] * np.int64(model.buckets) + codes, minlength=len(dense))
+    some = dense.reshape(n, model.buckets).any(axis=1)
+    if not some.any() or not k:
         return share, some
-    dense = np.bincount(owner * np.int64(model.buckets) + codes, minlength=n * model.buckets)
     cells = np.flatnonzero(dense)
     doc_of, c = cells // model.buckets, dense[cells].astype(np.float32)
     index = np.cumsum(some) - 1  # documents that have trigrams

@@ -233,7 +233,7 @@ class NearDuplicates:
 
     words: int = 5
     percent: int = 80
-    block: int = 512
+    block: int = 256
 
     def __call__(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row per input row: doc_id, n_shingles, component_id, kept.

@@ -21,18 +21,23 @@ BLANK[list(BLANKS)] = True
 #: ASCII that is neither letter nor digit also parts words
 NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
-_powers: dict[tuple[int, int], np.ndarray] = {}
+#: bytes hashed at once
+CHUNK = 1 << 20
+
+_powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, by doubling."""
-    have = _powers.get((base, 0))
+    have = _powers.get(base)
     if have is None or len(have) < n:
         out = np.ones(1, np.uint64)
         while len(out) < n:
             step = np.uint64(pow(base, len(out), 1 << 64))
             out = np.concatenate([out, out * step])
-        _powers[(base, 0)] = have = out
+        have = out
+        if n <= 2 * CHUNK:  # those of a longer word are not kept
+            _powers[base] = out
     return have[:n]
 
 
@@ -60,10 +65,18 @@ def words(texts: list[bytes], between: np.ndarray = BLANK) -> tuple[np.ndarray,
     blank = between[data]
     edges = np.flatnonzero(np.diff(np.concatenate([[True], blank]).astype(np.int8)))
     begin, end = edges[::2], edges[1::2]
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(BASE, n), out=sums[1:])
-    h = mix((sums[end] - sums[begin]) * _power(INVERSE, n)[begin] + (end - begin).astype(np.uint64))
+    h = np.empty(len(begin), np.uint64)
+    at = 0
+    while at < len(begin):  # bounded arrays of 64-bit numbers, however long the texts are
+        first = begin[at]
+        to = max(at + 1, int(np.searchsorted(end, first + CHUNK, side="right")))
+        part = data[first : end[to - 1]]
+        n = len(part)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power(BASE, n), out=sums[1:])
+        i, j = begin[at:to] - first, end[at:to] - first
+        h[at:to] = mix((sums[j] - sums[i]) * _power(INVERSE, n)[i] + (j - i).astype(np.uint64))
+        at = to
     return h, np.diff(np.searchsorted(begin, starts))
 
 

@@ -41,6 +41,17 @@ def test_mixture_finds_both_languages(spark):
     assert share[1].argmax() == names.index("en") and share[1].max() > 0.9
 
 
+def test_pieces_have_the_trigrams_of_the_whole():
+    texts = [b"one two three four " * 30, b"", b"x" * 90, "é ü ß".encode(), b"last"]
+    def counted(most):
+        out = np.zeros((len(texts), 512), int)
+        for of, group in language.pieces(texts, most):
+            codes, owner = language.trigrams(group, 512)
+            np.add.at(out, (of[owner], codes), 1)
+        return out
+    assert (counted(1 << 20) == counted(100)).all() and (counted(1 << 20)[[0, 1, 3, 4]] == counted(40)[[0, 1, 3, 4]]).all()
+
+
 def test_quality_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

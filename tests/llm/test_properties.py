@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyforge.llm import exact_dedup, html, packing
+from tallyforge.llm import exact_dedup, html, packing, texthash
 from tallyforge.llm.texthash import shingles
 
 PARTS = st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<article>", "</article>", "<b>", "</b>", "<br>", "<script>", "</script>", "<!--", "-->", "&amp;", "&#x41;", "<", ">", "'", '"', " ", "\n", "word", "é", "<a href=\"x>y\">", "<table><tr><td>", "</table>", "<li>", "<![CDATA[", "]]>", "<p", "</"]), max_size=60)
@@ -49,3 +49,13 @@ def test_shingle_counts(texts):
 @given(st.text(max_size=60))
 def test_normalised_text(text):
     assert exact_dedup.normalised(text).decode("utf-8", "surrogatepass") == re.sub(r"[\x20\x09-\x0D]", "", text)
+
+
+def test_chunks_do_not_change_hashes(monkeypatch):
+    texts = [b"one two three " * 50, b"", b"x" * 300 + b" one two", b"\n", b"one"]
+    want, counts = texthash.words(texts)
+    for chunk in (1, 7, 100):
+        monkeypatch.setattr(texthash, "CHUNK", chunk)
+        got, n = texthash.words(texts)
+        assert got.tolist() == want.tolist() and n.tolist() == counts.tolist()
+    assert want[0] == want[3] == want[-1]

@@ -93,7 +93,9 @@ def leaks(docs, items, words=5, percent=80):
     return sorted(((d, i, len(b), len(a & b)) for d, a in ds for i, b in its if b and 100 * len(a & b) >= percent * len(b)), key=str)
 
 
-def test_leaks_against_brute_force(spark):
+@pytest.mark.parametrize("segment", [1, 1 << 15])
+def test_leaks_against_brute_force(spark, monkeypatch, segment):
+    monkeypatch.setattr(decontamination, "SEGMENT", segment)
     draw = random.Random(4)
     word = lambda: f"w{draw.randrange(300)}"
     items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([1, 3, 5, 6, 8, 12, 20, 40, 90, 300, 700])] + [(50, None), (51, "... !")]
@@ -119,6 +121,22 @@ def test_leaks_against_brute_force(spark):
     assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in {w[0] for w in want})
 
 
+def test_segments_of_a_long_document_find_the_same():
+    draw = np.random.default_rng(3)
+    h = draw.integers(0, 2**63, 5000).astype(np.uint64)
+    index = decontamination.ItemIndex.build([(1, " ".join(f"w{k}" for k in range(30)))], 5)
+    for at in (0, 15, 777, 4970):
+        g = h.copy()
+        g[at : at + 26] = index.sets[0][: len(g[at : at + 26])]
+        whole = index._agreeing(g, np.array([5000]))
+        assert whole == {(0, 0)}
+        decontamination.SEGMENT, before = 64, decontamination.SEGMENT
+        try:
+            assert index.candidates(g, np.array([5000])) == whole
+        finally:
+            decontamination.SEGMENT = before
+
+
 def test_leaks_of_empty_tables(spark, hard, empty):
     items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     assert decontamination.contaminated(empty, items).count() == 0
