@@ -38,6 +38,9 @@ class Store:
         pointer = self.folder / f"{name}.current"
         return self.spark.read.parquet(str(self.folder / pointer.read_text())) if pointer.exists() else self.spark.read.parquet(str(self.folder / f"{name}.parquet"))
 
+    def has(self, name: str) -> bool:
+        return (self.folder / f"{name}.current").exists() or (self.folder / f"{name}.parquet").exists()
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
         snapshot = f"{name}-{uuid.uuid4().hex}"
         df.write.parquet(str(self.folder / snapshot))
@@ -85,7 +88,14 @@ def _stage(s: Store, a: argparse.Namespace) -> None:
 def _export(s: Store, a: argparse.Namespace) -> None:
     p = s.read("publications")
     rows = mart.metric_sheet(s.read("metrics"), s.read("documents"), p)
-    sheets = {"metrics": rows.orderBy(*mart.SHEET_ORDER), "qa_issues": s.read("qa_issues"), "status": mart.status_counts(p)}
+    sheets = {"metrics": rows.withColumn("number_format", mart.number_format(F.col("value"))).orderBy(*mart.SHEET_ORDER)}
+    if s.has("events"):
+        sheets["events"] = s.read("events").orderBy(F.desc("event_date"), "event_id")
+    if s.has("tickers"):
+        stored = p.select("ticker").distinct().withColumn("name", F.col("ticker"))
+        sheets["tickers"] = mart.ticker_sheet(stored, s.read("tickers")).orderBy("ticker")
+    sheets["meta"] = mart.status_counts(p).orderBy("status")
+    sheets["qa_issues"] = s.read("qa_issues").orderBy("publication_id", "code")
     if a.format == "xlsx":
         write_workbook(sheets, f"{a.out}/mart.xlsx")
     else:

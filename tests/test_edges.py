@@ -80,9 +80,10 @@ def test_cli_runs_exports_and_reports(spark, tmp_path, folder, capsys):
     spark.createDataFrame([], "publication_id string, ticker string, code string, message string").write.parquet(f"{d}/qa_issues.parquet")
     for name in ("ticks", "skiplist", "companies", "tickers"):
         table(spark, SF, name).write.parquet(f"{d}/{name}.parquet")
-    for argv in (["run"], ["update"], ["validate"], ["export", str(tmp_path / "out")], ["evolve", "tick"], ["evolve", "status"], ["evolve", "report"], ["evolve", "reset", "--company", "9"], ["evolve", "canary"], ["evolve", "cleanup"], ["prune", "--older-than", "0s"]):
+    for argv in (["run"], ["update"], ["validate"], ["export", str(tmp_path / "out")], ["export", str(tmp_path / "book"), "--format", "xlsx"], ["evolve", "tick"], ["evolve", "status"], ["evolve", "report"], ["evolve", "reset", "--company", "9"], ["evolve", "canary"], ["evolve", "cleanup"], ["prune", "--older-than", "0s"]):
         assert cli.main(["--state", d, *argv], spark) == 0, argv
     assert spark.read.parquet(str(tmp_path / "out/metrics")).count() > 0
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"metrics", "tickers", "meta", "qa_issues"} and (tmp_path / "book/mart.xlsx").exists()
     assert cli.main(["--state", d, "status"], spark) == 3
     assert cli.main(["config", str(folder)]) == 0 and cli.main(["config", d]) == 2
     assert cli.main(["--state", SF, "query", "a9_status_counts", "--out", str(tmp_path / "q")], spark) == 0
