@@ -1,11 +1,13 @@
 """Main text of web pages with site template removal (operator 10).
 
-Pass 1 parses every page, hashes the element subtrees outside its article and
-counts, in Spark, on how many pages of a host each hash occurs. Pass 2 deletes
-the subtrees that recur on many pages of their host, and elements that are
-navigation, advertising and so on by their own markup, and returns the blocks
-of what is left. An article may lawfully recur (mirrors, reprints), therefore
-subtrees within an explicit article or main element are never counted.
+Pass 1 parses every page, hashes its element subtrees, within its article too,
+and counts, in Spark, on how many different contents of a host, and of a host's
+section, each hash occurs. Pass 2 deletes the subtrees that recur on many, and
+elements that are navigation, advertising and so on by their own markup, and
+returns the blocks of what is left. An article may lawfully recur (mirrors,
+reprints), therefore pages of the same content count once, an article as a
+whole is never counted, and one that templates would more than halve is a
+reprint with changes and stays as it is.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion cookie cookies consent gdpr notice notices sidebar menu menus nav navbar navigation breadcrumb breadcrumbs share sharing social related recommended comment comments discussion disqus replies newsletter subscribe signup login popup modal overlay footer masthead toolbar pagination pager widget skip".split())
 #: elements nested deeper than this are empty and their content goes to the element that holds them
 DEEPEST = 200
+# Within an article these recur for other reasons: section titles, and cells and items of whole tables and lists.
+PIECES = frozenset("h1 h2 h3 h4 h5 h6 header hgroup li dt dd tr td th option tbody thead tfoot caption figcaption summary".split())
 SELF_NESTED = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
 SIBLINGS = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tbody", "thead", "tfoot"), "tfoot": ("tbody", "thead", "tfoot"), "thead": ("tbody", "thead", "tfoot")}
 
@@ -137,67 +141,66 @@ def _close_sibling(stack: list[Node], tag: str) -> None:
             return
 
 
-def _weight(node: Node) -> int:
-    """Characters of text, noise left out."""
-    return sum(len(p) if isinstance(p, str) else 0 if p.noise else _weight(p) for p in node.parts)
+def _weight(node: Node, deleted: frozenset[bytes] = frozenset()) -> int:
+    """Characters of text, noise and ``deleted`` left out."""
+    return sum(len(p) if isinstance(p, str) else 0 if p.noise or p.key is not None and p.key in deleted else _weight(p, deleted) for p in node.parts)
 
 
-def _find(node: Node, tag: str) -> Iterator[Node]:
+def _find(node: Node, tags: tuple[str, ...]) -> Iterator[Node]:
     for p in node.parts:
         if isinstance(p, Node) and not p.noise:
-            if p.tag == tag:
+            if p.tag in tags:
                 yield p
             else:
-                yield from _find(p, tag)
+                yield from _find(p, tags)
 
 
-def main_element(root: Node) -> Node | None:
-    """The article (the longest of several), else the main element, if there is one."""
-    for tag in ("article", "main"):
-        found = list(_find(root, tag))
-        if found:
-            return max(found, key=_weight)
-    return None
+def main_elements(root: Node) -> list[Node]:
+    """The outermost main elements and the outermost article (the longest of several), in page order."""
+    found = list(_find(root, ("article", "main")))
+    longest = max((x for x in found if x.tag == "article"), key=_weight, default=None)
+    return [x for x in found if x.tag == "main" or x is longest]
 
 
-def keyed(node: Node) -> bytes:
-    """Hash of a subtree: its name, and its text and children in order."""
-    h = hashlib.blake2b(node.tag.encode(), digest_size=8)
-    for p in node.parts:
-        if isinstance(p, str):
-            text = BLANK.sub(" ", p).strip()
-            if text:
-                h.update(b"\0" + text.encode("utf-8", "surrogatepass"))
-        else:
-            h.update(b"\1" + keyed(p))
-    node.key = h.digest()
-    return node.key
-
-
-def outside(node: Node, article: Node | None) -> Iterator[Node]:
-    """Subtrees with text that do not touch the article."""
-    for p in node.parts:
-        if isinstance(p, Node) and p is not article and p.tag not in RAW:
-            if p.tag not in ("html", "body") and p.tag not in INLINE and p.tag not in VOID:
-                yield p
-            yield from outside(p, article)
-
-
-def candidates(root: Node) -> list[Node]:
-    """Subtrees that may be a site's template, each with its key."""
-    article = main_element(root)
-    holders = set()
-
-    def holds(node: Node) -> bool:
-        found = any(isinstance(p, Node) and (p is article or holds(p)) for p in node.parts)
-        if found:
-            holders.add(id(node))
-        return found
-
-    if article is not None:
-        holds(root)
-    keyed(root)
-    return [x for x in outside(root, article) if id(x) not in holders]
+def keyed(root: Node) -> list[Node]:
+    """The subtrees, parents first, each with its hash: its name, and its text and children in order."""
+    order = [root]
+    for x in order:
+        order.extend(p for p in x.parts if isinstance(p, Node))
+    for x in reversed(order):
+        h = hashlib.blake2b(x.tag.encode("utf-8", "surrogatepass"), digest_size=8)
+        for p in x.parts:
+            if isinstance(p, str):
+                text = BLANK.sub(" ", p).strip()
+                if text:
+                    h.update(b"\0" + text.encode("utf-8", "surrogatepass"))
+            else:
+                h.update(b"\1" + p.key)
+        x.key = h.digest()
+    return order
+
+
+def candidates(root: Node) -> tuple[bytes, set[bytes]]:
+    """Key of the page's content, and keys of the subtrees that may be a site's template."""
+    mains = main_elements(root)
+    order = keyed(root)
+    holders, inside = {id(x) for x in mains}, {id(x) for x in mains}
+    for x in reversed(order):
+        if any(isinstance(p, Node) and id(p) in holders for p in x.parts):
+            holders.add(id(x))
+    keys = set()
+    for x in order:
+        within = id(x) in inside
+        for p in x.parts:
+            if not isinstance(p, Node):
+                continue
+            if within and not p.noise:
+                inside.add(id(p))
+            elif within:
+                continue
+            if id(p) not in holders and p.tag not in ("html", "body") and not (p.tag in RAW or p.tag in INLINE or p.tag in VOID) and not (within and p.tag in PIECES):
+                keys.add(p.key)
+    return b"".join(x.key for x in mains) or root.key, keys
 
 
 def blocks(node: Node, deleted: frozenset[bytes], in_article: bool = False) -> list[str]:
@@ -245,11 +248,11 @@ def extract(page: str | None, deleted: frozenset[bytes] = frozenset()) -> str:
     if not page:
         return ""
     root = parse(page)
-    article = main_element(root)
-    if article is not None:
-        return "\n".join(blocks(article, frozenset(), True))
+    mains = main_elements(root)
     if deleted:
         keyed(root)
+    if mains:
+        return "\n".join(t for x in mains for t in blocks(x, deleted if 2 * _weight(x, deleted) >= _weight(x) else frozenset(), True))
     return "\n".join(blocks(root, deleted)) or "\n".join(blocks(root, frozenset()))
 
 
@@ -258,37 +261,18 @@ def host_of(url: F.Column) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def _host_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[tuple[str, bytes], int] = {}
-
-    def flush() -> pa.RecordBatch:
-        keys = list(counts)
-        batch = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["host", "key", "pages"])
-        counts.clear()
-        return batch
-
-    for batch in batches:
-        for host, page in zip(batch[0], batch[1], strict=True):
-            host, page = host.as_py(), page.as_py()
-            found = {x.key for x in candidates(parse(page))} if page else set()
-            for key in found | {b""}:  # the empty key counts pages
-                counts[(host, key)] = counts.get((host, key), 0) + 1
-            if len(counts) > 200_000:
-                yield flush()
-    if counts:
-        yield flush()
+def sites_of(url: F.Column) -> F.Column:
+    """Hashes of the host, and of the host with the first folder of the path if there is one."""
+    folder = F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]+/)", 1), F.lit(""))
+    return F.array_distinct(F.array(F.xxhash64(host_of(url)), F.xxhash64(F.concat(host_of(url), folder))))
 
 
 def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Template candidates of pages that have no explicit article."""
+    """Content and template candidates of each page."""
     for batch in batches:
-        rows: list[tuple[int, str, bytes]] = []
-        for row, host, page in zip(*batch.columns, strict=True):
-            root = parse(page.as_py() or "")
-            if main_element(root) is None:
-                rows += [(row.as_py(), host.as_py(), k) for k in {x.key for x in candidates(root)}]
-        columns = list(zip(*rows, strict=True)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.binary()), strict=True)], names=["row_key", "host", "key"])
+        found = [candidates(parse(page.as_py() or "")) for page in batch[2]]
+        contents, keys = [c for c, _ in found], [sorted(k) for _, k in found]
+        yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(contents, pa.binary()), pa.array(keys, pa.list_(pa.binary()))], names=["row_key", "sites", "content", "keys"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,29 +285,33 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 RESULT = "page_id long, url string, text string, n_chars long"
 
 
-def templates(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """(host, key) of subtrees on at least ``min_pages`` pages and ``min_share`` of the host's pages."""
-    counted = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_host_counts, "host string, key binary, pages long")
-    total = stored(counted.groupBy("host", "key").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages), "html-templates")
-    hosts = total.where("key = x''").select("host", F.col("pages").alias("host_pages"))
-    return stored(total.where("key <> x''").join(hosts, "host").where(F.col("pages") >= min_share * F.col("host_pages")).select("host", "key"), "html-deleted")
+def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
+    """(site, key) of subtrees on at least ``min_pages`` contents and ``min_share`` of the site's contents."""
+    contents = keys.select(F.explode("sites").alias("site"), "content", "row_key", "keys").groupBy("site", "content").agg(F.min_by("keys", "row_key").alias("keys"))
+    # the empty key counts contents
+    counted = contents.select("site", F.explode(F.array_append("keys", F.lit(b""))).alias("key")).groupBy("site", "key").agg(F.count("*").alias("pages"))
+    total = stored(counted.where(F.col("pages") >= min_pages), "html-templates")
+    sites = total.where("key = x''").select("site", F.col("pages").alias("site_pages"))
+    return stored(total.where("key <> x''").join(sites, "site").where(F.col("pages") >= min_share * F.col("site_pages")).select("site", "key"), "html-deleted")
 
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
     """One row per input row: page_id, url, text, n_chars (code points).
 
     Null html gives empty text; a null url is a host of its own. With an
-    article or main element that element's text is returned; without one the
-    page is, less its site's template subtrees (or with them, if nothing else
-    were left). Repeated rows and ids give a row each. Other columns are not
+    article or main element the text of main elements and of the longest
+    article outside them is returned, without one the page's, less the template
+    subtrees of its host and section (or with them, if nothing else were left,
+    or less than half of an article). Repeated rows and ids give a row each. Other columns are not
     read. An empty table gives no rows.
     """
     bound_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    deleted = templates(source, min_pages=min_pages, min_share=min_share)
     row_key = F.xxhash64("page_id", "url", "html").alias("row_key")
-    keys = source.select(row_key, host_of(F.col("url")).alias("host"), "html").mapInArrow(_page_keys, "row_key long, host string, key binary")
-    hits = stored(keys.join(deleted, ["host", "key"], "left_semi"), "html-hits")
+    keys = stored(source.select(row_key, sites_of(F.col("url")).alias("sites"), "html").mapInArrow(_page_keys, "row_key long, sites array<long>, content binary, keys array<binary>"), "html-keys")
+    deleted = templates(keys, min_pages=min_pages, min_share=min_share)
+    exploded = keys.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.explode("keys").alias("key"))
+    hits = stored(exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "key"), "html-hits")
     if hits.isEmpty():
         return source.mapInArrow(_texts, RESULT)
     per_page = stored(hits.groupBy("row_key").agg(F.collect_set("key").alias("deleted")), "html-pages")

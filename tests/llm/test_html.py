@@ -70,3 +70,21 @@ def test_hosts(spark):
     urls = [("http://User@A.example:80/x", "a.example"), ("https://b.example?q", "b.example"), ("x", ""), (None, "")]
     df = spark.createDataFrame(urls, "url string, host string")
     assert df.where(html.host_of(df.url) != df.host).count() == 0
+
+
+def test_templates_within_articles_go_and_reprints_stay(spark):
+    def story(k):
+        return f"<article><h2>Summary</h2><p>Story number {k} has a text that is longer than what the site adds.</p><div><p>Read us daily.</p></div></article>"
+
+    rows = [(k, f"http://a.example/{k}", story(k)) for k in range(30)]
+    # one section among many, and a reprint of which every copy has another last line
+    rows += [(100 + k, f"http://b.example/{'news' if k < 10 else f's{k}'}/{k}", story(k) if k < 10 else f"<article><p>Other text {k}.</p></article>") for k in range(100)]
+    rows += [(300 + k, f"http://c.example/{k}", f"<article><p>The same long story on every page.</p><p>Copy {k}.</p></article>") for k in range(30)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == got[103] == "Summary\nStory number 3 has a text that is longer than what the site adds."
+    assert got[307] == "The same long story on every page.\nCopy 7."
+    assert len(got) == len(rows)
+
+
+def test_main_keeps_what_is_beside_its_articles():
+    assert html.extract("<main><h1>T</h1><article><p>one</p></article><p>between</p><article><p>the second</p></article></main>") == "T\none\nbetween\nthe second"
