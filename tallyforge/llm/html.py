@@ -39,8 +39,6 @@ NOISE = frozenset("script style noscript template iframe object embed svg canvas
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 # Words of a class or id that mark what is not the article.
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion cookie cookies consent gdpr notice notices sidebar menu menus nav navbar navigation breadcrumb breadcrumbs share sharing social related recommended comment comments discussion disqus replies newsletter subscribe signup login popup modal overlay footer masthead toolbar pagination pager widget skip".split())
-#: elements nested deeper than this are empty and their content goes to the element that holds them
-DEEPEST = 200
 # Within an article these recur for other reasons: section titles, and cells and items of whole tables and lists.
 PIECES = frozenset("h1 h2 h3 h4 h5 h6 header hgroup li dt dd tr td th option tbody thead tfoot caption figcaption summary".split())
 SELF_NESTED = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
@@ -74,85 +72,103 @@ def _noisy(tag: str, attributes: str) -> bool:
     return False
 
 
+class Open:
+    """The open elements, and where each name and the last block is among them: no look-up walks the stack."""
+
+    def __init__(self, root: Node):
+        self.stack, self.blocks, self.where = [root], [0], {}
+
+    def push(self, node: Node) -> None:
+        self.where.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, tags: tuple[str, ...]) -> int:
+        """Place of the innermost of the names, 0 if none is open."""
+        return max((at[-1] for t in tags if (at := self.where.get(t))), default=0)
+
+    def cut(self, k: int) -> None:
+        """Close the element at place ``k`` and all within it."""
+        while len(self.stack) > k:
+            node = self.stack.pop()
+            self.where[node.tag].pop()
+            if self.blocks[-1] == len(self.stack):
+                self.blocks.pop()
+
+
 def parse(page: str) -> Node:
-    """A forgiving tree of the page; anything that is open at its end is closed."""
+    """A forgiving tree of the page, of any depth; anything that is open at its end is closed."""
     root = Node("#root")
-    stack, at, n = [root], 0, len(page)
+    stack, at, n = Open(root), 0, len(page)
     while True:
         m = TOKEN.search(page, at)
         if m is None:
             if at < n:
-                stack[-1].parts.append(page[at:])
+                stack.stack[-1].parts.append(page[at:])
             return root
         if m.start() > at:
-            stack[-1].parts.append(page[at : m.start()])
+            stack.stack[-1].parts.append(page[at : m.start()])
         at = m.end()
         if m[3] is None:
             if m[1]:
-                stack[-1].parts.append(m[1])
+                stack.stack[-1].parts.append(m[1])
             continue
         tag = m[3].lower()
         if m[2]:
             _close(stack, tag)
             continue
-        if tag in CLOSES_P:
-            _close_p(stack)
+        if tag in CLOSES_P and stack.stack[stack.blocks[-1]].tag == "p":
+            stack.cut(stack.blocks[-1])
         if tag in SELF_NESTED:
             _close_sibling(stack, tag)
         node = Node(tag, _noisy(tag, m[4]))
-        stack[-1].parts.append(node)
+        stack.stack[-1].parts.append(node)
         if tag in VOID:
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        if len(stack) < DEEPEST:
-            stack.append(node)
-
+        stack.push(node)
 
-def _close(stack: list[Node], tag: str) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if tag in FORMATTING and stack[k].tag not in INLINE:
-            return  # an inline end tag closes nothing beyond its block
-        if tag == "p" and stack[k].tag in ("article", "main", "body", "td", "th", "div", "section"):
-            return
 
+def _close(stack: Open, tag: str) -> None:
+    k = stack.last((tag,))
+    if tag in FORMATTING and stack.blocks[-1] > k:
+        return  # an inline end tag closes nothing beyond its block
+    if tag == "p" and stack.last(("article", "main", "body", "td", "th", "div", "section")) > k:
+        return
+    if k:
+        stack.cut(k)
 
-def _close_p(stack: list[Node]) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == "p":
-            del stack[k:]
-            return
-        if stack[k].tag not in INLINE:
-            return
 
-
-def _close_sibling(stack: list[Node], tag: str) -> None:
-    same, within = SIBLINGS.get(tag, (tag,)), SELF_NESTED[tag]
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in same:
-            del stack[k:]
-            return
-        if stack[k].tag in within:
-            return
+def _close_sibling(stack: Open, tag: str) -> None:
+    k = stack.last(SIBLINGS.get(tag, (tag,)))
+    if k and k > stack.last(SELF_NESTED[tag]):
+        stack.cut(k)
 
 
 def _weight(node: Node, deleted: frozenset[bytes] = frozenset()) -> int:
     """Characters of text, noise and ``deleted`` left out."""
-    return sum(len(p) if isinstance(p, str) else 0 if p.noise or p.key is not None and p.key in deleted else _weight(p, deleted) for p in node.parts)
+    total, todo = 0, [node]
+    while todo:
+        for p in todo.pop().parts:
+            if isinstance(p, str):
+                total += len(p)
+            elif not p.noise and (p.key is None or p.key not in deleted):
+                todo.append(p)
+    return total
 
 
 def _find(node: Node, tags: tuple[str, ...]) -> Iterator[Node]:
-    for p in node.parts:
-        if isinstance(p, Node) and not p.noise:
-            if p.tag in tags:
-                yield p
-            else:
-                yield from _find(p, tags)
+    todo = [node]
+    while todo:
+        x = todo.pop()
+        if x is not node and x.tag in tags:
+            yield x
+        else:
+            todo.extend(p for p in reversed(x.parts) if isinstance(p, Node) and not p.noise)
 
 
 def main_elements(root: Node) -> list[Node]:
@@ -180,15 +196,15 @@ def keyed(root: Node) -> list[Node]:
     return order
 
 
-def candidates(root: Node) -> tuple[bytes, set[bytes]]:
-    """Key of the page's content, and keys of the subtrees that may be a site's template."""
+def candidates(root: Node) -> tuple[bytes, set[bytes], set[bytes]]:
+    """Key of the page's content, and keys of the subtrees that may be a site's template: those in its text, and the others."""
     mains = main_elements(root)
     order = keyed(root)
     holders, inside = {id(x) for x in mains}, {id(x) for x in mains}
     for x in reversed(order):
         if any(isinstance(p, Node) and id(p) in holders for p in x.parts):
             holders.add(id(x))
-    keys = set()
+    shown, others, hidden = set(), set(), set()
     for x in order:
         within = id(x) in inside
         for p in x.parts:
@@ -198,9 +214,11 @@ def candidates(root: Node) -> tuple[bytes, set[bytes]]:
                 inside.add(id(p))
             elif within:
                 continue
+            elif p.noise or id(x) in hidden:
+                hidden.add(id(p))
             if id(p) not in holders and p.tag not in ("html", "body") and not (p.tag in RAW or p.tag in INLINE or p.tag in VOID) and not (within and p.tag in PIECES):
-                keys.add(p.key)
-    return b"".join(x.key for x in mains) or root.key, keys
+                (shown if within or not mains and id(p) not in hidden else others).add(p.key)
+    return b"".join(x.key for x in mains) or root.key, shown, others - shown
 
 
 def blocks(node: Node, deleted: frozenset[bytes], in_article: bool = False) -> list[str]:
@@ -217,8 +235,10 @@ def blocks(node: Node, deleted: frozenset[bytes], in_article: bool = False) -> l
         if text:
             out.append(text)
 
-    def walk(x: Node, inside: bool) -> None:
-        for p in x.parts:
+    open_parts = [(iter(node.parts), in_article, True)]
+    while open_parts:
+        parts, inside, block = open_parts[-1]
+        for p in parts:
             if isinstance(p, str):
                 run.append(p)
                 continue
@@ -231,15 +251,16 @@ def blocks(node: Node, deleted: frozenset[bytes], in_article: bool = False) -> l
                 continue
             if p.tag == "br":
                 run.append(" ")
-            elif p.tag in INLINE:
-                walk(p, inside)
-            else:
+                continue
+            inline = p.tag in INLINE
+            if not inline:
                 flush()
-                walk(p, inside or p.tag in ("article", "main"))
+            open_parts.append((iter(p.parts), inside or p.tag in ("article", "main"), not inline))
+            break
+        else:
+            open_parts.pop()
+            if block:
                 flush()
-
-    walk(node, in_article)
-    flush()
     return out
 
 
@@ -271,8 +292,8 @@ def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Content and template candidates of each page."""
     for batch in batches:
         found = [candidates(parse(page.as_py() or "")) for page in batch[2]]
-        contents, keys = [c for c, _ in found], [sorted(k) for _, k in found]
-        yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(contents, pa.binary()), pa.array(keys, pa.list_(pa.binary()))], names=["row_key", "sites", "content", "keys"])
+        contents, *keys = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(contents, pa.binary()), *(pa.array([sorted(k) for k in ks], pa.list_(pa.binary())) for ks in keys)], names=["row_key", "sites", "content", "shown", "others"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +308,7 @@ RESULT = "page_id long, url string, text string, n_chars long"
 
 def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
     """(site, key) of subtrees on at least ``min_pages`` contents and ``min_share`` of the site's contents."""
-    contents = keys.select(F.explode("sites").alias("site"), "content", "row_key", "keys").groupBy("site", "content").agg(F.min_by("keys", "row_key").alias("keys"))
+    contents = keys.select(F.explode("sites").alias("site"), "content", "row_key", F.concat("shown", "others").alias("keys")).groupBy("site", "content").agg(F.min_by("keys", "row_key").alias("keys"))
     # the empty key counts contents
     counted = contents.select("site", F.explode(F.array_append("keys", F.lit(b""))).alias("key")).groupBy("site", "key").agg(F.count("*").alias("pages"))
     total = stored(counted.where(F.col("pages") >= min_pages), "html-templates")
@@ -308,9 +329,9 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     bound_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     row_key = F.xxhash64("page_id", "url", "html").alias("row_key")
-    keys = stored(source.select(row_key, sites_of(F.col("url")).alias("sites"), "html").mapInArrow(_page_keys, "row_key long, sites array<long>, content binary, keys array<binary>"), "html-keys")
+    keys = stored(source.select(row_key, sites_of(F.col("url")).alias("sites"), "html").mapInArrow(_page_keys, "row_key long, sites array<long>, content binary, shown array<binary>, others array<binary>"), "html-keys")
     deleted = templates(keys, min_pages=min_pages, min_share=min_share)
-    exploded = keys.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.explode("keys").alias("key"))
+    exploded = keys.select("row_key", F.explode("sites").alias("site"), "shown").select("row_key", "site", F.explode("shown").alias("key"))
     hits = stored(exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "key"), "html-hits")
     if hits.isEmpty():
         return source.mapInArrow(_texts, RESULT)

@@ -88,3 +88,18 @@ def test_templates_within_articles_go_and_reprints_stay(spark):
 
 def test_main_keeps_what_is_beside_its_articles():
     assert html.extract("<main><h1>T</h1><article><p>one</p></article><p>between</p><article><p>the second</p></article></main>") == "T\none\nbetween\nthe second"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div><article>" + "<div>" * 250 + "a" + "</div>" * 250 + "<p>b</p></article></div>", "a\nb"),
+        ("<article>a" + "<div>" * 300 + "<nav>menu</nav><aside>x</aside><form>y</form><p class=ad>z</p>" + "</div>" * 300 + "b</article>", "a\nb"),
+        ("<font>" * 200 + "<span>" * 200 + "<article>a</article>", "a"),
+        ("<b>" * 100_000 + "<article>" + "<i>" * 100_000 + "a<p>b</b></p><li>c" + "</q></i>" * 50_000 + "</article>", "a\nb\nc"),
+    ],
+)
+def test_no_depth_is_too_deep(page, text):
+    assert html.extract(page) == text
+    assert html.extract(page, frozenset((b"another",))) == text
+    html.candidates(html.parse(page))
