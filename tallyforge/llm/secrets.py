@@ -11,6 +11,7 @@ generated table in the same format is used.
 from __future__ import annotations
 
 import random
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,13 +20,17 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import trees
 
-#: a run of 16 or more key characters that has a digit, with nothing of the kind beside it
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,256}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
+_KEY = "A-Za-z0-9+/_-"
+# an assignment (x=, x: , x = ", "x":") or a word for a secret just before; every test has a fixed width
+_ASSIGNED = "|".join(f"(?<=[=:]{blank}{quote})" for blank in ("", " ") for quote in ("", "[\"'`]"))
+_ANNOUNCED = "|".join(f"(?<=(?i:{word})[ ])" for word in "token secret password passwd pwd apikey api[_-]key bearer auth credential".split())
+#: a run of key characters with nothing of the kind beside it, which has 16 or more and a digit, or follows an assignment or a word for a secret
+CANDIDATE = rf"(?<![{_KEY}])(?:(?=[A-Za-z+/_=-]{{0,256}}[0-9])[{_KEY}]{{16,}}|(?:{_ASSIGNED}|{_ANNOUNCED})[{_KEY}]+)={{0,2}}(?![={_KEY}])"
 #: characters of the text kept before and after a candidate
 BEFORE, AFTER = 48, 24
 
 # Words that a dictionary would cover in keys, paths and names.
-DICTIONARY = "access account admin alpha apache api app archive asset auth beta book build cache card class client cloud code com common config content core data date default demo dev dist doc docs download dummy edit error event example export file final first font foo form from green group guide home host html http https image img import index info input item java json key lib library light link list local login main map mark media menu meta model module name net new news note number object old open option order org output page part password path photo plan play post print private product profile project public query raw read release report resource result root sample script secret section server service session set share shop site size small source src staging start static status store string style super support system table tag temp test text theme time title token tool top type update upload user util value version video view web widget window word work world xml year your zone".split()
+DICTIONARY = "access account admin alpha apache api app archive asset auth authorization basic bearer beta book build cache card class client cloud code com common config content core data date default demo dev dist doc docs download dummy edit error event example export false file final first font foo form from green group guide home host html http https image img import index info input item java json key lib library light link list local login main map mark media menu meta model module name net new news none note null number object old open option order org output page part password path photo plan play post print private product profile project public query raw read release report required resource result root sample script secret section server service session set share shop site size small source src staging start static status store string style super support system table tag temp test text theme time title token tool top true type update upload user util value version video view web widget window word work world xml year your zone".split()
 COMMON_PAIRS = "th he in er an re nd at on nt ha es st en ed to it ou ea hi is or ti as te et ng of al de se le sa si ar ve ra ld ur io ic ll ne me li ri ro co".split()
 KEYWORDS = r"(?:token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?id)"
 OTHERS = r"(?:commit|revision|sha-?1|sha-?256|md5|checksum|digest|uuid|guid|isbn|card|phone|tel|order|invoice|version|build|example|sample|dummy|page|fig)"
@@ -66,13 +71,13 @@ def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """One row per candidate: doc_id, finding (its number in the text, from 1), candidate, before, after."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE))
     parts = rows.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("between"))
-    # the text around candidate k is the end of part k and the beginning of part k + 1
-    zipped = parts.select("doc_id", F.posexplode(F.arrays_zip("found", "between", F.slice("between", 2, F.size("between")).alias("following"))).alias("at", "x"))
+    # the text around candidate k is the end of candidate k - 1 and part k, and the beginning of part k + 1
+    zipped = parts.select("doc_id", F.posexplode(F.arrays_zip("found", "between", F.slice("between", 2, F.size("between")).alias("following"), F.array_insert("found", 1, F.lit("")).alias("previous"))).alias("at", "x"))
     return zipped.where("x.found is not null").select(
         "doc_id",
         (F.col("at") + 1).cast("long").alias("finding"),
         F.col("x.found").alias("candidate"),
-        F.right(F.col("x.between"), F.lit(BEFORE)).alias("before"),
+        F.right(F.concat(F.right(F.col("x.previous"), F.lit(BEFORE)), F.right(F.col("x.between"), F.lit(BEFORE))), F.lit(BEFORE)).alias("before"),
         F.left(F.col("x.following"), F.lit(AFTER)).alias("after"),
     )
 
@@ -117,22 +122,25 @@ def generated_findings(n: int = 2000, seed: int = 11) -> list[tuple[str, str, st
         return " ".join("".join(draw.choice(COMMON_PAIRS) for _ in range(draw.randint(1, 4))) for _ in range(6))
 
     def assigned() -> tuple[str, str]:
-        name = draw.choice(["token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "TOKEN", "API_KEY", "Bearer"])
+        name = draw.choice(["token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "TOKEN", "API_KEY", "Bearer", "AWS_SECRET_ACCESS_KEY", "access_token"])
         quote = draw.choice(['"', "'", ""])
         return f"{prose()} {name}{draw.choice([' = ', '=', ': ', ':'])}{quote}", f"{quote} {prose()}"
 
+    def announced() -> tuple[str, str]:
+        return f"{prose()} {draw.choice(['token', 'secret', 'password', 'Bearer', 'credential', 'auth'])} ", f" {prose()}"
+
     def plain() -> tuple[str, str]:
         return f"{prose()} ", f" {prose()}"
 
     out = []
     for k in range(n):
         if k % 2:
-            kind = draw.randrange(5)
-            c = some("0123456789abcdef", 32, 64) if kind == 0 else some("0123456789ABCDEF", 32, 64) if kind == 1 else "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16) if kind == 2 else some(alnum, 20, 64) if kind == 3 else some(alnum + "+/", 40, 44) + "="
-            b, a = assigned() if draw.random() < 0.9 or kind in (0, 1) else plain()
+            kind = draw.randrange(7)
+            c = some("0123456789abcdef", 32, 64) if kind == 0 else some("0123456789ABCDEF", 32, 64) if kind == 1 else "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16) if kind == 2 else some(alnum, 20, 64) if kind == 3 else some(alnum + "+/", 40, 44) + "=" if kind == 4 else some(alnum[:52], 16, 40) if kind == 5 else some(alnum, 9, 15)
+            b, a = announced() if draw.random() < 0.1 else assigned() if draw.random() < 0.9 or kind in (0, 1, 5, 6) else plain()
             out.append((c, b[-BEFORE:], a[:AFTER], 1))
         else:
-            kind = draw.randrange(7)
+            kind = draw.randrange(10)
             b, a = plain()
             if kind == 0:
                 c = some("0123456789", 16, 20)
@@ -149,11 +157,21 @@ def generated_findings(n: int = 2000, seed: int = 11) -> list[tuple[str, str, st
                 b = f"{prose()} {word()} = " if draw.random() < 0.5 else b
             elif kind == 5:
                 c = "".join(draw.choice(COMMON_PAIRS) for _ in range(draw.randint(8, 12))) + str(draw.randint(0, 99))
+            elif kind == 7:
+                # words and numbers after an assignment, or after a word for a secret in prose
+                c = draw.choice([draw.choice([str.lower, str.capitalize, str.upper])(word()), "".join(draw.choice(COMMON_PAIRS) for _ in range(draw.randint(1, 6))), some("0123456789", 1, 12)])
+                b, a = (f"{prose()} {word()}{draw.choice([' = ', '=', ': ', ':'])}", a) if draw.random() < 0.5 else announced() if draw.random() < 0.5 else assigned()
+            elif kind == 8:
+                c, a = draw.choice(["", "//"]) + "/".join(word() for _ in range(draw.randint(1, 4))), draw.choice([".html", ".com"]) + a
+                b = f"{prose()} {word()}{draw.choice([' = ', '=', ': ', ':'])}"
+            elif kind == 9:
+                c = draw.choice("_-").join(word() for _ in range(draw.randint(2, 3)))
+                b, a = assigned()
             else:
                 c = f"your-{word()}-{word()}-here-{draw.randint(1, 999)}"
                 b, a = assigned()
             out.append((c, b[-BEFORE:], a[:AFTER], 0))
-    return [(c, b, a, y) for c, b, a, y in out if len(c) >= 16 and any(d.isdigit() for d in c)]
+    return [(c, b, a, y) for c, b, a, y in out if c in re.findall(CANDIDATE, b + c + a)]
 
 
 def labelled(spark: SparkSession, findings: list[tuple[str, str, str, int]] | None = None) -> DataFrame:

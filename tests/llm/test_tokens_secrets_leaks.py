@@ -68,6 +68,21 @@ def test_secrets_against_a_search(spark, hard, empty):
     assert secrets.scan(hard).where("is_secret").count() == 0
 
 
+def test_secrets_in_assignments(spark):
+    keys = {
+        1: ("AWS_SECRET_ACCESS_KEY={}\nDEBUG=1\n", "wJalrXUtnFEMIK7MDENGbPxRfiCYzKq83LmWvTd2"),
+        2: ("GET http://x.example/a?page=2&access_token={}&x=y", "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"),
+        3: ("password: {}", "Kq7Zt2RwX9"),
+        4: ("api_key='{}'", "QmZxTrWvKpLsHdNcBgYj"),
+        5: ("Authorization: Bearer {}", "c2VjcmV0LXZhbHVlLTEyMzQ1Njc4OTAxMjM0NTY3ODkw="),
+        6: ("secret: {}\n", "xQ4vT8mZ1pLk"),
+    }
+    rows = [(k, text.format(key)) for k, (text, key) in keys.items()]
+    rows += [(10, "name=value and title: something else"), (11, "the secret garden, a password reset: required"), (12, "token = null; size=1024")]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.candidate) for r in got if r.is_secret} == {(k, key) for k, (_, key) in keys.items()}
+
+
 def test_forest_on_held_out_findings(spark):
     forest = secrets.train(secrets.labelled(spark))
     new = secrets.labelled(spark, secrets.generated_findings(800, seed=99))
