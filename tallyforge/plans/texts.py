@@ -317,9 +317,8 @@ def f21(spark, d):
 
 @query("j14_best_names")
 def j14(spark, d):
-    names = table(spark, d, "supplier").select(F.col("s_suppkey").alias("position"), F.col("s_name").alias("name"), (F.col("s_suppkey") % 100).alias("bucket"))
-    targets = table(spark, d, "customer").select(F.col("c_name").alias("target"), (F.col("c_custkey") % 100).alias("bucket"))
-    return listings.best_names(targets.join(names, "bucket").select("target", "position", "name"))
+    names = table(spark, d, "supplier").select(F.col("s_suppkey").alias("position"), F.col("s_name").alias("name"))
+    return listings.best_of_all(table(spark, d, "customer").select(F.col("c_name").alias("target")), names)
 
 
 @query("x1_tumbling_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 3) AS value FROM events GROUP BY ALL")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,3 +85,43 @@ def best_names(pairs: DataFrame, n: int = 3) -> DataFrame:
     per = scored.groupBy("target").agg(best.alias("best"))
     x = per.select("target", F.posexplode("best").alias("place", "b"))
     return x.select("target", (F.col("place") + 1).alias("place"), "b.name", "b.position", (-F.col("b.minus")).alias("score"))
+
+
+def _best_of(names: list[tuple[int, str | None]], n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matchers = [(position, name, difflib.SequenceMatcher(None, "", (name or "").lower().strip())) for position, name in names]
+        for batch in batches:
+            rows: list[tuple[str | None, int, str | None, float]] = []
+            for target in batch[0].to_pylist():
+                low, best = (target or "").lower().strip(), []
+                for position, name, m in matchers:
+                    m.set_seq1(low)
+                    # the quick ratios are never below the ratio
+                    if len(best) == n and (m.real_quick_ratio() < -best[-1][0] or m.quick_ratio() < -best[-1][0]):
+                        continue
+                    bisect.insort(best, (-m.ratio(), position, name), key=lambda x: x[:2])
+                    del best[n:]
+                rows += [(target, position, name, -minus) for minus, position, name in best]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.float64()), strict=True)], names=["target", "position", "name", "score"])
+
+    return run
+
+
+def best_of_all(targets: DataFrame, names: DataFrame, n: int = 3, block_rows: int = 20_000) -> DataFrame:
+    """J14 of every distinct target against all names (position, name): the result of ``best_names``.
+
+    ``block_rows`` names are held by a task at once; more names make more
+    passes, of which each keeps its ``n`` best.
+    """
+    blocks = max(1, -(-names.count() // block_rows))
+    asked = targets.select("target").distinct().repartition(4 * targets.sparkSession.sparkContext.defaultParallelism)
+    scored: DataFrame | None = None
+    for k in range(blocks):
+        part = names.where(F.pmod(F.xxhash64("position", "name"), F.lit(blocks)) == k).select(F.col("position").cast("long"), "name")
+        block = sorted(((r.position, r.name) for r in part.toLocalIterator()), key=lambda x: x[0])
+        found = asked.mapInArrow(_best_of(block, n), "target string, position long, name string, score double")
+        scored = found if scored is None else scored.unionByName(found)
+    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "position", "name"))), 1, n)
+    x = scored.groupBy("target").agg(best.alias("best")).select("target", F.posexplode("best").alias("place", "b"))
+    return x.select("target", (F.col("place") + 1).alias("place"), "b.name", "b.position", (-F.col("b.minus")).alias("score"))

@@ -1,6 +1,7 @@
 """Semantics that are easy to get wrong, on inline rows."""
 
 import datetime
+import difflib
 import io
 import zipfile
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import classify, markup, period, text
 from tallyforge.operators import control, documents, extraction, mart, quality_rules, state
+from tallyforge.plans import registry
 from tallyforge.sources import files, listings, logs
 
 METRICS = "ticker string, reporting_date string, period_type string, reporting_standard string, metric_name string, value double, currency string, unit string"
@@ -317,3 +319,19 @@ def test_watermark_is_strict(spark):
     marks = mart.watermarks(found.select("ticker").distinct(), found.where("publication_id = 'a'"))
     assert sorted(r.publication_id for r in mart.incremental(found, marks).collect()) == ["b", "c"]
     assert sorted(r.publication_id for r in mart.incremental(found, marks, 1).collect()) == ["a", "b", "c"]
+
+
+def test_best_names_of_all_names(spark):
+    sf = "/root/testdata/sf0.001"
+    names = [(r.s_suppkey, r.s_name) for r in spark.read.parquet(f"{sf}/supplier.parquet").collect()]
+    targets = {r.c_name for r in spark.read.parquet(f"{sf}/customer.parquet").collect()}
+
+    def best(target):
+        scored = [(-difflib.SequenceMatcher(None, target.lower().strip(), name.lower().strip()).ratio(), position, name) for position, name in names]
+        return [(target, k + 1, name, position, -minus) for k, (minus, position, name) in enumerate(sorted(scored)[:3])]
+
+    want = sorted(row for target in targets for row in best(target))
+    got = registry.queries()["j14_best_names"](spark, sf)
+    assert sorted(map(tuple, got.select("target", "place", "name", "position", "score").collect())) == want
+    asked, all_names = spark.createDataFrame([(t,) for t in targets], "target string"), spark.createDataFrame(names, "position long, name string")
+    assert sorted(map(tuple, listings.best_of_all(asked, all_names, block_rows=4).select("target", "place", "name", "position", "score").collect())) == want
