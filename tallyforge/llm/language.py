@@ -137,7 +137,7 @@ def _em(p: np.ndarray, c: np.ndarray, starts: np.ndarray, doc: np.ndarray, share
     return share, np.add.reduceat(c * np.log(np.maximum((p * share[doc]).sum(axis=1), 1e-30)), starts)
 
 
-def mixtures(model: LanguageModel, texts: list[bytes], steps: int = 12, penalty: float = 2.0, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def mixtures(model: LanguageModel, texts: list[bytes], steps: int = 12, penalty: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
     """Per text its proportions (0 outside the selected set), and whether it has trigrams."""
     n, k = len(texts), len(model.languages)
     share = np.zeros((n, k), np.float32)
@@ -162,17 +162,27 @@ def mixtures(model: LanguageModel, texts: list[bytes], steps: int = 12, penalty:
     # neighbouring trigrams overlap: a third of them count as independent
     value = singles.max(axis=1) / 3
     if k > 1:
-        full, _ = _em(p, c, starts, doc, np.full(singles.shape, 1 / k, np.float32), steps)
+        full, full_ll = _em(p, c, starts, doc, np.full(singles.shape, 1 / k, np.float32), steps)
         order = np.argsort(-full, axis=1, kind="stable")
-        for size in range(2, min(most, k) + 1):
-            within = np.zeros(singles.shape, bool)
-            np.put_along_axis(within, order[:, :size], True, axis=1)
-            begin = np.where(within, np.maximum(full, 1e-3), 0).astype(np.float32)
-            got, ll = _em(p, c, starts, doc, begin / begin.sum(axis=1, keepdims=True), steps // 2)
-            penalised = ll / 3 - penalty * (size - 1) * np.log(total + 1)
-            better = penalised > value
-            value = np.where(better, penalised, value)
-            best[better] = got[better]
+        # no proportions of any languages have a likelihood above this (concavity; the rest is for rounding)
+        gain = np.add.reduceat(p * (c / np.maximum((p * full[doc]).sum(axis=1), 1e-30))[:, None], starts, axis=0).max(axis=1) / total
+        most = full_ll + total * np.log(np.maximum(gain, 1)) + 1e-4 * np.abs(full_ll) + 1
+        for size in range(2, k + 1):
+            cost = penalty * (size - 1) * np.log(total + 1)
+            left = np.flatnonzero(most / 3 - cost > value)  # larger sets cannot be better for the others
+            if not len(left):
+                break
+            of_left = np.isin(doc, left)
+            mine = np.searchsorted(left, doc[of_left])
+            within = np.zeros((len(left), k), bool)
+            np.put_along_axis(within, order[left, :size], True, axis=1)
+            begin = np.where(within, np.maximum(full[left], 1e-3), 0).astype(np.float32)
+            begins = np.flatnonzero(np.diff(np.concatenate([[-1], mine])))
+            got, ll = _em(p[of_left], c[of_left], begins, mine, begin / begin.sum(axis=1, keepdims=True), steps // 2)
+            penalised = ll / 3 - cost[left]
+            better = penalised > value[left]
+            value[left[better]] = penalised[better]
+            best[left[better]] = got[better]
     share[some] = best
     return share, some
 

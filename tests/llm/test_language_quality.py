@@ -41,6 +41,17 @@ def test_mixture_finds_both_languages(spark):
     assert share[1].argmax() == names.index("en") and share[1].max() > 0.9
 
 
+def test_mixture_finds_four_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train(docs)
+    assert len(model.languages) >= 4
+    four = model.languages[:4]
+    text = {lang: "\n".join(r.text for r in docs.where(f"lang = '{lang}'").orderBy("doc_id").limit(8).collect())[:6000] for lang in four}
+    share, _ = language.mixtures(model, ["\n".join(text.values()).encode(), text[four[0]].encode()])
+    assert {model.languages[k] for k in np.flatnonzero(share[0])} == set(four) and all(0.15 < s < 0.35 for s in share[0][:4])
+    assert share[1].max() > 0.9 and abs(share[0].sum() - 1) < 1e-3
+
+
 def test_pieces_have_the_trigrams_of_the_whole():
     texts = [b"one two three four " * 30, b"", b"x" * 90, "é ü ß".encode(), b"last"]
     def counted(most):
