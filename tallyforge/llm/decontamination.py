@@ -6,7 +6,9 @@ short item is then a sizeable part of some window instead of a vanishing part
 of the document, and MinHash can see it. Windows and items are sketched by
 one-permutation MinHash (the least hash per bin); an item and a window that
 agree in a bin make their document a candidate, which is verified by the exact
-share of the item's shingles that the whole document contains.
+share of the item's shingles that the whole document contains. The shortest
+items have too few values for that: a document that has any of their shingles
+is a candidate.
 
 Items are taken in blocks of bounded size, one pass over the documents per
 block; nothing else is broadcast, and documents are never shuffled.
@@ -75,7 +77,8 @@ class ItemIndex:
             b, v = sketch_parts(s, bins_of(size))
             least = np.full(bins_of(size), np.uint64(0xFFFFFFFFFFFFFFFF))
             np.minimum.at(least, b, v)
-            for value in least[np.unique(b)]:
+            # a sketch of the shortest items might be of one value, so all their shingles are kept
+            for value in v if size == SMALLEST else least[np.unique(b)]:
                 sketches.setdefault(size, {}).setdefault(int(value), []).append(len(out.ids))
             out.ids.append(item_id)
             out.sets.append(s)
@@ -120,15 +123,16 @@ class ItemIndex:
             per_doc = counts // size + 2  # windows of 2 * size shingles that begin every size shingles
             first = np.cumsum(per_doc) - per_doc
             own = first[doc] + position // size + 1
-            least = np.full(int(per_doc.sum()) * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
-            for window in (own, own - 1):
-                np.minimum.at(least, window * bins + b, v)
+            if size > SMALLEST:
+                least = np.full(int(per_doc.sum()) * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
+                for window in (own, own - 1):
+                    np.minimum.at(least, window * bins + b, v)
             hit = self.maybe[size][(v & np.uint64(0xFFFF)).astype(np.int64)]
             k = np.flatnonzero(hit)
             place = np.searchsorted(values, v[k])
             same = (place < len(values)) & (values[np.minimum(place, len(values) - 1)] == v[k])
             k, place = k[same], place[same]
-            agrees = (least[own[k] * bins + b[k]] == v[k]) | (least[(own[k] - 1) * bins + b[k]] == v[k])
+            agrees = np.ones(len(k), bool) if size == SMALLEST else (least[own[k] * bins + b[k]] == v[k]) | (least[(own[k] - 1) * bins + b[k]] == v[k])
             for d, p in zip(doc[k[agrees]].tolist(), place[agrees].tolist(), strict=True):
                 found.update((d, item) for item in self.owners[size][p].tolist())
         return found

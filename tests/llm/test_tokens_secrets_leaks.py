@@ -152,6 +152,15 @@ def test_segments_of_a_long_document_find_the_same():
             decontamination.SEGMENT = before
 
 
+def test_items_of_one_shingle_are_always_candidates():
+    draw = np.random.default_rng(5)
+    index = decontamination.ItemIndex.build([(k, f"a{k} b{k}") for k in range(4)], 5)
+    for item, s in enumerate(index.sets):
+        h = draw.integers(0, 2**63, (2000, 64)).astype(np.uint64)
+        h[:, 30] = s[0]
+        assert index.candidates(h.ravel(), np.full(2000, 64)) == {(d, item) for d in range(2000)}
+
+
 def test_leaks_of_empty_tables(spark, hard, empty):
     items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     assert decontamination.contaminated(empty, items).count() == 0
