@@ -21,14 +21,16 @@ import pickle
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 import xxhash
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tallyforge.llm.storage import bound_batches, filesystem, shared_dir, stored
+from tallyforge.llm.storage import bound_batches, filesystem, lean, session_dir, stored
 
 #: fixed values: the characters deleted before texts are compared
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -43,7 +45,11 @@ def normalised(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(None, BLANKS)
 
 
-@dataclass
+#: bytes of a record's objects and slots beside its content: three byte strings, four numbers, the record, four slots
+OVERHEAD = 512
+
+
+@dataclass(slots=True)
 class Record:
     sha256: bytes
     xxh128: bytes
@@ -51,15 +57,17 @@ class Record:
     chars: int
     doc_id: int | None
     rows: int
+    row: tuple | None = None  # all columns of the best row, where whole rows are wanted
+    row_bytes: int = 0
 
     @property
     def size(self) -> int:
-        return len(self.content) + 200
+        return len(self.content) + self.row_bytes + OVERHEAD
 
     def merge(self, other: Record) -> None:
         self.rows += other.rows
         if better(other.chars, other.doc_id, self.chars, self.doc_id):
-            self.chars, self.doc_id = other.chars, other.doc_id
+            self.chars, self.doc_id, self.row, self.row_bytes = other.chars, other.doc_id, other.row, other.row_bytes
 
 
 def better(chars: int, doc_id: int | None, than_chars: int, than_id: int | None) -> bool:
@@ -90,7 +98,9 @@ class ContentTable:
     def add(self, record: Record) -> None:
         at = self._find(record)
         if (other := self.slots[at]) is not None:
+            self.bytes -= other.row_bytes
             other.merge(record)
+            self.bytes += other.row_bytes
             return
         self.slots[at] = record
         self.used += 1
@@ -117,7 +127,7 @@ class SpillFiles:
         self.out = [self.system.open_output_stream(f"{self.path}/{k}") for k in range(fan_out)]
 
     def add(self, k: int, record: Record) -> None:
-        pickle.dump((record.sha256, record.xxh128, record.content, record.chars, record.doc_id, record.rows), self.out[k], protocol=5)
+        pickle.dump((record.sha256, record.xxh128, record.content, record.chars, record.doc_id, record.rows, record.row, record.row_bytes), self.out[k], protocol=5)
 
     def done(self) -> None:
         for f in self.out:
@@ -187,7 +197,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch[0], pa.array(sha, pa.binary()), pa.array(xxh, pa.binary()), pa.array(chars, pa.int64())], names=["doc_id", "sha256", "xxh128", "chars"])
 
 
-def _to_batches(records: Iterator[Record], columns: list[tuple[str, str, pa.DataType]], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _to_batches(records: Iterator[Record], columns: list[tuple[str, str, pa.DataType]], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     held: list[Record] = []
     size = 0
 
@@ -229,17 +239,21 @@ def _groups(where: str, memory: int):
     return run
 
 
-def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_memory: int = 64 << 20, bucket_memory: int = 128 << 20) -> DataFrame:
+#: bytes of records that a task holds before it sends them on, and that a bucket may hold before it is partitioned again
+LOCAL_MEMORY, BUCKET_MEMORY = 24 << 20, 48 << 20
+
+
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_memory: int = LOCAL_MEMORY, bucket_memory: int = BUCKET_MEMORY) -> DataFrame:
     """One row per distinct normalised content (see GROUPS)."""
     spark = docs.sparkSession
     bound_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    local = source.mapInArrow(_local_records(local_memory), RECORDS)
+    local = source.mapInArrow(lean(_local_records(local_memory)), RECORDS)
     dealt = local.repartition(F.col("sha256"), F.col("xxh128"))
-    return dealt.mapInArrow(_groups(shared_dir(spark), bucket_memory), GROUPS)
+    return dealt.mapInArrow(lean(_groups(session_dir(spark), bucket_memory)), GROUPS)
 
 
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_memory: int = 64 << 20, bucket_memory: int = 128 << 20) -> DataFrame:
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_memory: int = LOCAL_MEMORY, bucket_memory: int = BUCKET_MEMORY) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without blanks (``BLANKS``). The row with
@@ -251,7 +265,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     found = stored(groups(docs, id_col=id_col, text_col=text_col, local_memory=local_memory, bucket_memory=bucket_memory), "dedup-groups")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = source.mapInArrow(_rows, ROWS)
+    rows = source.mapInArrow(lean(_rows), ROWS)
     return rows.join(found, ["sha256", "xxh128"]).select(
         "doc_id",
         "keep_id",
@@ -261,14 +275,80 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def without_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _whole_rows(batches: Iterator[pa.RecordBatch], id_at: int, text_at: int) -> Iterator[Record]:
+    """A record with all columns of each row; the id is the last column, as a long."""
+    for batch in batches:
+        share = batch.nbytes // max(batch.num_rows, 1)
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            r = _record(row[id_at], row[text_at])
+            r.row, r.row_bytes = row, share + len(row[text_at] or "")
+            yield r
+
+
+def _row_batches(records: Iterator[Record], schema: pa.Schema | None, keys: bool, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    held: list[Record] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array(c, k) for c, k in zip(zip(*(r.row for r in held), strict=True), schema.types, strict=True)]
+        names = list(schema.names)
+        if keys:
+            columns += [pa.array([r.sha256 for r in held], pa.binary()), pa.array([r.xxh128 for r in held], pa.binary())]
+            names += ["sha256", "xxh128"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    for r in records:
+        held.append(r)
+        size += r.size
+        if size >= most:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _typed(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Schema | None, Iterator[pa.RecordBatch]]:
+    first = next(batches, None)
+    return (None, iter(())) if first is None else (first.schema, chain([first], batches))
+
+
+def _best_rows(id_at: int, text_at: int, memory: int):
+    """Of a task's rows the best of each content, with its keys; a full table is sent on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, batches = _typed(batches)
+        table = ContentTable()
+        for record in _whole_rows(batches, id_at, text_at):
+            table.add(record)
+            if table.bytes > memory:
+                yield from _row_batches(table.drain(), schema, True)
+        yield from _row_batches(table.drain(), schema, True)
+
+    return run
+
+
+def _best_of_bucket(id_at: int, text_at: int, where: str, memory: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, batches = _typed(batches)
+        yield from _row_batches(grace(_whole_rows(batches, id_at, text_at), where, memory), schema, False)
+
+    return run
+
+
+def without_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_memory: int = LOCAL_MEMORY, bucket_memory: int = BUCKET_MEMORY) -> DataFrame:
     """One row of each group of equal texts, all columns.
 
-    Of rows that repeat the id that stays and its text one is kept.
+    Of rows that repeat the id that stays and its text one is kept. Whole rows
+    are shuffled once, after a task's copies have met; any column names are
+    allowed. An empty table gives no rows.
     """
+    spark = docs.sparkSession
+    bound_batches(spark)
     names = docs.columns
-    kept = stored(deduplicate(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct(), "dedup-kept")
-    key = F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANKS.decode(), ""), 256)
-    keyed = docs.withColumn("_row_sha", key)
-    same = keyed[id_col].cast("long").eqNullSafe(kept["_kept_id"]) & (keyed["_row_sha"] == kept["_kept_sha"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_row_sha"]).select(*names)
+    text_at, id_at = names.index(text_col), len(names)
+    plain = docs.select("*", F.col(id_col).cast("long").alias("own id")).toDF(*(f"c{k}" for k in range(len(names) + 1)))
+    keyed = StructType([*plain.schema.fields, StructField("sha256", BinaryType()), StructField("xxh128", BinaryType())])
+    local = plain.mapInArrow(lean(_best_rows(id_at, text_at, local_memory)), keyed)
+    dealt = local.repartition(F.col("sha256"), F.col("xxh128")).drop("sha256", "xxh128")
+    kept = dealt.mapInArrow(lean(_best_of_bucket(id_at, text_at, session_dir(spark), bucket_memory)), plain.schema)
+    return kept.select(*(F.col(f"c{k}").alias(name) for k, name in enumerate(names)))

@@ -1,13 +1,19 @@
 """Main text of web pages with site template removal (operator 10).
 
-Pass 1 parses every page, hashes its element subtrees, within its article too,
-and counts, in Spark, on how many different contents of a host, and of a host's
-section, each hash occurs. Pass 2 deletes the subtrees that recur on many, and
-elements that are navigation, advertising and so on by their own markup, and
-returns the blocks of what is left. An article may lawfully recur (mirrors,
-reprints), therefore pages of the same content count once, an article as a
-whole is never counted, and one that templates would more than halve is a
-reprint with changes and stays as it is.
+One pass parses every page and writes two things: hashes of its element
+subtrees, and its text as runs, each with the subtrees that it lies in. Spark
+counts on how many different contents of a host, and of a host's section, each
+hash occurs; the subtrees that recur on many are deleted from the runs by a
+join, so no page is parsed twice. An article may lawfully recur (mirrors,
+reprints), therefore pages of the same content count once, an ``article`` or
+``main`` as a whole is never counted, and a page that templates would more than
+halve is a reprint with changes and stays as it is.
+
+Beside its exact hash, an element whose class or id has a word such as "ad" or
+"comments" has a hash of its name, class and id alone. This mark is deleted only
+if it recurs on the site like any other template; a word by itself decides
+nothing. On hosts with too few pages to count, marks that are templates of
+several other hosts are deleted.
 """
 
 from __future__ import annotations
@@ -15,18 +21,22 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import bound_batches, stored
+from tallyforge.llm.storage import bound_batches, lean, stored
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>\"'=]*>")
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 BLANK = re.compile(r"\s+")
+SPACES = re.compile(" +")
+WORD = re.compile(r"[a-z0-9]+")
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,7 +47,7 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 # Elements that never hold main text.
 NOISE = frozenset("script style noscript template iframe object embed svg canvas audio video map nav aside form button select textarea input dialog menu title head noembed noframes xmp footer".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-# Words of a class or id that mark what is not the article.
+# Words of a class or id that often mark what is not the article; they count only where they recur.
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion cookie cookies consent gdpr notice notices sidebar menu menus nav navbar navigation breadcrumb breadcrumbs share sharing social related recommended comment comments discussion disqus replies newsletter subscribe signup login popup modal overlay footer masthead toolbar pagination pager widget skip".split())
 # Within an article these recur for other reasons: section titles, and cells and items of whole tables and lists.
 PIECES = frozenset("h1 h2 h3 h4 h5 h6 header hgroup li dt dd tr td th option tbody thead tfoot caption figcaption summary".split())
@@ -48,28 +58,27 @@ SIBLINGS = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("
 @dataclass(slots=True)
 class Node:
     tag: str
-    noise: bool = False
+    noise: bool = False  # by the name of the element, its role, or because it is hidden
+    mark: str = ""
     parts: list[Node | str] = field(default_factory=list)
-    key: bytes | None = None
-
-
-def _noisy(tag: str, attributes: str) -> bool:
-    if tag in NOISE:
-        return True
-    if not attributes or attributes.isspace():
-        return False
-    for name, value in ATTRIBUTE.findall(attributes):
-        name = name.lower()
-        if name in ("class", "id"):
-            if tag not in ("body", "html", "article", "main") and not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())):
-                return True
-            if tag == "article" and not {"comment", "comments"}.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())):
-                return True
-        elif name == "role" and value.strip("\"'").lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.strip("\"'").lower() == "true":
-            return True
-        elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+    key: bytes = b""
+
+
+def _read_attributes(tag: str, attributes: str) -> tuple[bool, str]:
+    """Whether the element is no part of any main text, and its mark: name, class and id if one of them has a word of ``MARKS``."""
+    noise, words = tag in NOISE, []
+    if attributes and not attributes.isspace():
+        for name, value in ATTRIBUTE.findall(attributes):
+            name = name.lower()
+            if name in ("class", "id"):
+                words += [name, *sorted(WORD.findall(value.lower()))]
+            elif name == "role":
+                noise |= value.strip("\"'").lower() in ROLES
+            elif name == "hidden" or name == "aria-hidden" and value.strip("\"'").lower() == "true":
+                noise = True
+            elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+                noise = True
+    return noise, "" if tag in ("html", "body", "main") or MARKS.isdisjoint(words) else " ".join([tag, *words])
 
 
 class Open:
@@ -97,40 +106,96 @@ class Open:
                 self.blocks.pop()
 
 
+class Scanner:
+    """Finds the markup of a page in one pass: what was once not found further on is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page, self.missing = page, set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at``; -1 if the page ends before.
+
+        A quote counts after ``=`` only; one that is never closed is not one.
+        """
+        page, n, end = self.page, len(self.page), -1
+        while True:
+            if end < at:
+                end = self.find(">", at)
+            if end < 0:
+                return -1
+            equals = page.find("=", at, end)
+            if equals < 0:
+                return end
+            at = equals + 1
+            while at < n and page[at].isspace():
+                at += 1
+            if at < n and page[at] in "\"'":
+                closing = self.find(page[at], at + 1)
+                at = closing + 1 if closing >= 0 else at + 1
+
+
 def parse(page: str) -> Node:
     """A forgiving tree of the page, of any depth; anything that is open at its end is closed."""
-    root = Node("#root")
-    stack, at, n = Open(root), 0, len(page)
-    while True:
-        m = TOKEN.search(page, at)
-        if m is None:
-            if at < n:
-                stack.stack[-1].parts.append(page[at:])
-            return root
-        if m.start() > at:
-            stack.stack[-1].parts.append(page[at : m.start()])
-        at = m.end()
-        if m[3] is None:
-            if m[1]:
-                stack.stack[-1].parts.append(m[1])
+    root, scan = Node("#root"), Scanner(page)
+    stack, n = Open(root), len(page)
+    at = start = 0  # where the search goes on, and where the text begins that is not in the tree yet
+
+    def text(part: str) -> None:
+        if part:
+            stack.stack[-1].parts.append(part)
+
+    while at < n:
+        begin = scan.find("<", at)
+        if begin < 0:
+            break
+        after = page[begin + 1 : begin + 2]
+        if after in ("!", "?") and after:
+            text(page[start:begin])
+            cdata = page.startswith("<![CDATA[", begin)
+            opening, closing = ("<!--", "-->") if page.startswith("<!--", begin) else ("<![CDATA[", "]]>") if cdata else ("<", ">")
+            end = scan.find(closing, begin + len(opening))
+            if cdata and end >= 0:
+                text(page[begin + len(opening) : end])
+            at = start = n if end < 0 else end + len(closing)
+            continue
+        closes = after == "/"
+        name = NAME.match(page, begin + 1 + closes)
+        if not name:
+            at = begin + 1  # no markup
             continue
-        tag = m[3].lower()
-        if m[2]:
+        text(page[start:begin])
+        tag = name[0].lower()
+        plain = PLAIN_TAG.match(page, begin)
+        end = plain.end() - 1 if plain else scan.tag_end(name.end())
+        at = start = end + 1 if end >= 0 else n  # a page may end within a tag
+        if end < 0:
+            break
+        if closes:
             _close(stack, tag)
             continue
         if tag in CLOSES_P and stack.stack[stack.blocks[-1]].tag == "p":
             stack.cut(stack.blocks[-1])
         if tag in SELF_NESTED:
             _close_sibling(stack, tag)
-        node = Node(tag, _noisy(tag, m[4]))
+        node = Node(tag, *_read_attributes(tag, page[name.end() : end]))
         stack.stack[-1].parts.append(node)
-        if tag in VOID:
-            continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
-            continue
-        stack.push(node)
+            closing = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+            node.parts.append(page[at : closing.start() if closing else n])
+            end = scan.find(">", closing.end()) if closing else -1
+            at = start = end + 1 if end >= 0 else n
+        elif tag not in VOID:
+            stack.push(node)
+    text(page[start:])
+    return root
 
 
 def _close(stack: Open, tag: str) -> None:
@@ -149,33 +214,24 @@ def _close_sibling(stack: Open, tag: str) -> None:
         stack.cut(k)
 
 
-def _weight(node: Node, deleted: frozenset[bytes] = frozenset()) -> int:
-    """Characters of text, noise and ``deleted`` left out."""
-    total, todo = 0, [node]
-    while todo:
-        for p in todo.pop().parts:
-            if isinstance(p, str):
-                total += len(p)
-            elif not p.noise and (p.key is None or p.key not in deleted):
-                todo.append(p)
-    return total
-
-
-def _find(node: Node, tags: tuple[str, ...]) -> Iterator[Node]:
-    todo = [node]
+def _walk(root: Node) -> Iterator[Node]:
+    """Subtrees that are not noise, in page order."""
+    todo = [root]
     while todo:
         x = todo.pop()
-        if x is not node and x.tag in tags:
-            yield x
-        else:
-            todo.extend(p for p in reversed(x.parts) if isinstance(p, Node) and not p.noise)
+        yield x
+        todo.extend(p for p in reversed(x.parts) if isinstance(p, Node) and not p.noise)
 
 
 def main_elements(root: Node) -> list[Node]:
-    """The outermost main elements and the outermost article (the longest of several), in page order."""
-    found = list(_find(root, ("article", "main")))
-    longest = max((x for x in found if x.tag == "article"), key=_weight, default=None)
-    return [x for x in found if x.tag == "main" or x is longest]
+    """The outermost article and main elements, in page order."""
+    found, inside = [], set()
+    for x in _walk(root):
+        if x.tag in ("article", "main") and id(x) not in inside:
+            found.append(x)
+        if id(x) in inside or x.tag in ("article", "main"):
+            inside.update(id(p) for p in x.parts if isinstance(p, Node))
+    return found
 
 
 def keyed(root: Node) -> list[Node]:
@@ -196,85 +252,137 @@ def keyed(root: Node) -> list[Node]:
     return order
 
 
-def candidates(root: Node) -> tuple[bytes, set[bytes], set[bytes]]:
-    """Key of the page's content, and keys of the subtrees that may be a site's template: those in its text, and the others."""
-    mains = main_elements(root)
+def content_number(key: bytes) -> int:
+    """A subtree's hash as a signed even number."""
+    return int.from_bytes(key, "little", signed=True) & ~1
+
+
+def mark_number(mark: str) -> int:
+    """A mark's hash as a signed odd number."""
+    return int.from_bytes(hashlib.blake2b(mark.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) | 1
+
+
+@dataclass
+class Page:
+    """A page's content, the numbers of its subtrees and marks, and its text."""
+
+    content: int
+    keys: list[int]
+    marked: bool  # the page has an article or main element
+    runs: list[str] = field(default_factory=list)  # in page order; a line feed parts blocks
+    spans: list[tuple[int, int, int]] = field(default_factory=list)  # number of a subtree with text, and its first run and the run after its last
+
+    def text(self, deleted: frozenset[int] = frozenset()) -> str:
+        """Text without the deleted subtrees; with them, if nothing else were left, or less than half of an article."""
+        whole = joined(self.runs)
+        dead = [s for s in self.spans if s[0] in deleted]
+        if not dead:
+            return whole
+        depth = [0] * (len(self.runs) + 1)
+        for _, begin, end in dead:
+            depth[begin] += 1
+            depth[end] -= 1
+        cleaned = joined(t for t, d in zip(self.runs, accumulate(depth), strict=False) if not d or t == "\n")
+        return cleaned if 2 * len(cleaned) >= len(whole) or cleaned and not self.marked else whole
+
+
+def joined(runs: Iterable[str]) -> str:
+    """Blocks without blanks around them; the runs' white space is already single spaces."""
+    lines = (SPACES.sub(" ", line).strip(" ") for line in "".join(runs).split("\n"))
+    return "\n".join(line for line in lines if line)
+
+
+def candidates(root: Node, mains: list[Node]) -> dict[int, list[int]]:
+    """Numbers of each subtree that may be a template, by its id().
+
+    A whole document, article or main is none, nor is what holds one, or an
+    inline element (but for its mark). Within the main elements titles, cells
+    and items are none, as they recur for other reasons. The mark of an element
+    that holds more than half of the text is none.
+    """
     order = keyed(root)
-    holders, inside = {id(x) for x in mains}, {id(x) for x in mains}
+    size: dict[int, int] = {}
+    for x in reversed(order):
+        size[id(x)] = sum(len(p) if isinstance(p, str) else size[id(p)] for p in x.parts) if not x.noise else 0
+    most = sum(size[id(x)] for x in mains or [root]) / 2
+    holders = {id(x) for x in mains}
     for x in reversed(order):
         if any(isinstance(p, Node) and id(p) in holders for p in x.parts):
             holders.add(id(x))
-    shown, others, hidden = set(), set(), set()
+    inside = {id(x) for x in mains}
+    out: dict[int, list[int]] = {}
     for x in order:
         within = id(x) in inside
-        for p in x.parts:
-            if not isinstance(p, Node):
-                continue
-            if within and not p.noise:
-                inside.add(id(p))
-            elif within:
-                continue
-            elif p.noise or id(x) in hidden:
-                hidden.add(id(p))
-            if id(p) not in holders and p.tag not in ("html", "body") and not (p.tag in RAW or p.tag in INLINE or p.tag in VOID) and not (within and p.tag in PIECES):
-                (shown if within or not mains and id(p) not in hidden else others).add(p.key)
-    return b"".join(x.key for x in mains) or root.key, shown, others - shown
-
-
-def blocks(node: Node, deleted: frozenset[bytes], in_article: bool = False) -> list[str]:
-    """Text blocks in page order; white space is one space, references are decoded."""
-    out: list[str] = []
-    run: list[str] = []
+        if within:
+            inside.update(id(p) for p in x.parts if isinstance(p, Node))
+        whole = id(x) in holders or x.tag in ("#root", "html", "body") or x.tag in VOID or x.tag in INLINE or within and x.tag in PIECES
+        numbers = [] if whole else [content_number(x.key)]
+        if x.mark and size[id(x)] <= most:
+            numbers.append(mark_number(x.mark))
+        if numbers:
+            out[id(x)] = numbers
+    return out
+
+
+def analysed(page: str | None) -> Page:
+    root = parse(page or "")
+    mains = main_elements(root)
+    numbers = candidates(root, mains)
+    content = b"".join(x.key for x in mains) or root.key
+    out = Page(content_number(hashlib.blake2b(content, digest_size=8).digest()), sorted({n for found in numbers.values() for n in found}), bool(mains))
+    for x in mains or [root]:
+        _runs(x, numbers, out)
+    return out
+
+
+def _runs(node: Node, numbers: dict[int, list[int]], page: Page) -> None:
+    """Adds the text runs, in page order; references are decoded and white space is one space."""
+    out, held = page.runs, []
 
     def flush() -> None:
-        text = "".join(run)
-        run.clear()
-        if "&" in text:
-            text = entities.unescape(text)
-        text = BLANK.sub(" ", text).strip()
-        if text:
-            out.append(text)
-
-    open_parts = [(iter(node.parts), in_article, True)]
-    while open_parts:
-        parts, inside, block = open_parts[-1]
+        if held:
+            text = "".join(held)
+            held.clear()
+            out.append(BLANK.sub(" ", entities.unescape(text) if "&" in text else text))
+
+    def block() -> None:
+        flush()
+        if out and out[-1] != "\n":
+            out.append("\n")
+
+    block()
+    todo = [(node, iter(node.parts), len(out), page.marked, True)]
+    while todo:
+        x, parts, begin, inside, is_block = todo[-1]
         for p in parts:
             if isinstance(p, str):
-                run.append(p)
-                continue
-            if p.noise or p.key is not None and p.key in deleted:
+                held.append(p)
+            elif p.tag == "br":
+                held.append(" ")
+            elif p.noise or p.tag == "header" and not inside:
                 if p.tag not in INLINE:
+                    block()
+            else:
+                inline = p.tag in INLINE
+                if not inline:
+                    block()
+                elif id(p) in numbers:
                     flush()
-                continue
-            if p.tag == "header" and not inside:
-                flush()
-                continue
-            if p.tag == "br":
-                run.append(" ")
-                continue
-            inline = p.tag in INLINE
-            if not inline:
-                flush()
-            open_parts.append((iter(p.parts), inside or p.tag in ("article", "main"), not inline))
-            break
+                todo.append((p, iter(p.parts), len(out), inside or p.tag in ("article", "main"), not inline))
+                break
         else:
-            open_parts.pop()
-            if block:
+            todo.pop()
+            if is_block:
+                block()
+            elif id(x) in numbers:
                 flush()
-    return out
+            if len(out) > begin:
+                page.spans += [(number, begin, len(out)) for number in numbers.get(id(x), ())]
 
 
-def extract(page: str | None, deleted: frozenset[bytes] = frozenset()) -> str:
-    """Main text of a page; ``deleted`` are keys of its site's template subtrees."""
-    if not page:
-        return ""
-    root = parse(page)
-    mains = main_elements(root)
-    if deleted:
-        keyed(root)
-    if mains:
-        return "\n".join(t for x in mains for t in blocks(x, deleted if 2 * _weight(x, deleted) >= _weight(x) else frozenset(), True))
-    return "\n".join(blocks(root, deleted)) or "\n".join(blocks(root, frozenset()))
+def extract(page: str | None, deleted: frozenset[int] = frozenset()) -> str:
+    """Main text of one page; ``deleted`` are numbers of its site's templates."""
+    return analysed(page).text(deleted)
 
 
 def host_of(url: F.Column) -> F.Column:
@@ -288,53 +396,70 @@ def sites_of(url: F.Column) -> F.Column:
     return F.array_distinct(F.array(F.xxhash64(host_of(url)), F.xxhash64(F.concat(host_of(url), folder))))
 
 
-def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Content and template candidates of each page."""
-    for batch in batches:
-        found = [candidates(parse(page.as_py() or "")) for page in batch[2]]
-        contents, *keys = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(contents, pa.binary()), *(pa.array([sorted(k) for k in ks], pa.list_(pa.binary())) for ks in keys)], names=["row_key", "sites", "content", "shown", "others"])
+PAGE = "row_key long, page_id long, url string, sites array<long>, content long, marked boolean, keys array<long>, runs array<string>, numbers array<long>, begins array<int>, ends array<int>"
+RESULT = "page_id long, url string, text string, n_chars long, n_templates int"
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _analyse(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    names = [part.split()[0] for part in PAGE.split(", ")]
     for batch in batches:
-        deleted = batch[3].to_pylist() if batch.num_columns > 3 else [None] * batch.num_rows
-        texts = [extract(page.as_py(), frozenset(d or ())) for page, d in zip(batch[2], deleted, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-
-RESULT = "page_id long, url string, text string, n_chars long"
-
-
-def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """(site, key) of subtrees on at least ``min_pages`` contents and ``min_share`` of the site's contents."""
-    contents = keys.select(F.explode("sites").alias("site"), "content", "row_key", F.concat("shown", "others").alias("keys")).groupBy("site", "content").agg(F.min_by("keys", "row_key").alias("keys"))
-    # the empty key counts contents
-    counted = contents.select("site", F.explode(F.array_append("keys", F.lit(b""))).alias("key")).groupBy("site", "key").agg(F.count("*").alias("pages"))
-    total = stored(counted.where(F.col("pages") >= min_pages), "html-templates")
-    sites = total.where("key = x''").select("site", F.col("pages").alias("site_pages"))
-    return stored(total.where("key <> x''").join(sites, "site").where(F.col("pages") >= min_share * F.col("site_pages")).select("site", "key"), "html-deleted")
-
-
-def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """One row per input row: page_id, url, text, n_chars (code points).
-
-    Null html gives empty text; a null url is a host of its own. With an
-    article or main element the text of main elements and of the longest
-    article outside them is returned, without one the page's, less the template
-    subtrees of its host and section (or with them, if nothing else were left,
-    or less than half of an article). Repeated rows and ids give a row each. Other columns are not
-    read. An empty table gives no rows.
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            found = [analysed(page.as_py()) for page in part["html"]]
+            made = [
+                ([f.content for f in found], pa.int64()),
+                ([f.marked for f in found], pa.bool_()),
+                ([f.keys for f in found], pa.list_(pa.int64())),
+                ([f.runs for f in found], pa.list_(pa.string())),
+                *(([[s[k] for s in f.spans] for f in found], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))),
+            ]
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in names[:4]), *(pa.array(*c) for c in made)], names=names)
+
+
+def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, counts = [], []
+        for marked, runs, numbers, begins, ends, deleted in zip(*(batch[c].to_pylist() for c in ("marked", "runs", "numbers", "begins", "ends", "deleted")), strict=True):
+            texts.append(Page(0, [], marked, runs, list(zip(numbers, begins, ends, strict=True))).text(frozenset(deleted or ())))
+            counts.append(len(deleted or ()))
+        yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(counts, pa.int32())], names=["page_id", "url", "text", "n_chars", "n_templates"])
+
+
+def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> tuple[DataFrame, DataFrame]:
+    """(site, key) of what is on at least ``min_pages`` contents and ``min_share`` of the site's, and (site, contents) of all sites."""
+    contents = keys.select(F.explode("sites").alias("site"), "content", "row_key", "keys").groupBy("site", "content").agg(F.min_by("keys", "row_key").alias("keys"))
+    # the null key counts contents
+    counted = contents.select("site", F.explode(F.array_append("keys", F.lit(None).cast("long"))).alias("key")).groupBy("site", "key").agg(F.count("*").alias("pages"))
+    total = stored(counted.where((F.col("pages") >= min_pages) | F.col("key").isNull()), "html-counts")
+    sites = total.where("key is null").select("site", F.col("pages").alias("contents"))
+    found = total.where("key is not null").join(sites, "site").where(F.col("pages") >= min_share * F.col("contents"))
+    return stored(found.select("site", "key"), "html-templates"), sites
+
+
+def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.2, min_hosts: int = 3) -> DataFrame:
+    """One row per input row: page_id, url, text, n_chars (code points), n_templates.
+
+    Null html gives empty text; a null url is a host of its own. With article
+    or main elements the text of all of them is returned, without one the
+    page's, less the template subtrees of its host and section (or with them,
+    if nothing else were left, or less than half of an article). On a host of
+    fewer than ``min_pages`` contents marks that are templates of ``min_hosts``
+    other sites are deleted. ``n_templates`` counts the page's subtrees that
+    are templates, within its main elements or not. Repeated rows and ids give
+    a row each. Other columns are not read. An empty table gives no rows.
     """
     bound_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    row_key = F.xxhash64("page_id", "url", "html").alias("row_key")
-    keys = stored(source.select(row_key, sites_of(F.col("url")).alias("sites"), "html").mapInArrow(_page_keys, "row_key long, sites array<long>, content binary, shown array<binary>, others array<binary>"), "html-keys")
-    deleted = templates(keys, min_pages=min_pages, min_share=min_share)
-    exploded = keys.select("row_key", F.explode("sites").alias("site"), "shown").select("row_key", "site", F.explode("shown").alias("key"))
-    hits = stored(exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "key"), "html-hits")
-    if hits.isEmpty():
-        return source.mapInArrow(_texts, RESULT)
-    per_page = stored(hits.groupBy("row_key").agg(F.collect_set("key").alias("deleted")), "html-pages")
-    joined = source.withColumn("row_key", row_key).join(per_page, "row_key", "left").select("page_id", "url", "html", "deleted")
-    return joined.mapInArrow(_texts, RESULT)
+    made = source.select(F.xxhash64("page_id", "url", "html").alias("row_key"), "page_id", "url", sites_of(F.col("url")).alias("sites"), "html")
+    found = stored(made.mapInArrow(lean(_analyse), PAGE), "html-pages")
+    keys = found.select("row_key", "sites", "content", "keys")
+    deleted, sites = templates(keys, min_pages=min_pages, min_share=min_share)
+    one = keys.dropDuplicates(["row_key"])
+    exploded = one.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.explode("keys").alias("key"))
+    hits = exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "key")
+    wide = stored(deleted.where("key % 2 <> 0").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_hosts).select("key"), "html-wide")
+    few = sites.where(F.col("contents") < min_pages).select("site")
+    small = one.select("row_key", F.col("sites")[0].alias("site"), F.filter("keys", lambda k: k % 2 != 0).alias("keys")).where(F.size("keys") > 0).join(few, "site", "left_semi")
+    hits = hits.unionByName(small.select("row_key", F.explode("keys").alias("key")).join(wide, "key", "left_semi").select("row_key", "key"))
+    per_page = stored(hits.groupBy("row_key").agg(F.collect_set("key").alias("deleted")), "html-hits")
+    return found.select("row_key", "page_id", "url", "marked", "runs", "numbers", "begins", "ends").join(per_page, "row_key", "left").mapInArrow(lean(_delete), RESULT)

@@ -8,7 +8,6 @@ taken in the order of their proportions. The prediction is the largest share.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,11 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.minhash import sliced
-from tallyforge.llm.storage import bound_batches
-from tallyforge.llm.texthash import LOWER, mix
+from tallyforge.llm.storage import bound_batches, lean
+from tallyforge.llm.texthash import LOWER
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 SCHEMA = "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>"
 
 _SPACED = LOWER.copy()
@@ -31,55 +29,61 @@ for _b in range(128):
         _SPACED[_b] = 0x20
 
 
-def trigrams(texts: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (general category L; numerals and marks are none)."""
+    return any(map(str.isalpha, text))
+
+
+def bucket_of(code: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each trigram code (unsigned 32-bit); at most 65,536 buckets."""
+    h = code * np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA6B)
+    return ((h >> np.uint32(16)) * np.uint32(buckets) >> np.uint32(16)).astype(np.int32)
+
+
+def trigrams(texts: list[bytes], buckets: int, context: list[tuple[int, int]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each byte trigram of each text, and the text it is of.
 
     Letters count, in lower case (ASCII and Latin-1); all else is a space, and
-    trigrams of which the middle is a space are left out.
+    trigrams of which the middle is a space are left out. ``context`` is how
+    many bytes at the begin and end of each text are only neighbours: no
+    trigram with such a middle counts.
     """
-    data = np.frombuffer(b" " + b"  ".join(texts) + b"  ", np.uint8)
-    owner = np.repeat(np.arange(len(texts)), np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts)))
-    data = _SPACED[data]
+    sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
+    data = _SPACED[np.frombuffer(b" " + b"  ".join(texts) + b"  ", np.uint8)]
     upper = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
     data[1:][upper] += 0x20
-    code = (data[:-2].astype(np.uint32) << 16) | (data[1:-1].astype(np.uint32) << 8) | data[2:]
-    keep = data[1:-1] != 0x20
-    table = _bucket_table(buckets)
-    return table[code[keep]], owner[: len(code)][keep]
+    keep = data[1:-1] != 0x20  # the middle of trigram i is byte i + 1
+    begins = np.cumsum(sizes + 2) - (sizes + 2)
+    for at, size, (head, tail) in zip(begins, sizes, context or (), strict=False):
+        keep[at : at + head] = False
+        keep[at + size - tail : at + size] = False
+    at = np.flatnonzero(keep)
+    code = (data[at].astype(np.uint32) << np.uint32(16)) | (data[at + 1].astype(np.uint32) << np.uint32(8)) | data[at + 2]
+    return bucket_of(code, buckets), (np.searchsorted(begins, at, side="right") - 1).astype(np.int32)
 
 
-def pieces(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """The texts in groups of about ``most`` bytes, with the index of each; longer ones are cut at spaces.
+def pieces(texts: list[bytes], most: int = 1 << 18) -> Iterator[tuple[np.ndarray, list[bytes], list[tuple[int, int]]]]:
+    """The texts in groups of about ``most`` bytes: the index of each, the bytes, and their context.
 
-    No counted trigram reaches across a space, so pieces have the whole text's trigrams.
+    A longer text is cut anywhere; each part has two bytes before it and one
+    after it as context, so that the parts have the whole text's trigrams.
     """
-    owners, group, size = [], [], 0
+    owners, group, context, size = [], [], [], 0
     for k, text in enumerate(texts):
-        at = 0
-        while at < len(text) or at == 0:
-            to = len(text)
-            if to - at > most:
-                to = text.rfind(b" ", at, at + most) + 1 or at + most
+        for at in range(0, max(len(text), 1), most):
+            to = min(at + most, len(text))
+            head, tail = min(at, 2), min(len(text) - to, 1)
             owners.append(k)
-            group.append(text[at:to])
+            group.append(text[at - head : to + tail])
+            context.append((head, tail))
             size += to - at
-            at = to or 1
             if size >= most:
-                yield np.array(owners), group
-                owners, group, size = [], [], 0
+                yield np.array(owners), group, context
+                owners, group, context, size = [], [], [], 0
     if group:
-        yield np.array(owners), group
-
-
-_tables: dict[int, np.ndarray] = {}
-
-
-def _bucket_table(buckets: int) -> np.ndarray:
-    if buckets not in _tables:
-        step = 1 << 18
-        parts = [(mix(np.arange(k, k + step, dtype=np.uint64)) % np.uint64(buckets)).astype(np.uint16) for k in range(0, 1 << 24, step)]
-        _tables[buckets] = np.concatenate(parts)
-    return _tables[buckets]
+        yield np.array(owners), group, context
 
 
 @dataclass(frozen=True)
@@ -95,8 +99,8 @@ def _count(buckets: int):
 
         for langs, texts in sliced(batches):
             names = np.array(langs, object)
-            for of, group in pieces(texts):
-                codes, owner = trigrams(group, buckets)
+            for of, group, context in pieces(texts):
+                codes, owner = trigrams(group, buckets, context)
                 for lang in set(langs):
                     mine = (names == lang)[of][owner]
                     counts.setdefault(lang, np.zeros(buckets, np.int64))
@@ -116,7 +120,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", bu
     """
     bound_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counted = rows.mapInArrow(_count(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(lean(_count(buckets)), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     per = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).orderBy("lang").limit(most_languages + 1).collect()
     if len(per) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
@@ -142,8 +146,8 @@ def mixtures(model: LanguageModel, texts: list[bytes], steps: int = 12, penalty:
     n, k = len(texts), len(model.languages)
     share = np.zeros((n, k), np.float32)
     dense = np.zeros(n * model.buckets, np.int64)
-    for of, group in pieces(texts):
-        codes, owner = trigrams(group, model.buckets)
+    for of, group, context in pieces(texts):
+        codes, owner = trigrams(group, model.buckets, context)
         dense += np.bincount(of[owner] * np.int64(model.buckets) + codes, minlength=len(dense))
     some = dense.reshape(n, model.buckets).any(axis=1)
     if not some.any() or not k:
@@ -190,11 +194,13 @@ def mixtures(model: LanguageModel, texts: list[bytes], steps: int = 12, penalty:
 def _predict(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.languages, object)
-        for ids, texts in sliced(batches, 1 << 19):
+        # a slice's arrays are of its different trigrams times the languages
+        rows = max(1, min(128, 1024 // max(len(names), 1)))
+        for ids, texts in sliced(batches, 1 << 18, rows):
             share, some = mixtures(model, texts)
             preds, scores, sets = [], [], []
             for k, t in enumerate(texts):
-                if some[k] and len(names) and LETTER.search(t.decode("utf-8", "replace")):
+                if some[k] and len(names) and has_letter(t.decode("utf-8", "replace")):
                     top = int(share[k].argmax())
                     preds.append(names[top])
                     scores.append(min(1.0, float(share[k][top])))
@@ -223,7 +229,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_predict(model), SCHEMA)
+    return rows.mapInArrow(lean(_predict(model)), SCHEMA)
 
 
 def _keep(model: LanguageModel, text_at: int):
@@ -240,4 +246,4 @@ def _keep(model: LanguageModel, text_at: int):
 def identified(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """The rows, all columns, whose language is not ``und``; nothing is shuffled."""
     bound_batches(docs.sparkSession)
-    return docs.mapInArrow(_keep(model, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(lean(_keep(model, docs.columns.index(text_col))), docs.schema)

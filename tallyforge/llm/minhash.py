@@ -1,20 +1,26 @@
 """MinHash near-duplicate groups (operator 6).
 
 One-permutation hashing with optimal densification, banded buckets, and
-candidate edges shaped as a star around each bucket's hub:
+candidate edges shaped as stars around hubs:
 
 1. A pass over the texts gives each row its exact set size, a 128-bit key of
    its shingle set, band hashes and one byte per bin. Rows with one key are one
    vertex (its smallest id), so copies never meet in a bucket.
 2. Every member of a bucket is paired with the bucket's hub only: at most
    ``bands`` pairs per vertex, whatever the bucket's size. Each pair is
-   confirmed on the full shingle sets of both texts.
-3. A member that the hub does not confirm may still link with other members.
-   Those members alone are compared on their bins' bytes with the rest of the
-   bucket, in blocks of bounded size and in the first band that a pair shares;
-   pairs of different components whose estimate is within five deviations of
-   the threshold are confirmed too: first the two best of each member, then,
-   for what is still apart, all others.
+   confirmed on the full shingle sets of both texts. The members that the hub
+   confirms are its star. Where more than ``block`` members of a bucket are in
+   no star, the smallest of those is its next hub and meets all members, and so
+   on for ``rounds`` rounds.
+3. Two members that are linked may lie in different stars. The distance 1 -
+   Jaccard is a metric: if y is in the star of h and x links with y, then x is
+   at most twice the threshold's distance from h. Only members in that ring
+   around a hub, and of another component, are compared with the hub's star;
+   members of no star are compared with each other. They are compared on their
+   bins' bytes in blocks of bounded size and in the first band that a pair
+   shares; pairs whose estimate is within five deviations of the threshold are
+   confirmed too: first the two best of each member and block, then, for what
+   is still apart, all others.
 4. Components of the confirmed links give the groups.
 """
 
@@ -26,12 +32,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.components import components
-from tallyforge.llm.storage import bound_batches, stored
-from tallyforge.llm.texthash import mix, shingles
+from tallyforge.llm.storage import bound_batches, lean, stored
+from tallyforge.llm.texthash import distinct, mix, shared, shingles
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: bins of a signature; the bands take the first ``rows * bands`` of them
@@ -56,34 +63,48 @@ def banding(similarity: float, miss: float = 1e-7, most_bands: int = 32) -> Band
     return Banding(1, math.ceil(math.log(miss) / math.log1p(-similarity)))
 
 
-def densified(filled: np.ndarray) -> np.ndarray:
-    """For each bin the bin it takes its value from (itself if it is filled)."""
-    k = len(filled)
-    source = np.arange(k)
-    empty, attempt = np.flatnonzero(~filled), 0
-    while len(empty):
+_targets: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _target(k: int, attempt: int) -> np.ndarray:
+    """The bin that each empty bin tries at an attempt, the same for all documents."""
+    if (k, attempt) not in _targets:
+        made = (mix(np.arange(k, dtype=np.uint64) * np.uint64(0x100000001B3) + np.uint64(attempt)) % np.uint64(k)).astype(np.int64)
+        if attempt > 4096:  # sets of very few shingles only
+            return made
+        _targets[k, attempt] = made
+    return _targets[k, attempt]
+
+
+def densify(values: np.ndarray, filled: np.ndarray) -> None:
+    """Give each empty bin of each row the value of the filled bin that it tries first."""
+    rows, bins = np.nonzero(~filled & filled.any(axis=1)[:, None])
+    attempt = 0
+    while len(rows):
         attempt += 1
-        target = (mix(empty.astype(np.uint64) * np.uint64(0x100000001B3) + np.uint64(attempt)) % np.uint64(k)).astype(np.int64)
-        hit = filled[target]
-        source[empty[hit]] = target[hit]
-        empty = empty[~hit]
-    return source
-
-
-def signature(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """One value per bin, the smallest hash that falls there: densified, and as a byte that is 0 for an empty bin."""
-    y = mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    at = ((y >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
-    value = mix(y) | np.uint64(1)
-    out = np.full(k, EMPTY)
-    np.minimum.at(out, at, value)
-    filled = np.zeros(k, bool)
+        target = _target(values.shape[1], attempt)[bins]
+        hit = filled[rows, target]
+        values[rows[hit], bins[hit]] = values[rows[hit], target[hit]]
+        rows, bins = rows[~hit], bins[~hit]
+
+
+def signatures(sets: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per set one value per bin, the smallest hash that falls there: densified, and as a byte that is 0 for an empty bin."""
+    h = np.concatenate([*sets, np.empty(0, np.uint64)])
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    y = mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    at = owner * k + ((y >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
+    out = np.full(len(sets) * k, EMPTY)
+    np.minimum.at(out, at, mix(y) | np.uint64(1))
+    filled = np.zeros(len(sets) * k, bool)
     filled[at] = True
     byte = np.where(filled, 1 + (mix(out) >> np.uint64(32)) % np.uint64(255), 0).astype(np.uint8)
-    return out if filled.all() else out[densified(filled)], byte
+    out, filled = out.reshape(-1, k), filled.reshape(-1, k)
+    densify(out, filled)
+    return out, byte.reshape(-1, k)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], most: int = 1 << 20, rows: int = 512) -> Iterator[tuple[list, list[bytes]]]:
+def sliced(batches: Iterator[pa.RecordBatch], most: int = 1 << 19, rows: int = 256) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, UTF-8 texts) in slices of about ``most`` bytes and ``rows`` texts at most; null is empty."""
     for batch in batches:
         ids, texts, size = [], [], 0
@@ -99,62 +120,61 @@ def sliced(batches: Iterator[pa.RecordBatch], most: int = 1 << 20, rows: int = 5
             yield ids, texts
 
 
+def _sets(texts: list[bytes], words: int) -> list[np.ndarray]:
+    h, counts = shingles(texts, words)
+    ends = np.cumsum(counts)
+    return [distinct(h[e - n : e]) for e, n in zip(ends, counts, strict=True)]
+
+
 def _signatures(words: int, band: Banding):
     mult = mix(np.arange(1, band.rows + 1, dtype=np.uint64)) | np.uint64(1)
     salt = mix(np.arange(1000, 1000 + band.bands, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in sliced(batches):
-            h, counts = shingles(texts, words)
-            sizes, keys, bands, bins, at = [], [], [], [], 0
-            for n in counts:
-                s = np.unique(h[at : at + n])
-                at += n
-                sizes.append(len(s))
-                if not len(s):
-                    keys.append(None)
-                    bands.append(None)
-                    bins.append(None)
-                    continue
-                keys.append(np.array([mix(s).sum(), mix(s ^ EMPTY).sum()], np.uint64).tobytes())
-                sig, byte = signature(s, BINS)
-                rows = sig[: band.bands * band.rows].reshape(band.bands, band.rows)
-                key = mix((rows * mult).sum(axis=1, dtype=np.uint64) + salt)
-                bands.append(key.view(np.int64))
-                bins.append(byte.tobytes() + (key >> np.uint64(32)).astype("<u4").tobytes())
+            sets = _sets(texts, words)
+            sig, byte = signatures([x[:, 0] for x in sets], BINS)
+            rows = sig[:, : band.bands * band.rows].reshape(len(sets), band.bands, band.rows)
+            key = mix((rows * mult).sum(axis=2, dtype=np.uint64) + salt)
+            short = (key >> np.uint64(32)).astype("<u4")
+            some = [len(x) > 0 for x in sets]
+            keys = [xxhash.xxh3_128_digest(x.tobytes()) if ok else None for x, ok in zip(sets, some, strict=True)]
+            bands = [k.view(np.int64) if ok else None for k, ok in zip(key, some, strict=True)]
+            bins = [b.tobytes() + k.tobytes() if ok else None for b, k, ok in zip(byte, short, some, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bins, pa.binary())],
+                [pa.array(ids, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bins, pa.binary())],
                 names=["doc_id", "n_shingles", "set_key", "bands", "bins"],
             )
 
     return run
 
 
-def _confirm(words: int, percent: int):
-    """100 * intersection >= percent * union on the full sets of both texts."""
+def ring(percent: int) -> int:
+    """The similarity in percent that a member linked with one of a hub's star has with the hub."""
+    return 2 * percent - 100
 
-    def sets(texts: list[str]) -> list[np.ndarray]:
-        h, counts = shingles([t.encode("utf-8", "surrogatepass") for t in texts], words)
-        ends = np.cumsum(counts)
-        return [np.unique(h[e - n : e]) for e, n in zip(ends, counts, strict=True)]
+
+def _confirm(words: int, percent: int):
+    """On the full sets of both texts: 100 * intersection >= percent * union, and whether the pair is within the ring."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str | None, np.ndarray | None] = (None, None)  # a hub's rows come together
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
+            for at in range(0, batch.num_rows, 32):
+                part = batch.slice(at, 32)
                 ta, tb = part[2].to_pylist(), part[3].to_pylist()
                 new = [t for k, t in enumerate(ta) if t != (ta[k - 1] if k else last[0])]
-                made = iter(sets(new + tb))
-                fresh = [next(made) for _ in new]
-                sb, linked, nxt = list(made), [], iter(fresh)
-                for text, b in zip(ta, sb, strict=True):
-                    if text != last[0] or last[1] is None:
-                        last = (text, next(nxt) if fresh else sets([text])[0])
-                    a = last[1]
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    linked.append(100 * both >= percent * (len(a) + len(b) - both))
-                yield pa.RecordBatch.from_arrays([part[0], part[1], pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+                made = iter(_sets([t.encode("utf-8", "surrogatepass") for t in new + tb], words))
+                fresh = iter([next(made) for _ in new])
+                linked, near = [], []
+                for text, b in zip(ta, made, strict=True):
+                    if text != last[0]:
+                        last = (text, next(fresh))
+                    both = shared(last[1], b)
+                    either = len(last[1]) + len(b) - both
+                    linked.append(100 * both >= percent * either)
+                    near.append(100 * both >= ring(percent) * either)
+                yield pa.RecordBatch.from_arrays([part[0], part[1], pa.array(linked, pa.bool_()), pa.array(near, pa.bool_())], names=["a", "b", "linked", "near"])
 
     return run
 
@@ -229,11 +249,12 @@ def _compare(percent: int, top: int | None):
 
 @dataclass(frozen=True)
 class NearDuplicates:
-    """words per shingle, similarity in percent; block: members compared at once."""
+    """words per shingle, similarity in percent; block: members compared at once; rounds: hubs of a large bucket."""
 
     words: int = 5
     percent: int = 80
     block: int = 256
+    rounds: int = 8
 
     def __call__(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row per input row: doc_id, n_shingles, component_id, kept.
@@ -248,7 +269,7 @@ class NearDuplicates:
         bound_batches(docs.sparkSession)
         source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         band = banding(self.percent / 100)
-        rows = stored(source.mapInArrow(_signatures(self.words, band), ROWS), "minhash-rows")
+        rows = stored(source.mapInArrow(lean(_signatures(self.words, band)), ROWS), "minhash-rows")
         sets = stored(rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id")), "minhash-sets")
         first = rows.where("set_key is not null").join(sets.withColumnRenamed("id", "doc_id"), ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key"])
         reps = stored(first.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "bins"), "minhash-reps")
@@ -256,75 +277,109 @@ class NearDuplicates:
         members = reps.select("id", "n", F.posexplode("bands").alias("number", "band"))
         hubs = members.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
         hubs = stored(hubs.select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "size"), "minhash-hubs")
-        inside = stored(members.join(hubs, "band").where("id <> hub"), "minhash-members")
+        inside = stored(members.join(hubs, "band"), "minhash-members")
         if inside.isEmpty():
-            links = inside.select(F.col("hub").alias("a"), F.col("id").alias("b"))
             return self._result(rows, sets, None)
 
         texts = self._texts(source, inside)
-        star = inside.where(f"least(n, hub_n) * 100 >= {self.percent} * greatest(n, hub_n)").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-        links = self._linked(star, texts)
+        stars, rings, alone = self._stars(inside, texts)
+        links = stars.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
         for top in (2, None):
             labels = components(links) if not links.isEmpty() else None
-            apart = self._apart(inside, reps, links, labels, top)
+            apart = self._apart(stars, rings, alone, reps, labels, top)
             if apart is None:
                 break
-            links = stored(links.unionByName(self._linked(apart, texts)).distinct(), "minhash-links")
+            links = stored(links.unionByName(self._confirmed(apart, texts).where("linked").select("a", "b")).distinct(), "minhash-links")
         else:
             labels = components(links) if not links.isEmpty() else None
         return self._result(rows, sets, labels)
 
     def keep_one(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """The rows, all columns, of the smallest id of each group."""
-        kept = self(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-        kept = stored(kept, "minhash-kept")
-        return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
+        found = self(docs, id_col=id_col, text_col=text_col)
+        dropped = stored(found.groupBy(F.col("doc_id").alias("_dropped_id")).agg(F.max("kept").alias("kept")).where("not kept").select("_dropped_id"), "minhash-dropped")
+        return docs.join(dropped, docs[id_col].cast("long").eqNullSafe(dropped["_dropped_id"]), "left_anti")
 
     @staticmethod
     def _texts(source: DataFrame, inside: DataFrame) -> DataFrame:
-        ids = stored(inside.select(F.col("id").alias("doc_id")).union(inside.select("hub")).distinct(), "minhash-ids")
+        ids = stored(inside.select(F.col("id").alias("doc_id")).distinct(), "minhash-ids")
         return stored(source.join(ids, "doc_id").where("text is not null"), "minhash-texts")
 
-    def _linked(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        """The pairs (a, b) that the full sets confirm."""
+    def _confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The pairs (a, b) with ``linked`` and ``near`` by the full sets; those that are neither are left out."""
         pairs = stored(pairs, "minhash-pairs")
         b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         both = b.join(a, "a").select("a", "b", "text_a", "text_b")
-        confirmed = both.mapInArrow(_confirm(self.words, self.percent), "a long, b long, linked boolean")
-        return stored(confirmed.where("linked").select("a", "b"), "minhash-linked")
+        confirmed = both.mapInArrow(lean(_confirm(self.words, self.percent)), "a long, b long, linked boolean, near boolean")
+        return stored(confirmed.where("near"), "minhash-confirmed")
+
+    def _stars(self, inside: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Stars and rings (band, number, hub, id, n), and the members (band, number, id, n) of buckets of three and more that are in no star."""
+        stars: DataFrame | None = None
+        rings: DataFrame | None = None
+        here, alone = inside, inside.where("size > 2")
+        for k in range(self.rounds):
+            least = F.when(F.col("size") > 2, ring(self.percent)).otherwise(self.percent)  # a bucket of two has no ring
+            met = here.where((F.col("id") != F.col("hub")) & (F.least("n", "hub_n") * 100 >= least * F.greatest("n", "hub_n")))
+            found = self._confirmed(met.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), texts)
+            told = stored(met.select("band", "number", "hub", "id", "n", "size").join(found.select(F.col("a").alias("hub"), F.col("b").alias("id"), "linked"), ["hub", "id"]), "minhash-told")
+            star = told.where("linked").drop("linked", "size")
+            around = told.where("not linked and size > 2").drop("linked", "size")
+            stars = star if stars is None else stars.unionByName(star)
+            rings = around if rings is None else rings.unionByName(around)
+            placed = star.select("band", "id").union(here.where("id = hub").select("band", "id"))
+            alone = stored(alone.join(placed, ["band", "id"], "left_anti").select("band", "number", "id", "n"), "minhash-alone")
+            large = alone.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("left")).where(F.col("left") > self.block)
+            large = stored(large.select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "minhash-large")
+            if large.isEmpty() or k == self.rounds - 1:
+                break
+            here = inside.drop("hub", "hub_n").join(large, "band")
+        return stored(stars, "minhash-stars"), stored(rings, "minhash-rings"), alone
 
-    def _apart(self, inside: DataFrame, reps: DataFrame, links: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame | None:
+    def _apart(self, stars: DataFrame, rings: DataFrame, alone: DataFrame, reps: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame | None:
         """Pairs of different components to confirm next; None if there are none."""
-        confirmed = links.select(F.col("a").alias("hub"), F.col("b").alias("id"))
-        rest = stored(inside.where("size > 2").join(confirmed, ["hub", "id"], "left_anti").select("band", "id"), "minhash-rest")
-        if rest.isEmpty():
+
+        def labelled(rows: DataFrame, of: str) -> DataFrame:
+            if labels is None:
+                return rows.withColumn(f"{of}_component", F.col(of))
+            named = labels.select(F.col("vertex").alias(of), F.col("component").alias(f"{of}_component"))
+            return rows.join(named, of, "left").withColumn(f"{of}_component", F.coalesce(f"{of}_component", of))
+
+        asking = labelled(labelled(rings, "id"), "hub").where("id_component <> hub_component").withColumn("component", F.col("id_component"))
+        group = F.xxhash64("band", "hub").alias("group")
+        yes, no = F.lit(True), F.lit(False)
+        columns = ["number", "id", "n"]
+        asking = stored(asking.select(group, *columns, "component", yes.alias("asks"), no.alias("answers")), "minhash-asking")
+        others = stored(labelled(alone, "id").select(F.xxhash64("band").alias("group"), *columns, F.col("id_component").alias("component"), yes.alias("asks"), yes.alias("answers")), "minhash-others")
+        many = others.groupBy("group").agg(F.countDistinct("component").alias("parts")).where("parts > 1").select("group")
+        here = others.join(stored(many, "minhash-open"), "group", "left_semi")
+        if not asking.isEmpty():
+            asked = stored(asking.select("group").distinct(), "minhash-asked")
+            answering = stars.select(group, *columns).join(asked, "group", "left_semi")
+            answering = labelled(answering, "id").select("group", *columns, F.col("id_component").alias("component"), no.alias("asks"), yes.alias("answers"))
+            here = here.unionByName(asking).unionByName(answering)
+        here = stored(here, "minhash-here")
+        if here.isEmpty():
             return None
-        buckets = stored(rest.groupBy("band").agg(F.count("*").alias("n_asks")), "minhash-open")
-        here = inside.where("size > 2").join(buckets, "band")
-        here = here.join(rest.withColumn("asks", F.lit(True)), ["band", "id"], "left").select("band", "number", "id", "n", "size", "n_asks", F.coalesce("asks", F.lit(False)).alias("asks"))
-        here = here.join(reps.select("id", "bins"), "id")
-        if labels is not None:
-            here = here.join(labels.withColumnRenamed("vertex", "id"), "id", "left")
-        else:
-            here = here.withColumn("component", F.lit(None).cast("long"))
-        here = here.withColumn("component", F.coalesce("component", "id"))
+        sizes = stored(here.groupBy("group").agg(F.sum(F.col("asks").cast("int")).alias("n_asks"), F.sum(F.col("answers").cast("int")).alias("n_answers")), "minhash-sizes")
+        here = here.join(sizes, "group").join(reps.select("id", "bins"), "id")
         # an asking member meets each block of answers, an answering one each block of those that ask:
         # where few ask, rows are few however large the bucket is
-        asking = F.ceil(F.col("n_asks") / self.block).cast("int")
-        answering = F.ceil(F.col("size") / self.block).cast("int")
-        columns = ["id", "n", "component", "bins", "number"]
-
-        def spread(rows: DataFrame, own: Column, others: Column) -> DataFrame:
-            return rows.select("band", *columns, F.pmod(F.xxhash64("id"), own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
-
-        small = (asking == 1) & (answering == 1)
-        one = here.where(small).select(F.col("band").alias("block"), *columns, "asks", F.lit(True).alias("answers"))
-        many = here.where(~small)
-        ask = spread(many.where("asks"), asking, answering).select(F.xxhash64("band", "own", "other").alias("block"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("answers"))
-        answer = spread(many, answering, asking).select(F.xxhash64("band", "other", "own").alias("block"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("answers"))
+        asks = F.ceil(F.col("n_asks") / self.block).cast("int")
+        answers = F.ceil(F.col("n_answers") / self.block).cast("int")
+        columns += ["component", "bins"]
+
+        def spread(rows: DataFrame, own: Column, facing: Column) -> DataFrame:
+            return rows.select("group", *columns, F.pmod(F.xxhash64("id"), own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), facing - 1)).alias("other"))
+
+        small = (asks <= 1) & (answers <= 1)
+        one = here.where(small).select(F.col("group").alias("block"), *columns, "asks", "answers")
+        large = here.where(~small & (asks > 0) & (answers > 0))
+        ask = spread(large.where("asks"), asks, answers).select(F.xxhash64("group", "own", "other").alias("block"), *columns, yes.alias("asks"), no.alias("answers"))
+        answer = spread(large.where("answers"), answers, asks).select(F.xxhash64("group", "other", "own").alias("block"), *columns, no.alias("asks"), yes.alias("answers"))
         dealt = one.unionByName(ask).unionByName(answer).repartition("block").sortWithinPartitions("block")
-        pairs = stored(dealt.mapInArrow(_compare(self.percent, top), "a long, b long").distinct(), "minhash-apart")
+        pairs = stored(dealt.mapInArrow(lean(_compare(self.percent, top)), "a long, b long").distinct(), "minhash-apart")
         return None if pairs.isEmpty() else pairs
 
     @staticmethod

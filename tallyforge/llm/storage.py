@@ -6,8 +6,11 @@ The folder is the one named by ``spark.checkpoint.dir``; where that is unset
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +69,38 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for mapInArrow, after which the worker gives its free memory back.
+
+    Workers are used again, and the C library keeps what was freed: without
+    this each holds the largest of all its tasks for the rest of the job.
+    """
+
+    def held(batches: Batches) -> Batches:
+        c = _c_library()
+        if c is not None:
+            c.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD: large arrays are mapped, and unmapped when freed
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if c is not None:
+                c.malloc_trim(0)
+
+    return held
+
+
+def _c_library():
+    try:
+        c = ctypes.CDLL(None)
+        return c if hasattr(c, "malloc_trim") and hasattr(c, "mallopt") else None
+    except OSError:
+        return None
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI; a bare path is a local one."""
     if "://" not in uri and not uri.startswith("file:"):

@@ -1,45 +1,29 @@
-"""64-bit hashes of words and word shingles, for a whole Arrow batch at once.
+"""128-bit hashes of words and word shingles, for a whole Arrow batch at once.
 
-Works on the UTF-8 bytes of many texts as one array. A byte string hashes to a
-polynomial in an odd base modulo 2**64, so that a word's hash is a difference
-of prefix sums; a finaliser then mixes the bits.
+Words are hashed one by one with XXH3-128, as two 64-bit lanes. A shingle is
+the chain of its words' hashes, mixed after each word, lane by lane. Two
+shingles are the same if both lanes are; no structure of the texts makes
+different words alike, as a polynomial hash has it.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
-#: characters between words: space, tab, line feed, vertical tab, form feed, carriage return
+#: characters between words: space, tab, line feed, vertical tab, form feed, carriage return; ``bytes.split`` parts at the same
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-BLANK = np.zeros(256, bool)
-BLANK[list(BLANKS)] = True
+#: A-Z in lower case, blanks as spaces; the rest stays
+BLANK = bytes(0x20 if b in BLANKS else int(LOWER[b]) for b in range(256))
 #: ASCII that is neither letter nor digit also parts words
-NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+NOT_WORD = bytes(0x20 if b < 128 and not chr(b).isalnum() else int(LOWER[b]) for b in range(256))
 
-#: bytes hashed at once
+#: bytes split at once
 CHUNK = 1 << 20
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, by doubling."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        out = np.ones(1, np.uint64)
-        while len(out) < n:
-            step = np.uint64(pow(base, len(out), 1 << 64))
-            out = np.concatenate([out, out * step])
-        have = out
-        if n <= 2 * CHUNK:  # those of a longer word are not kept
-            _powers[base] = out
-    return have[:n]
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
@@ -49,53 +33,72 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes with a blank after each text, and where each text begins."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    return data, np.concatenate([[0], np.cumsum(sizes)])
-
-
-def words(texts: list[bytes], between: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of all texts, and how many words each text has."""
-    if not texts:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    data, starts = joined(texts)
-    data = LOWER[data]
-    blank = between[data]
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], blank]).astype(np.int8)))
-    begin, end = edges[::2], edges[1::2]
-    h = np.empty(len(begin), np.uint64)
+def _chunks(text: bytes):
+    """The text in parts of about ``CHUNK`` bytes that end at a space; a longer word stays whole."""
     at = 0
-    while at < len(begin):  # bounded arrays of 64-bit numbers, however long the texts are
-        first = begin[at]
-        to = max(at + 1, int(np.searchsorted(end, first + CHUNK, side="right")))
-        part = data[first : end[to - 1]]
-        n = len(part)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power(BASE, n), out=sums[1:])
-        i, j = begin[at:to] - first, end[at:to] - first
-        h[at:to] = mix((sums[j] - sums[i]) * _power(INVERSE, n)[i] + (j - i).astype(np.uint64))
+    while len(text) - at > CHUNK:
+        to = text.rfind(b" ", at, at + CHUNK)
+        if to < 0:
+            to = text.find(b" ", at + CHUNK)
+            if to < 0:
+                break
+        yield text[at:to]
         at = to
-    return h, np.diff(np.searchsorted(begin, starts))
+    yield text[at:]
+
+
+def words(texts: list[bytes], between: bytes = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of all texts (words x 2 lanes), and how many words each text has."""
+    digests, counts = [], np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        for part in _chunks(text.translate(between)):
+            found = part.split()
+            counts[k] += len(found)
+            digests.append(b"".join(map(xxhash.xxh3_128_digest, found)))
+    return np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), counts
 
 
-def shingles(texts: list[bytes], size: int, between: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each run of ``size`` words; counts per text.
+def shingles(texts: list[bytes], size: int, between: bytes = BLANK, at_most: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each run of ``size`` words (shingles x 2 lanes); counts per text.
 
-    A text of fewer words is one shingle; a text without words has none.
+    A text of fewer words is one shingle (none, without ``at_most``); a text
+    without words has none.
     """
     h, counts = words(texts, between)
-    if not len(h):
-        return h, np.zeros(len(texts), np.int64)
-    ends = np.cumsum(counts)
-    made = np.where(counts == 0, 0, np.maximum(counts - size + 1, 1))
+    short = np.where(counts > 0, 1, 0) if at_most else 0
+    made = np.where(counts >= size, counts - size + 1, short).astype(np.int64)
+    if not made.sum():
+        return np.empty((0, 2), np.uint64), made
     text = np.repeat(np.arange(len(texts)), made)
-    at = np.arange(len(text)) - np.repeat(np.cumsum(made) - made, made) + np.repeat(ends - counts, made)
+    at = np.arange(len(text)) - np.repeat(np.cumsum(made) - made, made) + np.repeat(np.cumsum(counts) - counts, made)
     have = np.minimum(counts[text], size)
-    out = np.zeros(len(text), np.uint64)
+    out = np.repeat(have.astype(np.uint64)[:, None], 2, axis=1)
     for k in range(size):
         inside = k < have
-        word = h[np.minimum(at + k, len(h) - 1)]
-        out = np.where(inside, out * np.uint64(BASE) + word, out)
-    return mix(out + have.astype(np.uint64)), made
+        chained = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[np.minimum(at + k, len(h) - 1)])
+        out = chained if inside.all() else np.where(inside[:, None], chained, out)
+    return out, made
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    """The different shingles in the order of their lanes."""
+    h = h[np.argsort(h[:, 0])]
+    tied = h[1:, 0] == h[:-1, 0]
+    differs = tied & (h[1:, 1] != h[:-1, 1])
+    if differs.any():  # two shingles agree in one lane
+        h = h[np.lexsort((h[:, 1], h[:, 0]))]
+        tied = (h[1:] == h[:-1]).all(axis=1)
+    return h[np.concatenate([np.ones(min(len(h), 1), bool), ~tied])]
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles two sets (of ``distinct``) have in common."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    place = np.searchsorted(b[:, 0], a[:, 0])
+    same = (b[np.minimum(place, len(b) - 1)] == a).all(axis=1) & (place < len(b))
+    if (a[1:, 0] == a[:-1, 0]).any() or (b[1:, 0] == b[:-1, 0]).any():
+        return len(set(map(tuple, a.tolist())) & set(map(tuple, b.tolist())))
+    return int(same.sum())

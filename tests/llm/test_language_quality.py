@@ -53,14 +53,36 @@ def test_mixture_finds_four_languages(spark):
 
 
 def test_pieces_have_the_trigrams_of_the_whole():
-    texts = [b"one two three four " * 30, b"", b"x" * 90, "é ü ß".encode(), b"last"]
+    texts = [b"one two three four " * 30, b"", b"x" * 90, "é ü ß ÀÉÎ".encode() * 9, b"last", "日本語ÜBER".encode() * 40, b" ", b"ab"]
+
     def counted(most):
         out = np.zeros((len(texts), 512), int)
-        for of, group in language.pieces(texts, most):
-            codes, owner = language.trigrams(group, 512)
+        for of, group, context in language.pieces(texts, most):
+            codes, owner = language.trigrams(group, 512, context)
             np.add.at(out, (of[owner], codes), 1)
         return out
-    assert (counted(1 << 20) == counted(100)).all() and (counted(1 << 20)[[0, 1, 3, 4]] == counted(40)[[0, 1, 3, 4]]).all()
+
+    whole = counted(1 << 20)
+    for most in (1, 2, 3, 7, 40, 100):
+        assert (counted(most) == whole).all()
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train(docs)
+    rows = spark.createDataFrame([(1, "½ ² ½"), (2, "① Ⅷ"), (3, "½ a"), (4, "Ⅷ ª"), (5, "é")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(rows, model).collect()}
+    assert got[1] == got[2] == "und" and "und" not in (got[3], got[4], got[5])
+
+
+def test_rows_do_not_depend_on_their_neighbours(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.train(docs)
+    texts = [(r.text or "").encode() for r in docs.collect()]
+    together, _ = language.mixtures(model, texts)
+    for k in range(0, len(texts), 17):
+        alone, _ = language.mixtures(model, [texts[k]])
+        assert np.allclose(alone[0], together[k], atol=1e-3)
 
 
 def test_quality_of_held_out_documents(spark):

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 
 from tallyforge.llm.components import components
-from tallyforge.llm.minhash import BINS, NearDuplicates, banding, densified, signature
-from tallyforge.llm.texthash import shingles
+from tallyforge.llm.minhash import BINS, NearDuplicates, banding, densify, signatures
+from tallyforge.llm.texthash import distinct, shared, shingles
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -105,17 +105,64 @@ def test_components(spark):
 
 def test_signatures_estimate_similarity():
     h = np.random.default_rng(0).integers(0, 2**63, 1300).astype(np.uint64)
-    a, _ = signature(h[:1000], BINS)
-    b, _ = signature(h[300:], BINS)
+    (a, b, few, none), byte = signatures([h[:1000], h[300:], h[:3], h[:0]], BINS)
     assert abs((a == b).mean() - 700 / 1300) < 0.1
-    few, byte = signature(h[:3], BINS)
-    assert len(set(few.tolist())) == 3 and (byte > 0).sum() == 3
+    assert len(set(few.tolist())) == 3 and (byte[2] > 0).sum() == 3 and not byte[3].any()
+    assert (signatures([h[:3]], BINS)[0][0] == few).all(), "a row does not depend on its neighbours"
 
 
 def test_densified_takes_filled_bins_only():
-    filled = np.zeros(64, bool)
-    filled[[3, 40]] = True
-    assert set(densified(filled).tolist()) == {3, 40}
+    filled = np.zeros((2, 64), bool)
+    filled[0, [3, 40]] = True
+    values = np.arange(128, dtype=np.uint64).reshape(2, 64)
+    densify(values, filled)
+    assert set(values[0].tolist()) == {3, 40}
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_words_of_a_regular_structure_stay_apart(spark):
+    """Polynomial hashes modulo a power of two are equal for a Thue-Morse word and its complement."""
+    word = thue_morse(4096)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two three {word} five"), (2, f"one two three {other} five"), (3, f"one two three {word} five")]
+    got = {r.doc_id: r.component_id for r in NearDuplicates(3, 85)(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_sets_compare_by_both_lanes():
+    h = np.array([[1, 1], [1, 2], [1, 1], [3, 0], [2, 9], [1, 2]], np.uint64)
+    a = distinct(h)
+    assert sorted(map(tuple, a.tolist())) == [(1, 1), (1, 2), (2, 9), (3, 0)]
+    assert shared(a, distinct(h[:1])) == 1 and shared(a, np.array([[1, 3]], np.uint64)) == 0 and shared(a, h[:0]) == 0 and shared(a, a) == 4
+
+
+def clustered(n_clusters, size, drift, seed):
+    """Clusters whose members differ from each other by small steps, so that stars overlap and hubs miss members."""
+    draw, rows = random.Random(seed), []
+    common = [f"c{k}" for k in range(70)]
+    for c in range(n_clusters):
+        own = common + [f"o{c}_{k}" for k in range(50)]
+        for _ in range(size):
+            words = list(own)
+            for _ in range(draw.randrange(drift)):
+                words[draw.randrange(len(words))] = f"v{draw.randrange(400)}"
+            rows.append((len(rows), " ".join(words)))
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("n_clusters", "size", "drift", "block", "rounds"), [(3, 40, 12, 8, 3), (20, 6, 7, 4, 2)])
+def test_stars_and_rings_lose_no_link(spark, n_clusters, size, drift, block, rounds):
+    rows = clustered(n_clusters, size, drift, n_clusters)
+    want = brute(rows, 3, 85)
+    got = NearDuplicates(3, 85, block, rounds)(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
 def test_banding_finds_pairs_at_the_threshold():
@@ -128,7 +175,7 @@ def test_shingle_hashes_equal_shingles():
     texts = ["a b c d", "A B C d", "", " x ", "x y", "a  b\tc\nd é", "b c d a b c d"]
     h, counts = shingles([t.encode() for t in texts], 3)
     ends = np.cumsum(counts)
-    got = [frozenset(h[e - n : e].tolist()) for e, n in zip(ends, counts, strict=True)]
+    got = [frozenset(map(tuple, h[e - n : e].tolist())) for e, n in zip(ends, counts, strict=True)]
     want = [shingle_set(t, 3) for t in texts]
     assert [len(g) for g in got] == [len(w) for w in want]
     for (ga, wa), (gb, wb) in combinations(zip(got, want, strict=True), 2):

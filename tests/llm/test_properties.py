@@ -16,7 +16,7 @@ def test_any_markup_gives_clean_blocks(parts):
     page = "".join(parts)
     text = html.extract(page)
     assert all(line and line == " ".join(line.split()) for line in text.split("\n")) or text == ""
-    html.candidates(html.parse(page))
+    assert html.analysed(page).text() == text
 
 
 @settings(max_examples=200, deadline=None)
