@@ -8,10 +8,14 @@ one-permutation MinHash (the least hash per bin); an item and a window that
 agree in a bin make their document a candidate, which is verified by the exact
 share of the item's shingles that the whole document contains. The shortest
 items have too few values for that: a document that has any of their shingles
-is a candidate.
-
-Items are taken in blocks of bounded size, one pass over the documents per
-block; nothing else is broadcast, and documents are never shuffled.
+is a candidate. An item of fewer words than a shingle is looked up as the run
+of words that it is.
+
+Items are taken in blocks of a bounded number of rows and bytes, one pass over
+the documents per block; nothing else is broadcast, and documents are never
+shuffled. (Sketching the documents once and joining the sketches with the items'
+would shuffle about two hashes for each word of the corpus, several times its
+size, and is dearer than ten passes.)
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.minhash import sliced
-from tallyforge.llm.storage import bound_batches, stored
-from tallyforge.llm.texthash import NOT_WORD, mix, shingles
+from tallyforge.llm.storage import bound_batches, lean, stored
+from tallyforge.llm.texthash import NOT_WORD, distinct, mix, shared, shingles, words
 
 SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
 #: largest number of shingles of each partition's items, and bins of its sketches
@@ -53,50 +57,90 @@ def sketch_parts(h: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     return ((y >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64), mix(y)
 
 
+@dataclass
+class Values:
+    """Sorted hashes, and the items that have each."""
+
+    values: np.ndarray
+    owners: np.ndarray
+    begins: np.ndarray
+    maybe: np.ndarray  # by the last 16 bits
+
+    @classmethod
+    def of(cls, values: list[np.ndarray], items: list[int]) -> Values:
+        owners = np.repeat(np.array(items, np.int32), [len(v) for v in values])
+        flat = np.concatenate(values)
+        order = np.argsort(flat, kind="stable")
+        found, begins = np.unique(flat[order], return_index=True)
+        maybe = np.zeros(1 << 16, bool)
+        maybe[(found & np.uint64(0xFFFF)).astype(np.int64)] = True
+        return cls(found, owners[order], np.append(begins, len(flat)), maybe)
+
+    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are among the values, and where."""
+        k = np.flatnonzero(self.maybe[(h & np.uint64(0xFFFF)).astype(np.int64)])
+        place = np.searchsorted(self.values, h[k])
+        same = (place < len(self.values)) & (self.values[np.minimum(place, len(self.values) - 1)] == h[k])
+        return k[same], place[same]
+
+    def items(self, place: int) -> list[int]:
+        return self.owners[self.begins[place] : self.begins[place + 1]].tolist()
+
+
 @dataclass
 class ItemIndex:
     """One block of items, sketched; what a task carries."""
 
     ids: list[int | None] = field(default_factory=list)
     sets: list[np.ndarray] = field(default_factory=list)
-    values: dict[int, np.ndarray] = field(default_factory=dict)  # by partition: sorted values
-    owners: dict[int, list[np.ndarray]] = field(default_factory=dict)
-    maybe: dict[int, np.ndarray] = field(default_factory=dict)
+    sketches: dict[int, Values] = field(default_factory=dict)  # by partition
+    short: dict[int, Values] = field(default_factory=dict)  # items of fewer words than a shingle, by their number of words
 
     @classmethod
-    def build(cls, items: list[tuple[int | None, str | None]], words: int) -> ItemIndex:
-        out = cls()
-        h, counts = shingles([(t or "").encode("utf-8", "surrogatepass") for _, t in items], words, NOT_WORD)
-        at, sketches = 0, {}
-        for (item_id, _), n in zip(items, counts, strict=True):
-            s = np.unique(h[at : at + n])
+    def build(cls, items: list[tuple[int | None, str | None]], size: int) -> ItemIndex:
+        out, texts = cls(), [(t or "").encode("utf-8", "surrogatepass") for _, t in items]
+        h, counts = shingles(texts, size, NOT_WORD)
+        n_words = words(texts, NOT_WORD)[1]
+        at, found, short = 0, {}, {}
+        for (item_id, _), n, length in zip(items, counts, n_words, strict=True):
+            s = distinct(h[at : at + n])
             at += n
             if not len(s):
                 continue
-            size = partition_of(len(s))
-            b, v = sketch_parts(s, bins_of(size))
-            least = np.full(bins_of(size), np.uint64(0xFFFFFFFFFFFFFFFF))
-            np.minimum.at(least, b, v)
-            # a sketch of the shortest items might be of one value, so all their shingles are kept
-            for value in v if size == SMALLEST else least[np.unique(b)]:
-                sketches.setdefault(size, {}).setdefault(int(value), []).append(len(out.ids))
+            if length < size:
+                group, values = short.setdefault(int(length), ([], [])), s[:, 0]
+            else:
+                part = partition_of(len(s))
+                b, v = sketch_parts(s[:, 0], bins_of(part))
+                least = np.full(bins_of(part), np.uint64(0xFFFFFFFFFFFFFFFF))
+                np.minimum.at(least, b, v)
+                # a sketch of the shortest items might be of one value, so all their shingles are kept
+                group, values = found.setdefault(part, ([], [])), v if part == SMALLEST else least[np.unique(b)]
+            group[0].append(values)
+            group[1].append(len(out.ids))
             out.ids.append(item_id)
             out.sets.append(s)
-        for size, found in sketches.items():
-            keys = sorted(found)
-            out.values[size] = np.array(keys, np.uint64)
-            out.owners[size] = [np.array(found[k]) for k in keys]
-            out.maybe[size] = np.zeros(1 << 16, bool)
-            out.maybe[size][(out.values[size] & np.uint64(0xFFFF)).astype(np.int64)] = True
+        out.sketches = {part: Values.of(*group) for part, group in found.items()}
+        out.short = {length: Values.of(*group) for length, group in short.items()}
         return out
 
+    def runs(self, texts: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(document, item) pairs of which the document has the item's words in a row, for items shorter than a shingle."""
+        for length, index in self.short.items():
+            h, counts = shingles(texts, length, NOT_WORD, at_most=False)
+            doc = np.repeat(np.arange(len(texts)), counts)
+            found: set[tuple[int, int]] = set()
+            for k, place in zip(*index.hits(h[:, 0]), strict=True):
+                found.update((int(doc[k]), item) for item in index.items(place) if (self.sets[item][0] == h[k]).all())
+            yield from found
+
     def candidates(self, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) pairs of which a window and the item agree in a bin.
 
         Documents are taken together up to ``SEGMENT`` shingles; a longer one is
         taken in segments that overlap by a window, so memory stays bounded.
         """
-        overlap = 2 * max(self.values, default=0)
+        overlap = 2 * max(self.sketches, default=0)
         segment = max(SEGMENT, overlap)
         begins = np.cumsum(counts) - counts
         found: set[tuple[int, int]] = set()
@@ -117,39 +161,39 @@ class ItemIndex:
         doc = np.repeat(np.arange(len(counts)), counts)
         position = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
         found: set[tuple[int, int]] = set()
-        for size, values in self.values.items():
+        for size, index in self.sketches.items():
             bins = bins_of(size)
             b, v = sketch_parts(h, bins)
             per_doc = counts // size + 2  # windows of 2 * size shingles that begin every size shingles
             first = np.cumsum(per_doc) - per_doc
             own = first[doc] + position // size + 1
+            k, place = index.hits(v)
+            if not len(k):
+                continue
             if size > SMALLEST:
                 least = np.full(int(per_doc.sum()) * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
                 for window in (own, own - 1):
                     np.minimum.at(least, window * bins + b, v)
-            hit = self.maybe[size][(v & np.uint64(0xFFFF)).astype(np.int64)]
-            k = np.flatnonzero(hit)
-            place = np.searchsorted(values, v[k])
-            same = (place < len(values)) & (values[np.minimum(place, len(values) - 1)] == v[k])
-            k, place = k[same], place[same]
-            agrees = np.ones(len(k), bool) if size == SMALLEST else (least[own[k] * bins + b[k]] == v[k]) | (least[(own[k] - 1) * bins + b[k]] == v[k])
-            for d, p in zip(doc[k[agrees]].tolist(), place[agrees].tolist(), strict=True):
-                found.update((d, item) for item in self.owners[size][p].tolist())
+                agrees = (least[own[k] * bins + b[k]] == v[k]) | (least[(own[k] - 1) * bins + b[k]] == v[k])
+                k, place = k[agrees], place[agrees]
+            for d, p in zip(doc[k].tolist(), place.tolist(), strict=True):
+                found.update((d, item) for item in index.items(p))
         return found
 
 
-def _search(index: ItemIndex, words: int, percent: int):
+def _search(index: ItemIndex, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in sliced(batches, 1 << 18):
-            h, counts = shingles(texts, words, NOT_WORD)
+            h, counts = shingles(texts, size, NOT_WORD)
             ends, rows, sets = np.cumsum(counts), [], {}
-            for d, item in sorted(index.candidates(h, counts)):
+            for d, item in sorted(index.candidates(h[:, 0], counts)):
                 if d not in sets:
-                    sets = {d: np.unique(h[ends[d] - counts[d] : ends[d]])}
+                    sets = {d: distinct(h[ends[d] - counts[d] : ends[d]])}
                 wanted = index.sets[item]
-                shared = len(np.intersect1d(wanted, sets[d], assume_unique=True))
-                if 100 * shared >= percent * len(wanted):
-                    rows.append((ids[d], index.ids[item], len(wanted), shared, shared / len(wanted)))
+                both = shared(wanted, sets[d])
+                if 100 * both >= percent * len(wanted):
+                    rows.append((ids[d], index.ids[item], len(wanted), both, both / len(wanted)))
+            rows += [(ids[d], index.ids[item], 1, 1, 1.0) for d, item in index.runs(texts)]
             if rows:
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "n_item_shingles", "n_shared", "containment"])
@@ -157,28 +201,30 @@ def _search(index: ItemIndex, words: int, percent: int):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", words: int = 5, percent: int = 80, block_rows: int = 20_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", words: int = 5, percent: int = 80, block_rows: int = 20_000, block_bytes: int = 4 << 20) -> DataFrame:
     """One row per (document, item) of which the document holds ``percent`` of the item's shingles.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, with A-Z
-    in lower case; a text of fewer words than a shingle is one shingle, and an
-    item or document without words (or null) matches nothing. Repeated rows of
-    either table give repeated result rows. Other columns are not read. An
-    empty table gives no rows. ``block_rows`` items are held by a task at once;
-    more items make more passes.
+    in lower case. An item of fewer words than a shingle is one shingle, held
+    by a document that has its words in a row. An item or document without
+    words (or null) matches nothing. Repeated rows of either table give
+    repeated result rows. Other columns are not read. An empty table gives no
+    rows. A task holds about ``block_rows`` items or ``block_bytes`` of their
+    texts at once (and about five times these bytes of hashes); more items make
+    more passes.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("item_text"))
-    n = items.count()
-    blocks = max(1, -(-n // block_rows))
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block_rows), -(-size // block_bytes))
     numbered = items if blocks == 1 else stored(items.withColumn("block", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks))), "benchmark")
     out: DataFrame | None = None
     for k in range(blocks):
         part = numbered if blocks == 1 else numbered.where(F.col("block") == k)
         index = ItemIndex.build([(r.item_id, r.item_text) for r in part.select("item_id", "item_text").toLocalIterator()], words)
-        found = source.mapInArrow(_search(index, words, percent), SCHEMA)
+        found = source.mapInArrow(lean(_search(index, words, percent)), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], SCHEMA)
 

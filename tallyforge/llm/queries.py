@@ -80,15 +80,18 @@ WITH words AS (
   SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') FROM benchmark
+), sizes AS (
+  SELECT DISTINCT least(len(w), 5) AS size FROM words WHERE kind = 'i' AND len(w) > 0
 ), spot AS (
-  SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0
+  SELECT kind, id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+  FROM words JOIN sizes ON CASE kind WHEN 'i' THEN size = least(len(w), 5) ELSE size <= len(w) END
 ), s AS (
-  SELECT DISTINCT kind, id, array_to_string(w[k:k + 4], ' ') AS g FROM spot
+  SELECT DISTINCT kind, id, size, array_to_string(w[k:k + size - 1], ' ') AS g FROM spot
 ), n AS (
   SELECT id AS item_id, count(*) AS n_item_shingles FROM s WHERE kind = 'i' GROUP BY id
 ), hits AS (
   SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
-  FROM s d JOIN s i ON d.g = i.g WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
+  FROM s d JOIN s i ON d.g = i.g AND d.size = i.size WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
 )
 SELECT doc_id, item_id, n_item_shingles, n_shared, n_shared / n_item_shingles::DOUBLE AS containment
 FROM hits JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_item_shingles
