@@ -11,7 +11,7 @@ candidate edges shaped as stars around hubs:
    confirmed on the full shingle sets of both texts. The members that the hub
    confirms are its star. Where more than ``block`` members of a bucket are in
    no star, the smallest of those is its next hub and meets all members, and so
-   on for ``rounds`` rounds.
+   on for ``rounds`` rounds or until a round places less than an eighth.
 3. Two members that are linked may lie in different stars. The distance 1 -
    Jaccard is a metric: if y is in the star of h and x links with y, then x is
    at most twice the threshold's distance from h. Only members in that ring
@@ -318,7 +318,8 @@ class NearDuplicates:
         """Stars and rings (band, number, hub, id, n), and the members (band, number, id, n) of buckets of three and more that are in no star."""
         stars: DataFrame | None = None
         rings: DataFrame | None = None
-        here, alone = inside, inside.where("size > 2")
+        settled: DataFrame | None = None
+        here, pending = inside.withColumn("before", F.col("size")), inside.where("size > 2").select("band", "number", "id", "n")
         for k in range(self.rounds):
             least = F.when(F.col("size") > 2, ring(self.percent)).otherwise(self.percent)  # a bucket of two has no ring
             met = here.where((F.col("id") != F.col("hub")) & (F.least("n", "hub_n") * 100 >= least * F.greatest("n", "hub_n")))
@@ -328,14 +329,20 @@ class NearDuplicates:
             around = told.where("not linked and size > 2").drop("linked", "size")
             stars = star if stars is None else stars.unionByName(star)
             rings = around if rings is None else rings.unionByName(around)
-            placed = star.select("band", "id").union(here.where("id = hub").select("band", "id"))
-            alone = stored(alone.join(placed, ["band", "id"], "left_anti").select("band", "number", "id", "n"), "minhash-alone")
+            hubs = here.where("id = hub").select("band", "id", "before")
+            placed = star.select("band", "id").union(hubs.select("band", "id"))
+            alone = stored(pending.join(placed, ["band", "id"], "left_anti"), "minhash-alone")
             large = alone.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("left")).where(F.col("left") > self.block)
-            large = stored(large.select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "minhash-large")
-            if large.isEmpty() or k == self.rounds - 1:
+            large = large.join(hubs.select("band", "before"), "band").where("8 * left <= 7 * before")  # where hubs place few, blocks are cheaper
+            large = stored(large.select("band", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("left").alias("before")), "minhash-large")
+            last = k == self.rounds - 1 or large.isEmpty()
+            done = alone if last else alone.join(large, "band", "left_anti")  # buckets with few members left have no more rounds
+            settled = done if settled is None else settled.unionByName(done)
+            if last:
                 break
-            here = inside.drop("hub", "hub_n").join(large, "band")
-        return stored(stars, "minhash-stars"), stored(rings, "minhash-rings"), alone
+            here = stored(inside.drop("hub", "hub_n").join(large, "band"), "minhash-round")
+            pending = alone.join(large.select("band"), "band", "left_semi")
+        return stored(stars, "minhash-stars"), stored(rings, "minhash-rings"), stored(settled, "minhash-settled")
 
     def _apart(self, stars: DataFrame, rings: DataFrame, alone: DataFrame, reps: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame | None:
         """Pairs of different components to confirm next; None if there are none."""
