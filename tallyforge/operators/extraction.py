@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import cache_key, in_unit
 from tallyforge.operators.quality_rules import dedup_rows
+from tallyforge.sources.repair import repaired_column
 
 
 class Provider(Protocol):
@@ -77,8 +78,10 @@ def extracted_metrics(answers: DataFrame) -> DataFrame:
 
     Blocks of another period type than the publication's are comparative and
     dropped. Values are in ones. Of a key several times the last value stays.
+    An answer that does not parse is repaired (F22); one beyond repair has no rows.
     """
-    e = answers.select("ticker", "publication_id", "expected_type", F.posexplode(F.from_json("answer", RESULT)["extractions"]).alias("at", "x"))
+    parsed = answers.withColumn("answer", F.when(F.from_json("answer", RESULT)["extractions"].isNull(), repaired_column(F.col("answer"))).otherwise(F.col("answer")))
+    e = parsed.select("ticker", "publication_id", "expected_type", F.posexplode(F.from_json("answer", RESULT)["extractions"]).alias("at", "x"))
     kept = e.where(F.col("expected_type").isNull() | (F.col("x.period_type") == F.col("expected_type")))
     m = kept.select("ticker", "publication_id", "x.reporting_date", "x.period_type", "x.reporting_standard", "x.currency", "x.unit", "at", F.explode("x.metrics").alias("metric_name", "item"))
     rows = m.withColumn("value", in_unit(F.col("item.value"), F.col("unit"), F.lit("ones"))).drop("item", "unit")
