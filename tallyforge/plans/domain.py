@@ -81,20 +81,20 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                CASE WHEN user_id % 4 = 2 THEN 'UNIQUE constraint failed' WHEN user_id % 4 = 3 THEN 'Argument list too long' ELSE 'other' END AS error,
                CASE WHEN user_id % 8 = 3 THEN 'bad Reporting Period label' ELSE 'row with only 3 cells' END AS detail,
                concat('EDX', user_id, '-3-', event_id) AS publication_id, CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'ValueError' END AS exc_type
-        FROM {events} WHERE user_id % 10 <> 9 AND (user_id % 7 < 3 OR event_id % 16 >= 3)""",
+        FROM {events}""",
     "ticks": (
         """
-        SELECT CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS BIGINT) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
-               CASE day(ts) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ok' WHEN 2 THEN 'fail' WHEN 3 THEN 'regression' WHEN 4 THEN 'neutral' ELSE 'ok' END AS verdict,
+        SELECT CAST((year(ts) * 10000 + month(ts) * 100 + day(ts)) * 100 + user_id % 16 AS BIGINT) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
+               CASE (day(ts) + user_id % 16) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ok' WHEN 2 THEN 'fail' WHEN 3 THEN 'regression' WHEN 4 THEN 'neutral' ELSE 'ok' END AS verdict,
                CAST(day(ts) AS DOUBLE) / CAST(4 AS DOUBLE) AS cost,
                concat('[', array_join(array_sort(collect_set(concat('{"company_id":"', user_id, '","ticker":"EDX', user_id, '"}'))), ','), ']') AS batch_json
-        FROM {events} WHERE user_id % 30 = day(ts) GROUP BY 1, 2, 3, 4, 5""",
+        FROM {events} GROUP BY 1, 2, 3, 4, 5""",
         """
-        SELECT CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS BIGINT) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
-               CASE day(ts) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ok' WHEN 2 THEN 'fail' WHEN 3 THEN 'regression' WHEN 4 THEN 'neutral' ELSE 'ok' END AS verdict,
+        SELECT CAST((year(ts) * 10000 + month(ts) * 100 + day(ts)) * 100 + user_id % 16 AS BIGINT) AS tick_id, CAST(ts AS DATE) AS day, concat(CAST(CAST(ts AS DATE) AS STRING), 'T12:00:00+00:00') AS finished_at,
+               CASE (day(ts) + user_id % 16) % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ok' WHEN 2 THEN 'fail' WHEN 3 THEN 'regression' WHEN 4 THEN 'neutral' ELSE 'ok' END AS verdict,
                CAST(day(ts) AS DOUBLE) / CAST(4 AS DOUBLE) AS cost,
                concat('[', array_to_string(list_sort(list(DISTINCT concat('{"company_id":"', user_id, '","ticker":"EDX', user_id, '"}'))), ','), ']') AS batch_json
-        FROM {events} WHERE user_id % 30 = day(ts) GROUP BY 1, 2, 3, 4, 5""",
+        FROM {events} GROUP BY 1, 2, 3, 4, 5""",
     ),
     "companies": "SELECT CAST(c_custkey AS STRING) AS company_id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN 'bank' ELSE 'non_bank' END AS type FROM {customer}",
     "skiplist": """
@@ -114,10 +114,10 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                CAST(CASE WHEN seq % 3 = 0 THEN 0 ELSE seq % 5 END AS INT) AS metrics_rows, CAST(seq % 3 AS INT) AS qa_issues_count, CAST(CASE WHEN seq % 7 = 0 THEN 1 ELSE 0 END AS INT) AS returncode
         FROM (SELECT ticker, min(seq) AS seq FROM {publications} GROUP BY ticker) x""",
     # the state after a run that stopped early: what it has of each ticker differs
-    "early_publications": "SELECT ticker, status, CASE WHEN seq % 2 = 0 THEN upper(last_error) ELSE last_error END AS last_error FROM {publications} WHERE seq % 9 < 2",
+    "early_publications": "SELECT ticker, CASE WHEN seq % 9 < 2 THEN status WHEN seq % 9 < 5 THEN 'discovered' ELSE 'downloaded' END AS status, CASE WHEN seq % 2 = 0 THEN upper(last_error) ELSE last_error END AS last_error FROM {publications}",
     "early_filings": "SELECT ticker, is_machine_readable, reporting_standard, page_count, text_pages_count FROM {filings} WHERE line > 5",
     "early_metrics": "SELECT ticker, metric_id FROM {metrics} WHERE currency = 'USD' OR unit = 'thousands'",
-    "early_issues": "SELECT ticker, code FROM {qa_issues} WHERE issue_id % 5 = 0",
+    "early_issues": "SELECT ticker, CASE WHEN issue_id % 5 = 0 THEN code ELSE 'incomplete' END AS code FROM {qa_issues}",
     # one metric for each key may come several times, as from repeated extractions of one period
     "extracted_rows": """
         SELECT concat('EDX', o_custkey) AS ticker, concat('Q', quarter(o_orderdate)) AS period_type, l_linenumber AS metric_no, o_orderkey * 1000000 + l_partkey AS seq,

@@ -85,11 +85,15 @@ def f8(spark, d):
     return table(spark, d, "pages_of").select("doc_id", "page_number", text.page_kind(F.col("page"), 40).alias("kind"))
 
 
-@query("f9_from_anchor", "SELECT doc_id, CAST(nullif(instr(t, ' the '), 0) AS INT) AS anchor_at, CASE WHEN instr(t, ' the ') > 0 THEN 'lead: ' || substr(text, instr(t, ' the '), 200) END AS content, instr(t, ' the ') > 0 AND length(text) - instr(t, ' the ') + 1 > 200 AS capped FROM (SELECT doc_id, text, lower(text) AS t FROM documents)")
+_FILING = "SELECT doc_id, concat('Cover of ', doc_id, chr(10)) AS cover, CASE doc_id % 4 WHEN 1 THEN concat('  БУХГАЛТЕРСКИЙ  баланс ', chr(10)) WHEN 2 THEN concat('Форма по ОКУД 0710001', chr(10)) WHEN 3 THEN concat('Отчет о финансовых результатах', chr(10)) ELSE 'в бухгалтерский баланс входит ' END AS heading, concat(repeat(text, CASE WHEN doc_id % 50 = 1 THEN 40 ELSE 1 END), chr(10), 'Бухгалтерский баланс за год') AS rest FROM {0}"
+
+
+@query("f9_from_anchor", f"WITH f AS ({_FILING.format('documents')}) SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN length(cover) + 1 END::INT AS anchor_at, CASE WHEN doc_id % 4 <> 0 THEN '{classify.LEAD}' || substr(heading || rest, 1, 200000) END AS content, coalesce(doc_id % 4 <> 0 AND length(heading || rest) > 200000, false) AS capped FROM f")
 def f9(spark, d):
-    # documents here have no statements; a plain anchor exercises the same column, headings are unit-tested
-    cut = classify.from_anchor(F.col("text"), (" the ",), "lead: ", 200)
-    return table(spark, d, "documents").withColumn("c", cut).select("doc_id", "c.anchor_at", "c.content", "c.capped")
+    """Filings with a cover, one of the three headings or a sentence that is none, and the whole text of a document."""
+    table(spark, d, "documents").createOrReplaceTempView("_tf_documents")
+    filings = spark.sql(_FILING.format("_tf_documents").replace("chr(10)", "'\\n'"))
+    return filings.withColumn("c", classify.from_anchor(F.concat("cover", "heading", "rest"))).select("doc_id", "c.anchor_at", "c.content", "c.capped")
 
 
 @query("f10_section")
@@ -104,17 +108,20 @@ def f11(spark, d):
     return table(spark, d, "documents").select("doc_id", text.cleaned(text.compatible(F.col("text"))).alias("text"))
 
 
-_PARTS = "parts AS (SELECT doc_id, CAST(unnest(range(1, 7)) AS INT) AS page_number, text FROM documents), p AS (SELECT doc_id, page_number, 'HEAD ' || (doc_id % 3) || chr(10) || substr(text, (page_number - 1) * 200 + 1, 200) || CASE WHEN page_number < 3 THEN chr(10) || 'odd' ELSE '' END AS page FROM parts)"
+#: characters of a page, and of all pages of a document that go into a prompt
+_PAGE, _BUDGET = 2000, 50_000
+_PARTS = f"parts AS (SELECT doc_id, CAST(unnest(range(1, CAST(greatest(1, ceil(length(text) / {_PAGE}.0)) AS BIGINT) + 1)) AS INT) AS page_number, text FROM documents), p AS (SELECT doc_id, page_number, 'HEAD ' || (doc_id % 3) || chr(10) || substr(text, (page_number - 1) * {_PAGE} + 1, {_PAGE}) || CASE WHEN page_number < 3 THEN chr(10) || 'odd' ELSE '' END AS page FROM parts)"
 
 
 def _parts(spark, d):
-    """Six pages of each document, with a line that recurs on all and one that does on two."""
-    docs = table(spark, d, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("page_number"))
+    """Each document's whole text as pages, with a line that recurs on all and one that does on two."""
+    n = F.greatest(F.lit(1), F.ceil(F.length("text") / _PAGE)).cast("int")
+    docs = table(spark, d, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(1), n)).alias("page_number"))
     odd = F.when(F.col("page_number") < 3, F.lit("\nodd")).otherwise("")
-    return docs.select("doc_id", "page_number", F.concat(F.lit("HEAD "), F.col("doc_id") % 3, F.lit("\n"), F.substring("text", (F.col("page_number") - 1) * 200 + 1, F.lit(200)), odd).alias("page"))
+    return docs.select("doc_id", "page_number", F.concat(F.lit("HEAD "), F.col("doc_id") % 3, F.lit("\n"), F.substring("text", (F.col("page_number") - 1) * _PAGE + 1, F.lit(_PAGE)), odd).alias("page"))
 
 
-_LINES = f"l AS (SELECT DISTINCT doc_id, page_number, {_strip('line')} AS line FROM (SELECT doc_id, page_number, unnest(string_split(page, chr(10))) AS line FROM p)), f AS (SELECT doc_id, line, count(DISTINCT page_number) AS pages FROM l WHERE line <> '' AND length(line) <= 120 GROUP BY ALL)"
+_LINES = f"l AS (SELECT DISTINCT doc_id, page_number, {_strip('line')} AS line FROM (SELECT doc_id, page_number, unnest(string_split(page, chr(10))) AS line FROM p)), c AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id), f AS (SELECT doc_id, line, n, count(DISTINCT page_number) AS pages FROM l JOIN c USING (doc_id) WHERE line <> '' AND length(line) <= 120 GROUP BY ALL)"
 
 
 @query("a16_line_frequency", f"WITH {_PARTS}, {_LINES} SELECT doc_id, line, pages FROM f")
@@ -122,19 +129,19 @@ def a16(spark, d):
     return documents.line_frequency(_parts(spark, d))
 
 
-@query("f12_without_recurring", f"WITH {_PARTS}, {_LINES}, o AS (SELECT doc_id, page_number, generate_subscripts(string_split(page, chr(10)), 1) AS pos, unnest(string_split(page, chr(10))) AS line FROM p), k AS (SELECT o.* FROM o LEFT JOIN f ON f.doc_id = o.doc_id AND f.line = {_strip('o.line')} AND f.pages >= 4 WHERE f.line IS NULL) SELECT p.doc_id, p.page_number, coalesce({_strip('''string_agg(k.line, chr(10) ORDER BY pos)''')}, '') AS page FROM p LEFT JOIN k USING (doc_id, page_number) GROUP BY ALL")
+@query("f12_without_recurring", f"WITH {_PARTS}, {_LINES}, o AS (SELECT doc_id, page_number, generate_subscripts(string_split(page, chr(10)), 1) AS pos, unnest(string_split(page, chr(10))) AS line FROM p), k AS (SELECT o.* FROM o LEFT JOIN f ON f.doc_id = o.doc_id AND f.line = {_strip('o.line')} AND f.pages >= greatest(3, f.n // 2 + 1) WHERE f.line IS NULL) SELECT p.doc_id, p.page_number, coalesce({_strip('''string_agg(k.line, chr(10) ORDER BY pos)''')}, '') AS page FROM p LEFT JOIN k USING (doc_id, page_number) GROUP BY ALL")
 def f12(spark, d):
     return documents.without_recurring(_parts(spark, d))
 
 
-@query("w5_page_budget", f"WITH {_PARTS}, b AS (SELECT *, coalesce(sum(length(page)) OVER (PARTITION BY doc_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p), t AS (SELECT *, max(before >= 500 OR before + length(page) > 500) OVER (PARTITION BY doc_id) AS truncated FROM b) SELECT doc_id, page_number, substr(page, 1, CAST(500 - before AS BIGINT)) AS page, truncated FROM t WHERE before < 500")
+@query("w5_page_budget", f"WITH {_PARTS}, b AS (SELECT *, coalesce(sum(length(page)) OVER (PARTITION BY doc_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p), t AS (SELECT *, max(before >= {_BUDGET} OR before + length(page) > {_BUDGET}) OVER (PARTITION BY doc_id) AS truncated FROM b) SELECT doc_id, page_number, substr(page, 1, CAST({_BUDGET} - before AS BIGINT)) AS page, truncated FROM t WHERE before < {_BUDGET}")
 def w5(spark, d):
-    return documents.within_budget(_parts(spark, d), 500)
+    return documents.within_budget(_parts(spark, d), _BUDGET)
 
 
-@query("f13_max_chars", f"WITH {_PARTS} SELECT doc_id, least(sum(length(page)), 500)::BIGINT AS chars FROM p GROUP BY doc_id")
+@query("f13_max_chars", f"WITH {_PARTS} SELECT doc_id, least(sum(length(page)), {_BUDGET})::BIGINT AS chars FROM p GROUP BY doc_id")
 def f13(spark, d):
-    return documents.within_budget(_parts(spark, d), 500).groupBy("doc_id").agg(F.sum(F.length("page")).alias("chars"))
+    return documents.within_budget(_parts(spark, d), _BUDGET).groupBy("doc_id").agg(F.sum(F.length("page")).alias("chars"))
 
 
 @query("j8_overlay_pages", f"WITH {_PARTS}, o AS (SELECT doc_id, page_number, reverse(page) AS ocr FROM p WHERE (doc_id + page_number) % 4 = 0) SELECT doc_id, page_number, coalesce(ocr, page) AS page, CASE WHEN ocr IS NULL THEN 't' || page_number END AS tables FROM p LEFT JOIN o USING (doc_id, page_number)")
@@ -275,26 +282,38 @@ def s12(spark, d):
     return found.select("page_id", F.col("r")[0].alias("id"), F.col("r")[1].alias("name"), F.col("r")[2].alias("href"))
 
 
+#: a label of each form, # for the year, and its period
+_FORMS = [
+    ("#, 3 месяца", "Q1"), ("#, 6 месяцев", "H1"), ("#, 9 месяцев", "9M"), ("#, 12 мес.", "FY"), ("#, 1 квартал", "Q1"),
+    ("#, III квартал", "Q3"), ("II квартал #", "Q2"), ("четвёртый квартал #", "Q4"), ("первое полугодие #", "H1"), ("II полугодие, #", "H2"),
+    ("#", "FY"), ("Отчёт за 3 квартал # года", "Q3"), ("за 2 полугодие # год", "H2"), ("итоги за # год", "FY"), ("Бухгалтерская отчётность за #", "FY"),
+]
+_LISTED = "SELECT ticker || '-' || report_type_code || '-' || seq AS publication_id, ticker, publication_date, reporting_period_year, CASE seq % 15 " + " ".join(f"WHEN {k} THEN '{p}'" for k, (_, p) in enumerate(_FORMS)) + " END AS reporting_period_type FROM d_publications WHERE report_type_code IN (3, 4)"
+
+
 def _listing_pages(spark, d):
     """A listing page per ticker and type, in the layout of seven cells."""
     p = table(spark, d, "publications").where("report_type_code IN (3, 4)")
     day = F.date_format("publication_date", "dd.MM.yyyy")
-    cells = F.concat(F.lit("<tr><td>1</td><td>Report</td><td>"), "reporting_period_year", F.lit("</td><td>x</td><td>"), day, F.lit('</td><td class="file-cell"><a class="file-link" data-fileid="'), "seq", F.lit('" href="/f?id='), "seq", F.lit('">f</a></td><td></td></tr>'))
+    label = F.expr("CASE seq % 15 " + " ".join(f"WHEN {k} THEN replace('{form}', '#', reporting_period_year)" for k, (form, _) in enumerate(_FORMS)) + " END")
+    cells = F.concat(F.lit("<tr><td>1</td><td>Report</td><td>"), label, F.lit("</td><td>x</td><td>"), day, F.lit('</td><td class="file-cell"><a class="file-link" data-fileid="'), "seq", F.lit('" href="/f?id='), "seq", F.lit('">f</a></td><td></td></tr>'))
     rows = p.groupBy("ticker", F.col("report_type_code").alias("type_code")).agg(F.array_join(F.array_sort(F.collect_list(cells)), "").alias("rows"))
     return rows.select("ticker", "type_code", F.concat(F.lit('<table class="files-table"><tr><th>h</th></tr>'), "rows", F.lit("</table>")).alias("html"))
 
 
-@query("s1_listing_rows", oracle("publications", "SELECT ticker || '-' || report_type_code || '-' || seq AS publication_id, ticker, publication_date, reporting_period_year, 'FY' AS reporting_period_type FROM d_publications WHERE report_type_code IN (3, 4)"))
+@query("s1_listing_rows", oracle("publications", _LISTED))
 def s1(spark, d):
-    found = listings.publications(_listing_pages(spark, d))
-    return found.select("publication_id", "ticker", "publication_date", "reporting_period_year", "reporting_period_type")
+    return _listed(_listing_pages(spark, d))
 
 
-@query("s2_view_source", oracle("publications", "SELECT count(*) AS n FROM d_publications WHERE report_type_code IN (3, 4)"))
+@query("s2_view_source", oracle("publications", _LISTED))
 def s2(spark, d):
     escaped = F.replace(F.replace(F.col("html"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    shown = _listing_pages(spark, d).withColumn("html", F.concat(F.lit('<html><body><span id="line1">'), escaped, F.lit("</span></body></html>")))
-    return listings.publications(shown).agg(F.count("*").alias("n"))
+    return _listed(_listing_pages(spark, d).withColumn("html", F.concat(F.lit('<html><body><span id="line1">'), escaped, F.lit("</span></body></html>"))))
+
+
+def _listed(pages):
+    return listings.publications(pages).select("publication_id", "ticker", "publication_date", "reporting_period_year", "reporting_period_type")
 
 
 @query("s13_archive_kind", oracle("filings", "SELECT document_id, CASE WHEN ends_with(relative_path, '.zip') THEN 'zip' WHEN line = 1 THEN 'rar' WHEN line = 2 THEN 'zip' END AS kind FROM d_filings"))
