@@ -309,9 +309,13 @@ def candidates(root: Node, mains: list[Node]) -> dict[int, list[int]]:
     for x in reversed(order):
         if any(isinstance(p, Node) and id(p) in holders for p in x.parts):
             holders.add(id(x))
-    inside = {id(x) for x in mains}
+    inside, gone = {id(x) for x in mains}, set()
     out: dict[int, list[int]] = {}
     for x in order:
+        if x.noise or id(x) in gone:  # goes as a whole, so no part of it is counted
+            gone.update(id(p) for p in x.parts if isinstance(p, Node))
+        if id(x) in gone:
+            continue
         within = id(x) in inside
         if within:
             inside.update(id(p) for p in x.parts if isinstance(p, Node))
