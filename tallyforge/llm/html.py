@@ -20,12 +20,14 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -396,10 +398,23 @@ def sites_of(url: F.Column) -> F.Column:
     return F.array_distinct(F.array(F.xxhash64(host_of(url)), F.xxhash64(F.concat(host_of(url), folder))))
 
 
-PAGE = "row_key long, page_id long, url string, sites array<long>, content long, marked boolean, keys array<long>, runs array<string>, numbers array<long>, begins array<int>, ends array<int>"
+PAGE = "row_key long, page_id long, url string, sites array<long>, content long, keys array<long>, body binary"
 RESULT = "page_id long, url string, text string, n_chars long, n_templates int"
 
 
+def to_body(page: Page) -> bytes:
+    """What the text is made of, compressed, as it is moved once; a span names its subtree by its place in ``keys``."""
+    places = {key: k for k, key in enumerate(page.keys)}
+    whole = json.dumps([page.marked, page.runs, [(places[number], begin, end) for number, begin, end in page.spans]], ensure_ascii=False)
+    return zstandard.compress(whole.encode("utf-8", "surrogatepass"))
+
+
+def from_body(body: bytes) -> Page:
+    """The page of ``to_body``, its subtrees numbered by their places."""
+    marked, runs, spans = json.loads(zstandard.decompress(body).decode("utf-8", "surrogatepass"))
+    return Page(0, [], marked, runs, spans)
+
+
 def _analyse(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
     names = [part.split()[0] for part in PAGE.split(", ")]
     for batch in batches:
@@ -408,21 +423,21 @@ def _analyse(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.R
             found = [analysed(page.as_py()) for page in part["html"]]
             made = [
                 ([f.content for f in found], pa.int64()),
-                ([f.marked for f in found], pa.bool_()),
                 ([f.keys for f in found], pa.list_(pa.int64())),
-                ([f.runs for f in found], pa.list_(pa.string())),
-                *(([[s[k] for s in f.spans] for f in found], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))),
+                ([to_body(f) for f in found], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays([*(part[c] for c in names[:4]), *(pa.array(*c) for c in made)], names=names)
 
 
-def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _delete(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, counts = [], []
-        for marked, runs, numbers, begins, ends, deleted in zip(*(batch[c].to_pylist() for c in ("marked", "runs", "numbers", "begins", "ends", "deleted")), strict=True):
-            texts.append(Page(0, [], marked, runs, list(zip(numbers, begins, ends, strict=True))).text(frozenset(deleted or ())))
-            counts.append(len(deleted or ()))
-        yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(counts, pa.int32())], names=["page_id", "url", "text", "n_chars", "n_templates"])
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            texts, counts = [], []
+            for body, deleted in zip(part["body"].to_pylist(), part["deleted"].to_pylist(), strict=True):
+                texts.append(from_body(body).text(frozenset(deleted or ())))
+                counts.append(len(deleted or ()))
+            yield pa.RecordBatch.from_arrays([part["page_id"], part["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(counts, pa.int32())], names=["page_id", "url", "text", "n_chars", "n_templates"])
 
 
 def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> tuple[DataFrame, DataFrame]:
@@ -455,11 +470,12 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     keys = found.select("row_key", "sites", "content", "keys")
     deleted, sites = templates(keys, min_pages=min_pages, min_share=min_share)
     one = keys.dropDuplicates(["row_key"])
-    exploded = one.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.explode("keys").alias("key"))
-    hits = exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "key")
+    exploded = one.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.posexplode("keys").alias("place", "key"))
+    hits = exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "place")
     wide = stored(deleted.where("key % 2 <> 0").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_hosts).select("key"), "html-wide")
     few = sites.where(F.col("contents") < min_pages).select("site")
-    small = one.select("row_key", F.col("sites")[0].alias("site"), F.filter("keys", lambda k: k % 2 != 0).alias("keys")).where(F.size("keys") > 0).join(few, "site", "left_semi")
-    hits = hits.unionByName(small.select("row_key", F.explode("keys").alias("key")).join(wide, "key", "left_semi").select("row_key", "key"))
-    per_page = stored(hits.groupBy("row_key").agg(F.collect_set("key").alias("deleted")), "html-hits")
-    return found.select("row_key", "page_id", "url", "marked", "runs", "numbers", "begins", "ends").join(per_page, "row_key", "left").mapInArrow(lean(_delete), RESULT)
+    small = one.select("row_key", F.col("sites")[0].alias("site"), "keys").join(few, "site", "left_semi").select("row_key", F.posexplode("keys").alias("place", "key")).where("key % 2 <> 0")
+    hits = hits.unionByName(small.join(wide, "key", "left_semi").select("row_key", "place"))
+    per_page = stored(hits.groupBy("row_key").agg(F.collect_set("place").alias("deleted")), "html-hits")
+    # one plan at every size: both sides by row_key, the bodies compressed
+    return found.select("row_key", "page_id", "url", "body").join(per_page.hint("merge"), "row_key", "left").mapInArrow(lean(_delete), RESULT)
