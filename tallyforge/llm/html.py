@@ -469,12 +469,11 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     found = stored(made.mapInArrow(lean(_analyse), PAGE), "html-pages")
     keys = found.select("row_key", "sites", "content", "keys")
     deleted, sites = templates(keys, min_pages=min_pages, min_share=min_share)
-    one = keys.dropDuplicates(["row_key"])
-    exploded = one.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.posexplode("keys").alias("place", "key"))
+    exploded = keys.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.posexplode("keys").alias("place", "key"))
     hits = exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "place")
     wide = stored(deleted.where("key % 2 <> 0").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_hosts).select("key"), "html-wide")
     few = sites.where(F.col("contents") < min_pages).select("site")
-    small = one.select("row_key", F.col("sites")[0].alias("site"), "keys").join(few, "site", "left_semi").select("row_key", F.posexplode("keys").alias("place", "key")).where("key % 2 <> 0")
+    small = keys.select("row_key", F.col("sites")[0].alias("site"), "keys").join(few, "site", "left_semi").select("row_key", F.posexplode("keys").alias("place", "key")).where("key % 2 <> 0")
     hits = hits.unionByName(small.join(wide, "key", "left_semi").select("row_key", "place"))
     per_page = stored(hits.groupBy("row_key").agg(F.collect_set("place").alias("deleted")), "html-hits")
     # one plan at every size: both sides by row_key, the bodies compressed
