@@ -406,7 +406,7 @@ def to_body(page: Page) -> bytes:
     """What the text is made of, compressed, as it is moved once; a span names its subtree by its place in ``keys``."""
     places = {key: k for k, key in enumerate(page.keys)}
     whole = json.dumps([page.marked, page.runs, [(places[number], begin, end) for number, begin, end in page.spans]], ensure_ascii=False)
-    return zstandard.compress(whole.encode("utf-8", "surrogatepass"))
+    return zstandard.compress(whole.encode("utf-8", "surrogatepass"), 10)
 
 
 def from_body(body: bytes) -> Page:
