@@ -37,8 +37,8 @@ def _chunks(text: bytes):
     """The text in parts of about ``CHUNK`` bytes that end at a space; a longer word stays whole."""
     at = 0
     while len(text) - at > CHUNK:
-        to = text.rfind(b" ", at, at + CHUNK)
-        if to < 0:
+        to = text.rfind(b" ", at + 1, at + CHUNK)
+        if to <= at:
             to = text.find(b" ", at + CHUNK)
             if to < 0:
                 break

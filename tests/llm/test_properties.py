@@ -59,3 +59,11 @@ def test_chunks_do_not_change_hashes(monkeypatch):
         got, n = texthash.words(texts)
         assert got.tolist() == want.tolist() and n.tolist() == counts.tolist()
     assert want[0] == want[3] == want[-1]
+
+
+def test_a_word_longer_than_a_chunk_stays_whole(monkeypatch):
+    monkeypatch.setattr(texthash, "CHUNK", 64)
+    for text in (b"a " + b"x" * 64 + b"y b c", b" " * 200, b" " + b"x" * 200, b"x" * 200 + b" ", b"a " + b"x" * 200):
+        parts = list(texthash._chunks(text))
+        assert b"".join(parts) == text and all(parts[:-1])
+        assert sum(len(p.split()) for p in parts) == len(text.split())
