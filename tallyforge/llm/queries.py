@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, exact_dedup, html, language, minhash, packing, quality, secrets, separators, warc
+from tallyforge.llm import balltree, decontamination, exact_dedup, html, language, minhash, packing, quality, secrets, separators, tokenfiles, warc, whitening
 
 #: oracle SQL by query name
 SQL: dict[str, str] = {}
@@ -141,6 +141,51 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "finding", "candidate", "score", "is_secret")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def _clustering_sql(rounds: int = 5, k: int = 40) -> str:
+    """Rounds as one table each; distances and floors in whole numbers."""
+    sql = f"""
+WITH p AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INT AS c, v AS w FROM p ORDER BY sha256('2:' || vec_id) LIMIT {k}
+)"""
+    for r in range(rounds + 1):
+        sql += f""", d{r} AS (
+  SELECT vec_id, any_value(v) AS v, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT vec_id, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - w[i]) * (v[i] - w[i])))::BIGINT AS d FROM p, c{r}) GROUP BY vec_id
+)"""
+        if r < rounds:
+            sql += f""", s{r} AS (
+  SELECT c, list(m ORDER BY i) AS w FROM (
+    SELECT c, i, ((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM d{r}, range(1, 65) t(i) GROUP BY c, i
+  ) GROUP BY c
+), c{r + 1} AS (
+  SELECT c{r}.c, coalesce(s{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN s{r} USING (c)
+)"""
+    return sql + f"""
+SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM d{rounds} JOIN c{rounds} USING (c)
+"""
+
+
+SQL["op11_centroids"] = _clustering_sql()
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_table(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

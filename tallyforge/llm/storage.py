@@ -42,14 +42,14 @@ def remove_intermediates(spark: SparkSession) -> None:
         system.delete_dir(path)
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, **options: object) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
     This cuts the lineage, survives lost executors, and lets the next join
     shuffle both of its sides, so that Spark may split a skewed partition.
     """
     path = fresh_dir(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
