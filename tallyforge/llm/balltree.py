@@ -245,13 +245,12 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embed
     """
     options = {"id_col": id_col, "vec_col": vec_col, "size": size, "scale": scale}
     centroids = first_centroids(vectors, **options, k=k, seed=seed)
+    if not centroids:
+        return vectors.sparkSession.createDataFrame([], "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string")
     own = trees(vectors, **options, block=block, leaf=leaf)
-    for _ in range(rounds if centroids else 0):
+    for _ in range(rounds):
         centroids = moved(own, centroids, size)
-    found = own.mapInArrow(_assigned(centroids, size), "vec_id long, cluster int, distance long")
-    if not centroids:
-        return found.select("*", *(F.lit(None).cast(t).alias(n) for n, t in (("cluster_inertia", "long"), ("inertia", "long"), ("centroid_sha256", "string"))))
-    found = stored(found, "ball-assigned")
+    found = stored(own.mapInArrow(_assigned(centroids, size), "vec_id long, cluster int, distance long"), "ball-assigned")
     total = {r["cluster"]: r["total"] for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total"), F.count_if(F.col("distance").isNull()).alias("lost")).where("lost = 0").collect()}
     within = [_long(total.get(c)) for c in range(len(centroids))]
     hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]

@@ -212,7 +212,9 @@ def read_ids(spark: SparkSession, where: str, *, with_ids: bool = True, span_ids
     spans = files.withColumn("step", step).select("file", "start", "n_docs", "step", F.explode(F.expr("sequence(0L, n_docs - 1, step)")).alias("first"))
     spans = spans.select("file", "start", "first", F.least("n_docs", F.col("first") + F.col("step")).alias("last"))
     names = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    return spans.repartition("file", "first").mapInArrow(_read(where, with_ids), names)
+    # by number: rows of spans are small, so Spark would join them all into one task, but their ids are not
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spans.repartition(tasks, "file", "first").mapInArrow(_read(where, with_ids), names)
 
 
 def token_table(docs: DataFrame, *, where: str | None = None, **options) -> DataFrame:

@@ -141,13 +141,20 @@ def covariance(fit_list: DataFrame, fit: Whitening, size: int) -> dd.Pair:
     return dd.div(out, (np.full((size, size), float(fit.n)), np.zeros((size, size))))
 
 
-def eigen(v: dd.Pair, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:
+def _groups(values: np.ndarray, small: float) -> list[np.ndarray]:
+    """Places of the values that lie within ``small`` of a neighbour, by neighbourhood."""
+    order = np.argsort(values, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(values[order]) > small) + 1)
+    return [p for p in parts if len(p) > 1]
+
+
+def eigen(v: dd.Pair, rounds: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues, falling, and unit eigenvectors (columns) of a symmetric double-double matrix.
 
     ``numpy.linalg.eigh`` is LAPACK's divide and conquer on the tridiagonal
     form. Each round then corrects the vectors by first-order terms from their
-    products in double-double; vectors of eigenvalues too close to be told
-    apart stay an orthonormal basis of their space.
+    products in double-double; those of eigenvalues that are too close for that
+    are turned within their space by the eigenvectors of what parts them.
     """
     size = len(v[0])
     x = np.linalg.eigh(v[0])[1]
@@ -165,6 +172,12 @@ def eigen(v: dd.Pair, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:
         top = s[0] + e[0][None, :] * r[0]
         change = np.where(near, r[0] / 2, top / np.where(near, 1, gap))
         pair = dd.add(pair, dd.matmul(pair, (change, np.zeros_like(change))))
+        for group in _groups(e[0], small):
+            middle = np.diag(np.full(len(group), e[0][group[0]]))
+            apart = dd.add((s[0][np.ix_(group, group)], s[1][np.ix_(group, group)]), (-middle, np.zeros_like(middle)))[0]
+            turn = np.linalg.eigh((apart + apart.T) / 2)[1]
+            turned = dd.matmul((pair[0][:, group], pair[1][:, group]), (turn, np.zeros_like(turn)))
+            pair[0][:, group], pair[1][:, group] = turned
     order = np.argsort(-e[0], kind="stable")
     return e[0][order], pair[0][:, order]
 
