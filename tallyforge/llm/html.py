@@ -1,19 +1,24 @@
 """Main text of web pages with site template removal (operator 10).
 
 One pass parses every page and writes two things: hashes of its element
-subtrees, and its text as runs, each with the subtrees that it lies in. Spark
-counts on how many different contents of a host, and of a host's section, each
-hash occurs; the subtrees that recur on many are deleted from the runs by a
-join, so no page is parsed twice. An article may lawfully recur (mirrors,
-reprints), therefore pages of the same content count once, an ``article`` or
-``main`` as a whole is never counted, and a page that templates would more than
-halve is a reprint with changes and stays as it is.
+subtrees to a table, and its text as runs, each with the subtrees that it lies
+in, to a file of its task. Spark counts on how many different contents of a
+host, and of a host's section, each hash occurs; which subtrees of a page recur
+on many goes to the file that holds the page, so no page is parsed twice and no
+text is shuffled. An article may lawfully recur (mirrors, reprints), therefore
+pages of the same content count once, an ``article`` or ``main`` as a whole is never
+counted, and a page that templates would more than halve is a reprint with
+changes and stays as it is. Passages that many articles share are text of the
+articles: within them an unmarked subtree is a template only on half of the site.
 
 Beside its exact hash, an element whose class or id has a word such as "ad" or
 "comments" has a hash of its name, class and id alone. This mark is deleted only
 if it recurs on the site like any other template; a word by itself decides
 nothing. On hosts with too few pages to count, marks that are templates of
-several other hosts are deleted.
+several other hosts are deleted. A class or id that names such a part alone
+("reader-comments", "cookie-notice") also has its kind ("comments"), whatever
+else it is called; a kind that recurs anywhere in the corpus is deleted on every
+page, however large it is there.
 """
 
 from __future__ import annotations
@@ -22,16 +27,16 @@ import hashlib
 import html as entities
 import json
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import bound_batches, lean, stored
+from tallyforge.llm.storage import bound_batches, filesystem, fresh_dir, lean, stored
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>\"'=]*>")
@@ -51,6 +56,9 @@ NOISE = frozenset("script style noscript template iframe object embed svg canvas
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 # Words of a class or id that often mark what is not the article; they count only where they recur.
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion cookie cookies consent gdpr notice notices sidebar menu menus nav navbar navigation breadcrumb breadcrumbs share sharing social related recommended comment comments discussion disqus replies newsletter subscribe signup login popup modal overlay footer masthead toolbar pagination pager widget skip".split())
+# Words beside which a word of MARKS still names the part, and those that say something else of it.
+BESIDE = frozenset("section list area box block wrapper wrap container thread item bar inner body widget reader user post article story news".split())
+UNLIKE = frozenset("has with without no hide hidden toggle open count".split())
 # Within an article these recur for other reasons: section titles, and cells and items of whole tables and lists.
 PIECES = frozenset("h1 h2 h3 h4 h5 h6 header hgroup li dt dd tr td th option tbody thead tfoot caption figcaption summary".split())
 SELF_NESTED = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
@@ -62,25 +70,39 @@ class Node:
     tag: str
     noise: bool = False  # by the name of the element, its role, or because it is hidden
     mark: str = ""
+    kind: str = ""
     parts: list[Node | str] = field(default_factory=list)
     key: bytes = b""
 
 
-def _read_attributes(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether the element is no part of any main text, and its mark: name, class and id if one of them has a word of ``MARKS``."""
-    noise, words = tag in NOISE, []
+def kind_of(value: str) -> str:
+    """The word of ``MARKS`` that a class or id names an element by; empty if it names it otherwise."""
+    for token in value.lower().split():
+        words = WORD.findall(token)
+        named = [w for w in words if w not in BESIDE]
+        if named and named[-1] in MARKS and UNLIKE.isdisjoint(words):
+            return named[-1]
+    return ""
+
+
+def _read_attributes(tag: str, attributes: str) -> tuple[bool, str, str]:
+    """Whether the element is no part of any main text; its mark, which is name, class and id if one of them has a word of ``MARKS``; its kind."""
+    noise, words, kind = tag in NOISE, [], ""
     if attributes and not attributes.isspace():
         for name, value in ATTRIBUTE.findall(attributes):
             name = name.lower()
             if name in ("class", "id"):
                 words += [name, *sorted(WORD.findall(value.lower()))]
+                kind = kind or kind_of(value.strip("\"'"))
             elif name == "role":
                 noise |= value.strip("\"'").lower() in ROLES
             elif name == "hidden" or name == "aria-hidden" and value.strip("\"'").lower() == "true":
                 noise = True
             elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 noise = True
-    return noise, "" if tag in ("html", "body", "main") or MARKS.isdisjoint(words) else " ".join([tag, *words])
+    if tag in ("html", "body", "main") or MARKS.isdisjoint(words):
+        return noise, "", ""
+    return noise, " ".join([tag, *words]), kind
 
 
 class Open:
@@ -254,14 +276,17 @@ def keyed(root: Node) -> list[Node]:
     return order
 
 
-def content_number(key: bytes) -> int:
-    """A subtree's hash as a signed even number."""
-    return int.from_bytes(key, "little", signed=True) & ~1
+#: the two low bits of a number: contents, marks, contents within main elements, kinds
+CONTENT, MARK, WITHIN, KIND = range(4)
+
 
+def content_number(key: bytes, what: int = CONTENT) -> int:
+    """A hash as a signed number that says what it is of; contents are even, marks and kinds odd."""
+    return int.from_bytes(key, "little", signed=True) & ~3 | what
 
-def mark_number(mark: str) -> int:
-    """A mark's hash as a signed odd number."""
-    return int.from_bytes(hashlib.blake2b(mark.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) | 1
+
+def mark_number(mark: str, what: int = MARK) -> int:
+    return content_number(hashlib.blake2b(mark.encode("utf-8", "surrogatepass"), digest_size=8).digest(), what)
 
 
 @dataclass
@@ -272,20 +297,30 @@ class Page:
     keys: list[int]
     marked: bool  # the page has an article or main element
     runs: list[str] = field(default_factory=list)  # in page order; a line feed parts blocks
-    spans: list[tuple[int, int, int]] = field(default_factory=list)  # number of a subtree with text, and its first run and the run after its last
+    spans: list[tuple[int, int, int, bool]] = field(default_factory=list)  # number of a subtree with text, its first run and the run after its last, and whether it is a kind
 
     def text(self, deleted: frozenset[int] = frozenset()) -> str:
-        """Text without the deleted subtrees; with them, if nothing else were left, or less than half of an article."""
-        whole = joined(self.runs)
-        dead = [s for s in self.spans if s[0] in deleted]
-        if not dead:
+        """Text without the deleted subtrees.
+
+        Kinds go whatever their size; the others stay if without them nothing
+        else were left, or less than half of an article.
+        """
+        kinds = [s for s in self.spans if s[3] and s[0] in deleted]
+        whole = self._without(kinds)
+        others = [s for s in self.spans if not s[3] and s[0] in deleted]
+        if not others:
             return whole
+        cleaned = self._without(kinds + others)
+        return cleaned if 2 * len(cleaned) >= len(whole) or cleaned and not self.marked else whole
+
+    def _without(self, dead: list[tuple[int, int, int, bool]]) -> str:
+        if not dead:
+            return joined(self.runs)
         depth = [0] * (len(self.runs) + 1)
-        for _, begin, end in dead:
+        for _, begin, end, _ in dead:
             depth[begin] += 1
             depth[end] -= 1
-        cleaned = joined(t for t, d in zip(self.runs, accumulate(depth), strict=False) if not d or t == "\n")
-        return cleaned if 2 * len(cleaned) >= len(whole) or cleaned and not self.marked else whole
+        return joined(t for t, d in zip(self.runs, accumulate(depth), strict=False) if not d or t == "\n")
 
 
 def joined(runs: Iterable[str]) -> str:
@@ -300,7 +335,9 @@ def candidates(root: Node, mains: list[Node]) -> dict[int, list[int]]:
     A whole document, article or main is none, nor is what holds one, or an
     inline element (but for its mark). Within the main elements titles, cells
     and items are none, as they recur for other reasons. The mark of an element
-    that holds more than half of the text is none.
+    that holds more than half of the text is none, and the kind of one that
+    holds a main element, the page's first title or, on a page without main
+    elements, more than half of the text.
     """
     order = keyed(root)
     size: dict[int, int] = {}
@@ -312,15 +349,21 @@ def candidates(root: Node, mains: list[Node]) -> dict[int, list[int]]:
         if any(isinstance(p, Node) and id(p) in holders for p in x.parts):
             holders.add(id(x))
     inside = {id(x) for x in mains}
+    titled = {id(next((x for x in order if x.tag == "h1"), None))}
+    for x in reversed(order):
+        if any(isinstance(p, Node) and id(p) in titled for p in x.parts):
+            titled.add(id(x))
     out: dict[int, list[int]] = {}
     for x in order:
         within = id(x) in inside
         if within:
             inside.update(id(p) for p in x.parts if isinstance(p, Node))
         whole = id(x) in holders or x.tag in ("#root", "html", "body") or x.tag in VOID or x.tag in INLINE or within and x.tag in PIECES
-        numbers = [] if whole else [content_number(x.key)]
+        numbers = [] if whole else [content_number(x.key, WITHIN if within else CONTENT)]
         if x.mark and size[id(x)] <= most:
             numbers.append(mark_number(x.mark))
+        if x.kind and id(x) not in holders and id(x) not in titled and (mains or size[id(x)] <= most):
+            numbers.append(mark_number(x.kind, KIND))
         if numbers:
             out[id(x)] = numbers
     return out
@@ -379,7 +422,7 @@ def _runs(node: Node, numbers: dict[int, list[int]], page: Page) -> None:
             elif id(x) in numbers:
                 flush()
             if len(out) > begin:
-                page.spans += [(number, begin, len(out)) for number in numbers.get(id(x), ())]
+                page.spans += [(number, begin, len(out), number & 3 == KIND) for number in numbers.get(id(x), ())]
 
 
 def extract(page: str | None, deleted: frozenset[int] = frozenset()) -> str:
@@ -398,83 +441,142 @@ def sites_of(url: F.Column) -> F.Column:
     return F.array_distinct(F.array(F.xxhash64(host_of(url)), F.xxhash64(F.concat(host_of(url), folder))))
 
 
-PAGE = "row_key long, page_id long, url string, sites array<long>, content long, keys array<long>, body binary"
+PAGE = "row_key long, file string, row int, sites array<long>, content long, keys array<long>"
+BODY = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("body", pa.large_string())])
 RESULT = "page_id long, url string, text string, n_chars long, n_templates int"
+#: pages that are written, compressed and read together
+TOGETHER = 64
 
 
-def to_body(page: Page) -> bytes:
-    """What the text is made of, compressed, as it is moved once; a span names its subtree by its place in ``keys``."""
+def to_body(page: Page) -> str:
+    """What the text is made of; a span names its subtree by its place in ``keys``."""
     places = {key: k for k, key in enumerate(page.keys)}
-    whole = json.dumps([page.marked, page.runs, [(places[number], begin, end) for number, begin, end in page.spans]], ensure_ascii=False)
-    return zstandard.compress(whole.encode("utf-8", "surrogatepass"), 10)
+    return json.dumps([page.marked, page.runs, [(places[number], begin, end, kind) for number, begin, end, kind in page.spans]], ensure_ascii=False)
 
 
-def from_body(body: bytes) -> Page:
+def from_body(body: str) -> Page:
     """The page of ``to_body``, its subtrees numbered by their places."""
-    marked, runs, spans = json.loads(zstandard.decompress(body).decode("utf-8", "surrogatepass"))
+    marked, runs, spans = json.loads(body)
     return Page(0, [], marked, runs, spans)
 
 
-def _analyse(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
-    names = [part.split()[0] for part in PAGE.split(", ")]
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            found = [analysed(page.as_py()) for page in part["html"]]
-            made = [
-                ([f.content for f in found], pa.int64()),
-                ([f.keys for f in found], pa.list_(pa.int64())),
-                ([to_body(f) for f in found], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays([*(part[c] for c in names[:4]), *(pa.array(*c) for c in made)], names=names)
-
-
-def _delete(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            texts, counts = [], []
-            for body, deleted in zip(part["body"].to_pylist(), part["deleted"].to_pylist(), strict=True):
-                texts.append(from_body(body).text(frozenset(deleted or ())))
-                counts.append(len(deleted or ()))
-            yield pa.RecordBatch.from_arrays([part["page_id"], part["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(counts, pa.int32())], names=["page_id", "url", "text", "n_chars", "n_templates"])
-
-
-def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2) -> tuple[DataFrame, DataFrame]:
+def _analyse(where: str):
+    """Writes the texts of a task to one file of a name of its own, and gives the subtrees of each page with its place there.
+
+    A task that runs twice writes two files; the rows that Spark keeps name the
+    file of the attempt that gave them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = filesystem(where)
+        name, out, row = f"{uuid.uuid4().hex}.arrow", None, 0
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TOGETHER):
+                    part = batch.slice(at, TOGETHER)
+                    if out is None:
+                        system.create_dir(top, recursive=True)
+                        sink = system.open_output_stream(f"{top}/{name}")
+                        out = pa.ipc.new_stream(sink, BODY, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 5)))
+                    found = [analysed(page.as_py()) for page in part["html"]]
+                    bodies = pa.array([to_body(f) for f in found], pa.large_string())
+                    out.write_batch(pa.RecordBatch.from_arrays([part["page_id"], part["url"], bodies], schema=BODY))
+                    columns = [part["row_key"], pa.array([name] * len(found)), pa.array(range(row, row + len(found)), pa.int32()), part["sites"]]
+                    columns += [pa.array([f.content for f in found], pa.int64()), pa.array([f.keys for f in found], pa.list_(pa.int64()))]
+                    row += len(found)
+                    yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PAGE.split(", ")])
+        finally:
+            if out is not None:
+                out.close()
+                sink.close()
+
+    return lean(run)
+
+
+def _texts(where: str, name: str, deleted: dict[int, set[int]]) -> Iterator[pa.RecordBatch]:
+    """The pages of a file without what is deleted from them."""
+    system, top = filesystem(where)
+    with system.open_input_stream(f"{top}/{name}") as source, pa.ipc.open_stream(source) as stream:
+        row = 0
+        for batch in stream:
+            gone = [frozenset(deleted.get(row + k, ())) for k in range(batch.num_rows)]
+            texts = [from_body(body).text(g) for body, g in zip(batch["body"].to_pylist(), gone, strict=True)]
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(map(len, gone), pa.int32())], names=["page_id", "url", "text", "n_chars", "n_templates"])
+
+
+def _delete(where: str):
+    """Of rows (file, row, place) in the order of files: the texts of each file; what is held is the rows of one file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, deleted = None, {}
+        for batch in batches:
+            for file, row, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file != name:
+                    if name is not None:
+                        yield from _texts(where, name, deleted)
+                    name, deleted = file, {}
+                if place >= 0:
+                    deleted.setdefault(row, set()).add(place)
+        if name is not None:
+            yield from _texts(where, name, deleted)
+
+    return lean(run)
+
+
+def templates(keys: DataFrame, *, min_pages: int = 5, min_share: float = 0.2, min_share_within: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """(site, key) of what is on at least ``min_pages`` contents and ``min_share`` of the site's, and (site, contents) of all sites."""
     contents = keys.select(F.explode("sites").alias("site"), "content", "row_key", "keys").groupBy("site", "content").agg(F.min_by("keys", "row_key").alias("keys"))
     # the null key counts contents
     counted = contents.select("site", F.explode(F.array_append("keys", F.lit(None).cast("long"))).alias("key")).groupBy("site", "key").agg(F.count("*").alias("pages"))
     total = stored(counted.where((F.col("pages") >= min_pages) | F.col("key").isNull()), "html-counts")
     sites = total.where("key is null").select("site", F.col("pages").alias("contents"))
-    found = total.where("key is not null").join(sites, "site").where(F.col("pages") >= min_share * F.col("contents"))
+    share = F.when(F.col("key").bitwiseAND(3) == WITHIN, min_share_within).otherwise(min_share)
+    found = total.where("key is not null").join(sites, "site").where(F.col("pages") >= share * F.col("contents"))
     return stored(found.select("site", "key"), "html-templates"), sites
 
 
-def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.2, min_hosts: int = 3) -> DataFrame:
+def recurring_kinds(keys: DataFrame, *, min_pages: int = 5) -> list[int]:
+    """Kinds on at least ``min_pages`` different contents of the corpus; no more than there are words in ``MARKS``."""
+    kinds = keys.select("content", F.explode(F.filter("keys", lambda k: k.bitwiseAND(F.lit(3)) == KIND)).alias("key"))
+    counted = kinds.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= min_pages)
+    return [r["key"] for r in counted.collect()]
+
+
+def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, min_share: float = 0.2, min_share_within: float = 0.5, min_hosts: int = 3) -> DataFrame:
     """One row per input row: page_id, url, text, n_chars (code points), n_templates.
 
     Null html gives empty text; a null url is a host of its own. With article
     or main elements the text of all of them is returned, without one the
     page's, less the template subtrees of its host and section (or with them,
-    if nothing else were left, or less than half of an article). On a host of
-    fewer than ``min_pages`` contents marks that are templates of ``min_hosts``
-    other sites are deleted. ``n_templates`` counts the page's subtrees that
-    are templates, within its main elements or not. Repeated rows and ids give
-    a row each. Other columns are not read. An empty table gives no rows.
+    if nothing else were left, or less than half of an article). Unmarked
+    subtrees within article or main elements are templates from
+    ``min_share_within`` of the site's contents on. On a host of fewer than
+    ``min_pages`` contents marks that are templates of ``min_hosts`` other sites
+    are deleted. Kinds on ``min_pages`` contents of the corpus are deleted
+    everywhere, whatever their size. ``n_templates`` counts the page's subtrees
+    that are templates, within its main elements or not. Repeated rows and ids
+    give a row each. Other columns are not read.
+    An empty table gives no rows.
     """
-    bound_batches(pages.sparkSession)
+    spark = pages.sparkSession
+    bound_batches(spark)
+    where = fresh_dir(spark, "html-texts")
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     made = source.select(F.xxhash64("page_id", "url", "html").alias("row_key"), "page_id", "url", sites_of(F.col("url")).alias("sites"), "html")
-    found = stored(made.mapInArrow(lean(_analyse), PAGE), "html-pages")
-    keys = found.select("row_key", "sites", "content", "keys")
-    deleted, sites = templates(keys, min_pages=min_pages, min_share=min_share)
-    exploded = keys.select("row_key", F.explode("sites").alias("site"), "keys").select("row_key", "site", F.posexplode("keys").alias("place", "key"))
-    hits = exploded.join(deleted, ["site", "key"], "left_semi").select("row_key", "place")
+    keys = stored(made.mapInArrow(_analyse(where), PAGE), "html-keys")
+    deleted, sites = templates(keys, min_pages=min_pages, min_share=min_share, min_share_within=min_share_within)
+    place = ["file", "row"]
+    exploded = keys.select(*place, F.explode("sites").alias("site"), "keys").select(*place, "site", F.posexplode("keys").alias("place", "key"))
+    hits = exploded.join(deleted, ["site", "key"], "left_semi").select(*place, "place")
     wide = stored(deleted.where("key % 2 <> 0").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_hosts).select("key"), "html-wide")
     few = sites.where(F.col("contents") < min_pages).select("site")
-    small = keys.select("row_key", F.col("sites")[0].alias("site"), "keys").join(few, "site", "left_semi").select("row_key", F.posexplode("keys").alias("place", "key")).where("key % 2 <> 0")
-    hits = hits.unionByName(small.join(wide, "key", "left_semi").select("row_key", "place"))
-    per_page = stored(hits.groupBy("row_key").agg(F.collect_set("place").alias("deleted")), "html-hits")
-    # one plan at every size: both sides by row_key, the bodies compressed
-    return found.select("row_key", "page_id", "url", "body").join(per_page.hint("merge"), "row_key", "left").mapInArrow(lean(_delete), RESULT)
+    small = keys.select(*place, F.col("sites")[0].alias("site"), "keys").join(few, "site", "left_semi").select(*place, F.posexplode("keys").alias("place", "key")).where("key % 2 <> 0")
+    hits = hits.unionByName(small.join(wide, "key", "left_semi").select(*place, "place"))
+    kinds = recurring_kinds(keys, min_pages=min_pages)
+    everywhere = keys.select(*place, F.posexplode("keys").alias("place", "key")).where(F.col("key").isin(kinds)).select(*place, "place")
+    every_file = keys.where("row = 0").select(*place, F.lit(-1).alias("place"))
+    # by number: these rows are small, so Spark would join them all into one task, but their texts are not
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = hits.unionByName(everywhere).unionByName(every_file).repartition(tasks, "file").sortWithinPartitions("file")
+    return dealt.mapInArrow(_delete(where), RESULT)

@@ -193,3 +193,40 @@ def test_marks_count_where_they_recur(spark):
     assert got[212] == "Story number 2 of this host is told here."
     assert got[300] == "Story number 0 of this host is told here.\nOpen on Sunday."
     assert got[404] == "All of story 4 of a page without an article."
+
+
+def test_kinds_go_whatever_their_size_and_host(spark):
+    long = "A reader has more to say than the story. " * 40
+
+    def story(k, extra):
+        return f"<article><h1>Story {k}</h1><p>It is told in a few words.</p>{extra}</article>"
+
+    rows = [(k, f"http://a.example/{k}", story(k, f"<section class='comments'><p>{'Short.' if k != 30 else long}</p></section>")) for k in range(40)]
+    # a host of four pages, and one of one page, where the same kinds have other names
+    rows += [(100 + k, f"http://b.example/{k}", story(k, f"<div class='sidebar'>S</div><div class='cookie-notice'>C {k}</div>")) for k in range(4)]
+    rows += [(200, "http://c.example/1", story(1, f"<div id='reader-comments' class='x7'>{long}</div>"))]
+    rows += [(300 + k, f"http://d{k}.example/1", story(k, "<div class='left-sidebar'>More</div><p class='notice'>N</p>")) for k in range(6)]
+    # words that say something else of an element
+    rows += [(400, "http://e.example/1", "<article><h1>T</h1><div class='content with-sidebar has-comments'><p>All of the story.</p></div></article>")]
+    rows += [(401, "http://e.example/2", "<div class='comments'><article><h1>U</h1><p>A story in a frame.</p></article></div>")]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in (3, 30):
+        assert got[k] == f"Story {k}\nIt is told in a few words."
+    assert got[102] == "Story 2\nIt is told in a few words."
+    assert got[200] == "Story 1\nIt is told in a few words."
+    assert got[304] == "Story 4\nIt is told in a few words."
+    assert got[400] == "T\nAll of the story." and got[401] == "U\nA story in a frame."
+
+
+def test_passages_that_many_articles_share_stay(spark):
+    rows = [(k, f"http://a.example/{k}", f"<article><p>Story {k} of the host.</p>" + ("<p>A licence that many quote.</p>" if k % 3 == 0 else "") + "<p>Read us daily.</p></article>") for k in range(60)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story 3 of the host.\nA licence that many quote." and got[4] == "Story 4 of the host."
+
+
+def test_texts_of_many_batches_and_files(spark, monkeypatch):
+    monkeypatch.setattr(html, "TOGETHER", 3)
+    rows = [(k, f"http://a.example/{k}", f"<article><p>Story {k} is told.</p><p>Read us daily.</p></article>") for k in range(50)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html.main_text(df).collect()}
+    assert got == {k: f"Story {k} is told." for k in range(50)}
