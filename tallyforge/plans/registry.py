@@ -12,7 +12,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES: tuple[str, ...] = ("reads", "writes", "texts")
+MODULES: tuple[str, ...] = ("reads", "writes", "texts", "flows")
 
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}

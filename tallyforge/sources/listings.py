@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import bisect
 import difflib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -87,41 +88,100 @@ def best_names(pairs: DataFrame, n: int = 3) -> DataFrame:
     return x.select("target", (F.col("place") + 1).alias("place"), "b.name", "b.position", (-F.col("b.minus")).alias("score"))
 
 
-def _best_of(names: list[tuple[int, str | None]], n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matchers = [(position, name, difflib.SequenceMatcher(None, "", (name or "").lower().strip())) for position, name in names]
-        for batch in batches:
-            rows: list[tuple[str | None, int, str | None, float]] = []
-            for target in batch[0].to_pylist():
-                low, best = (target or "").lower().strip(), []
-                for position, name, m in matchers:
-                    m.set_seq1(low)
-                    # the quick ratios are never below the ratio
-                    if len(best) == n and (m.real_quick_ratio() < -best[-1][0] or m.quick_ratio() < -best[-1][0]):
-                        continue
-                    bisect.insort(best, (-m.ratio(), position, name), key=lambda x: x[:2])
-                    del best[n:]
-                rows += [(target, position, name, -minus) for minus, position, name in best]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.float64()), strict=True)], names=["target", "position", "name", "score"])
+class NameIndex:
+    """Names in lower case, by character: for each character the names that hold it, with its places as bits.
+
+    Matching blocks of two names follow one another in both, so they are a
+    common subsequence: twice the length of the longest one over both lengths
+    is never below the ratio. It is computed for all names at once, a step a
+    character of the target. Names of more than 64 characters have their shared
+    characters as bound instead.
+    """
+
+    def __init__(self, names: list[tuple[int, str | None]], n: int):
+        by_name: dict[str, list[tuple[int, str | None]]] = {}
+        for position, name in sorted(names, key=lambda x: x[0]):
+            same = by_name.setdefault((name or "").lower().strip(), [])
+            if len(same) < n:  # of equal names only the first n can be among the best
+                same.append((position, name))
+        self.names, self.n, self.scored = list(by_name.items()), n, 0
+        self.lengths = np.array([len(low) for low, _ in self.names])
+        self.first = np.array([same[0][0] for _, same in self.names])
+        self.short = self.lengths <= 64
+        places: dict[str, dict[int, int]] = {}
+        self.long: dict[int, Counter] = {}
+        for k, (low, _) in enumerate(self.names):
+            if not self.short[k]:
+                self.long[k] = Counter(low)
+                continue
+            for i, c in enumerate(low):
+                own = places.setdefault(c, {})
+                own[k] = own.get(k, 0) | 1 << i
+        self.places = {c: (np.fromiter(own, np.int64), np.fromiter(own.values(), np.uint64)) for c, own in places.items()}
+
+    def common(self, target: str) -> np.ndarray:
+        """An upper bound on the matched characters of each name."""
+        v = np.full(len(self.names), ~np.uint64(0))
+        for c in target:
+            if c in self.places:
+                k, m = self.places[c]
+                own = v[k]
+                u = own & m
+                v[k] = (own + u) | (own - u)
+        found = np.bitwise_count(~v).astype(np.int64)
+        if self.long:
+            have = Counter(target)
+            for k, own in self.long.items():
+                found[k] = (have & own).total()
+        return found
+
+    def best(self, target: str | None) -> list[tuple[float, int, str | None]]:
+        """(minus ratio, position, name) of the ``n`` most alike, earlier ones first among equals."""
+        low = (target or "").lower().strip()
+        both = self.lengths + len(low)
+        bound = np.where(both > 0, 2.0 * self.common(low) / np.maximum(both, 1), 1.0)
+        m, best = difflib.SequenceMatcher(None, low, ""), []
+        for k in np.lexsort((self.first, -bound)).tolist():
+            if len(best) == self.n and (-bound[k], self.first[k]) > best[-1][:2]:
+                if -bound[k] > best[-1][0]:
+                    break
+                continue
+            m.set_seq2(self.names[k][0])
+            self.scored += 1
+            minus = -m.ratio()
+            best += [(minus, position, name) for position, name in self.names[k][1]]
+            best.sort(key=lambda x: x[:2])
+            del best[self.n :]
+        return best
+
+
+def _best_of_group(n: int):
+    def run(names: pa.Table, targets: pa.Table) -> pa.Table:
+        rows: list[tuple[str | None, int, str | None, float]] = []
+        if names.num_rows:
+            index = NameIndex(list(zip(names["position"].to_pylist(), names["name"].to_pylist(), strict=True)), n)
+            for target in targets["target"].to_pylist():
+                rows += [(target, position, name, -minus) for minus, position, name in index.best(target)]
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.float64()), strict=True)], names=["target", "position", "name", "score"])
 
     return run
 
 
-def best_of_all(targets: DataFrame, names: DataFrame, n: int = 3, block_rows: int = 20_000) -> DataFrame:
+def best_of_all(targets: DataFrame, names: DataFrame, n: int = 3, block_rows: int = 20_000, group_rows: int = 2_000) -> DataFrame:
     """J14 of every distinct target against all names (position, name): the result of ``best_names``.
 
-    ``block_rows`` names are held by a task at once; more names make more
-    passes, of which each keeps its ``n`` best.
+    Names are dealt into blocks of about ``block_rows``; every group of about
+    ``group_rows`` targets meets each block once, in a task that indexes the block and
+    scores only the names whose bound may still enter the ``n`` best. What leaves
+    a task is ``n`` rows a target. Only two counts come to the driver.
     """
+    asked = targets.select("target").distinct()
     blocks = max(1, -(-names.count() // block_rows))
-    asked = targets.select("target").distinct().repartition(4 * targets.sparkSession.sparkContext.defaultParallelism)
-    scored: DataFrame | None = None
-    for k in range(blocks):
-        part = names.where(F.pmod(F.xxhash64("position", "name"), F.lit(blocks)) == k).select(F.col("position").cast("long"), "name")
-        block = sorted(((r.position, r.name) for r in part.toLocalIterator()), key=lambda x: x[0])
-        found = asked.mapInArrow(_best_of(block, n), "target string, position long, name string, score double")
-        scored = found if scored is None else scored.unionByName(found)
+    groups = max(1, -(-asked.count() // group_rows))
+    dealt_names = names.select(F.col("position").cast("long"), "name", F.pmod(F.xxhash64("position", "name"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+    dealt = asked.select("target", F.pmod(F.xxhash64("target"), F.lit(groups)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    scored = dealt_names.groupBy("block", "part").cogroup(dealt.groupBy("block", "part")).applyInArrow(_best_of_group(n), "target string, position long, name string, score double")
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "position", "name"))), 1, n)
     x = scored.groupBy("target").agg(best.alias("best")).select("target", F.posexplode("best").alias("place", "b"))
     return x.select("target", (F.col("place") + 1).alias("place"), "b.name", "b.position", (-F.col("b.minus")).alias("score"))
