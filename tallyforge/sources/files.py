@@ -8,9 +8,13 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.shared import filesystem
+from tallyforge.sources.ranges import files_below
+
 # First bytes of archives.
 ZIP_MAGIC = ("504B0304", "504B0506", "504B0708")
 RAR_MAGIC = ("526172211A0700", "526172211A070100")
@@ -30,14 +34,39 @@ def archive_kind(path: Column, content: Column) -> Column:
     return F.when(low.endswith(".zip"), "zip").when(low.endswith(".rar"), "rar").when(begins(ZIP_MAGIC), "zip").when(begins(RAR_MAGIC), "rar")
 
 
+#: bytes of a file that are read at once
+BLOCK = 1 << 20
+
+
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Each file with its digest and kind; archives and partial downloads are left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    wanted = files.where(~F.col("path").endswith(".partial")).where(archive_kind(F.col("path"), F.col("content")).isNull())
+    """Each file with its digest and kind; archives and partial downloads are left out.
+
+    Only names and sizes are listed, empty files too; a task reads a file's
+    blocks into the digest, so memory does not depend on the size of a file,
+    which may exceed what fits a column. Files are dealt over tasks one by one.
+    """
+    authority = "/".join(folder.split("/", 3)[:3]) if "://" in folder else "file:"
+    listed = spark.createDataFrame([(authority + path, size) for path, size in files_below(folder).items()], "path string, length long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                system, where = filesystem(path)
+                digest, head = hashlib.sha256(), b""
+                with system.open_input_stream(where) as f:
+                    while block := f.read(BLOCK):
+                        head = head or block[:8]
+                        digest.update(block)
+                yield pa.RecordBatch.from_pydict({"path": [path], "length": [length], "head": [head], "file_hash": [digest.hexdigest()]})
+
+    # by number: rows of names are small, so Spark would join them all into one task, but the files are not
+    dealt = listed.where(~F.col("path").endswith(".partial")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+    files = dealt.mapInArrow(run, "path string, length long, head binary, file_hash string")
+    wanted = files.where(archive_kind(F.col("path"), F.col("head")).isNull())
     suffix = F.regexp_extract(F.lower("path"), r"(\.[a-z0-9]+)$", 1)
     table = F.create_map(*(F.lit(x) for kv in MIME.items() for x in kv))
     name = F.regexp_extract("path", r"[^/]*$", 0)
-    return wanted.select("path", name.alias("name"), "length", F.sha2("content", 256).alias("file_hash"), F.try_element_at(table, suffix).alias("mime_type"))
+    return wanted.select("path", name.alias("name"), "length", "file_hash", F.try_element_at(table, suffix).alias("mime_type"))
 
 
 MEMBERS = "path string, member string, file_hash string, size long, content binary, error string"
