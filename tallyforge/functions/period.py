@@ -1,4 +1,4 @@
-"""Reporting periods from labels (F2): whole-label rules first, then fragments after the word for "for"."""
+"""Reporting periods from labels (F2): rules of whole labels first, then those of what a longer label holds."""
 
 from __future__ import annotations
 
@@ -21,20 +21,20 @@ WHOLE: list[tuple[str, str]] = [
     *((rf"^(?:{h})\s+полугодие[\s,]+(\d{{4}})$", p) for p, h in HALVES.items()),
     (r"^(\d{4})$", "FY"),
 ]
-# Fragments of longer labels. Parts of a year: the word, its letter and how many there are; what may follow a year; titles with a year.
-PARTS = {"квартал": ("Q", 4), "полугодие": ("H", 2)}
-YEAR_WORDS = {"квартал": ("года", "год", "г.", "г"), "полугодие": ("года", "год"), "": ("года", "год", "г.", "г")}
-TITLES = (("Бухгалт", "отчетность"), ("Бухгалт", "отчётность"))
-_YEAR = r"(\d{4})"
+# What longer labels hold, # for the year, N for the number of a part, * for any ending.
+OF_PART = {"за N квартал #": ("Q", 4), "за N полугодие #": ("H", 2)}
+OF_YEAR = ("за # года", "за # год", "за # г.", "за # г", "Бухгалт* отчетность за #", "Бухгалт* отчётность за #")
 
 
-def _after(part: str) -> str:
-    return "(?:" + "|".join(w.replace(".", r"\.") for w in YEAR_WORDS[part]) + ")"
+def _holds(label: str, parts: int = 0) -> str:
+    """Pattern of a label; between the year and what follows it blanks may lack."""
+    pieces = {"#": r"(\d{4})", "N": f"([1-{parts}])", "*": r"\w+", ".": r"\.", " ": r"\s+"}
+    return "".join(pieces.get(c, c) for c in label).replace(r"(\d{4})\s+", r"(\d{4})\s*") + r"(?!\w)"
 
 
 #: the year is the second group, the number of the part the first
-NUMBERED: list[tuple[str, str]] = [(rf"за\s+([1-{n}])\s+{part}\s+{_YEAR}(?:\s+{_after(part)})?(?!\w)", letter) for part, (letter, n) in PARTS.items()]
-YEARLY = [rf"за\s+{_YEAR}\s*{_after('')}(?!\w)", *(rf"{first}\w+\s+{second}\s+за\s+{_YEAR}(?!\w)" for first, second in TITLES)]
+NUMBERED: list[tuple[str, str]] = [(_holds(label, n), letter) for label, (letter, n) in OF_PART.items()]
+YEARLY: list[str] = [_holds(label) for label in OF_YEAR]
 
 
 def reporting_period(label: Column) -> Column:
