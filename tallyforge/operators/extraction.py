@@ -78,10 +78,16 @@ def extracted_metrics(answers: DataFrame) -> DataFrame:
 
     Blocks of another period type than the publication's are comparative and
     dropped. Values are in ones. Of a key several times the last value stays.
-    An answer that does not parse is repaired (F22); one beyond repair has no rows.
+    An answer that does not parse is repaired (F22); one beyond repair has no
+    rows. Only answers that do not parse reach the repair, which is in Python;
+    it reads brackets ``repair.DEEPEST`` deep, and deeper answers are beyond it.
     """
-    parsed = answers.withColumn("answer", F.when(F.from_json("answer", RESULT)["extractions"].isNull(), repaired_column(F.col("answer"))).otherwise(F.col("answer")))
-    e = parsed.select("ticker", "publication_id", "expected_type", F.posexplode(F.from_json("answer", RESULT)["extractions"]).alias("at", "x"))
+    keys = ["ticker", "publication_id", "expected_type"]
+    read = answers.select(*keys, "answer", F.from_json("answer", RESULT)["extractions"].alias("found"))
+    broken = read.where("found is null").select(*keys, repaired_column(F.col("answer")).alias("answer"))
+    mended = broken.select(*keys, F.from_json("answer", RESULT)["extractions"].alias("found"))
+    parsed = read.where("found is not null").select(*keys, "found").unionByName(mended)
+    e = parsed.select(*keys, F.posexplode("found").alias("at", "x"))
     kept = e.where(F.col("expected_type").isNull() | (F.col("x.period_type") == F.col("expected_type")))
     m = kept.select("ticker", "publication_id", "x.reporting_date", "x.period_type", "x.reporting_standard", "x.currency", "x.unit", "at", F.explode("x.metrics").alias("metric_name", "item"))
     rows = m.withColumn("value", in_unit(F.col("item.value"), F.col("unit"), F.lit("ones"))).drop("item", "unit")
