@@ -21,18 +21,22 @@ from pyspark.sql import functions as F
 from tallyforge.llm import trees
 
 _KEY = "A-Za-z0-9+/_-"
-# an assignment (x=, x: , x = ", "x":") or a word for a secret just before; every test has a fixed width
-_ASSIGNED = "|".join(f"(?<=[=:]{blank}{quote})" for blank in ("", " ") for quote in ("", "[\"'`]"))
-_ANNOUNCED = "|".join(f"(?<=(?i:{word})[ ])" for word in "token secret password passwd pwd apikey api[_-]key bearer auth credential".split())
-#: a run of key characters with nothing of the kind beside it, which has 16 or more and a digit, or follows an assignment or a word for a secret
-CANDIDATE = rf"(?<![{_KEY}])(?:(?=[A-Za-z+/_=-]{{0,256}}[0-9])[{_KEY}]{{16,}}|(?:{_ASSIGNED}|{_ANNOUNCED})[{_KEY}]+)={{0,2}}(?![={_KEY}])"
+# an assignment (x=, x: , x = ", "x":") or a word for a secret just before, with blanks or tabs between; every test has a fixed width
+_ASSIGNED = "|".join(f"(?<=[=:][ \\t]{{{n}}}{quote})" for n in range(9) for quote in ("", "[\"'`]"))
+_WORDS = "token secret password passwd passphrase passcode pwd apikey api[_-]key bearer auth credential".split()
+_ANNOUNCED = "|".join(f"(?<=(?i:{word})[ \\t]{{{n}}})" for word in _WORDS for n in range(1, 5))
+_VALUE = rf"[@!$%#&*{_KEY}](?:[.@!$%#&*~^{_KEY}]*[@!$%#&*{_KEY}])?"
+#: a run of key characters with nothing of the kind beside it, which has 16 or more and a digit (runs joined by dots are one), or what follows an assignment or a word for a secret
+CANDIDATE = rf"(?<![{_KEY}])(?:(?=[A-Za-z+/_-]*+[0-9])[{_KEY}]{{16,}}(?:\.[{_KEY}]{{16,}})*|(?<=[=: \t\"'`])(?:{_ASSIGNED}|{_ANNOUNCED}){_VALUE})={{0,2}}(?![={_KEY}])"
+#: characters that mark the begin and the end of a candidate
+MARKS = "\x01\x02"
 #: characters of the text kept before and after a candidate
 BEFORE, AFTER = 48, 24
 
 # Words that a dictionary would cover in keys, paths and names.
 DICTIONARY = "access account admin alpha apache api app archive asset auth authorization basic bearer beta book build cache card class client cloud code com common config content core data date default demo dev dist doc docs download dummy edit error event example export false file final first font foo form from green group guide home host html http https image img import index info input item java json key lib library light link list local login main map mark media menu meta model module name net new news none note null number object old open option order org output page part password path photo plan play post print private product profile project public query raw read release report required resource result root sample script secret section server service session set share shop site size small source src staging start static status store string style super support system table tag temp test text theme time title token tool top true type update upload user util value version video view web widget window word work world xml year your zone".split()
 COMMON_PAIRS = "th he in er an re nd at on nt ha es st en ed to it ou ea hi is or ti as te et ng of al de se le sa si ar ve ra ld ur io ic ll ne me li ri ro co".split()
-KEYWORDS = r"(?:token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?id)"
+KEYWORDS = r"(?:token|secret|passw|passphrase|passcode|pwd|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?id)"
 OTHERS = r"(?:commit|revision|sha-?1|sha-?256|md5|checksum|digest|uuid|guid|isbn|card|phone|tel|order|invoice|version|build|example|sample|dummy|page|fig)"
 
 
@@ -68,16 +72,22 @@ FEATURES = "length digit_share upper_share hex_share transitions common_pairs di
 
 
 def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per candidate: doc_id, finding (its number in the text, from 1), candidate, before, after."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE))
-    parts = rows.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("between"))
-    # the text around candidate k is the end of candidate k - 1 and part k, and the beginning of part k + 1
-    zipped = parts.select("doc_id", F.posexplode(F.arrays_zip("found", "between", F.slice("between", 2, F.size("between")).alias("following"), F.array_insert("found", 1, F.lit("")).alias("previous"))).alias("at", "x"))
-    return zipped.where("x.found is not null").select(
+    """One row per candidate: doc_id, finding (its number in the text, from 1), candidate, before, after.
+
+    One pass of the pattern puts marks around the candidates; the parts between
+    marks are the candidates and what stands around them.
+    """
+    # characters of the text that are marks themselves are replaced; no candidate has them
+    marked = F.regexp_replace(F.translate(F.col(text_col), MARKS, "\ufffd\ufffd"), f"({CANDIDATE})", f"{MARKS[0]}$1{MARKS[1]}")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), marked.alias("marked")).where(F.contains("marked", F.lit(MARKS[0])))
+    parts = rows.select("doc_id", F.split("marked", f"[{MARKS}]", -1).alias("p"))
+    at = F.transform(F.sequence(F.lit(0), F.floor(F.size("p") / 2).cast("int") - 1), lambda k: F.struct(F.get("p", 2 * k - 1).alias("previous"), F.get("p", 2 * k).alias("between"), F.get("p", 2 * k + 1).alias("found"), F.get("p", 2 * k + 2).alias("following")))
+    zipped = parts.select("doc_id", F.posexplode(at).alias("at", "x"))
+    return zipped.select(
         "doc_id",
         (F.col("at") + 1).cast("long").alias("finding"),
         F.col("x.found").alias("candidate"),
-        F.right(F.concat(F.right(F.col("x.previous"), F.lit(BEFORE)), F.right(F.col("x.between"), F.lit(BEFORE))), F.lit(BEFORE)).alias("before"),
+        F.right(F.concat(F.right(F.coalesce("x.previous", F.lit("")), F.lit(BEFORE)), F.right(F.col("x.between"), F.lit(BEFORE))), F.lit(BEFORE)).alias("before"),
         F.left(F.col("x.following"), F.lit(AFTER)).alias("after"),
     )
 
@@ -135,9 +145,9 @@ def generated_findings(n: int = 2000, seed: int = 11) -> list[tuple[str, str, st
     out = []
     for k in range(n):
         if k % 2:
-            kind = draw.randrange(7)
-            c = some("0123456789abcdef", 32, 64) if kind == 0 else some("0123456789ABCDEF", 32, 64) if kind == 1 else "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16) if kind == 2 else some(alnum, 20, 64) if kind == 3 else some(alnum + "+/", 40, 44) + "=" if kind == 4 else some(alnum[:52], 16, 40) if kind == 5 else some(alnum, 9, 15)
-            b, a = announced() if draw.random() < 0.1 else assigned() if draw.random() < 0.9 or kind in (0, 1, 5, 6) else plain()
+            kind = draw.randrange(9)
+            c = some("0123456789abcdef", 32, 64) if kind == 0 else some("0123456789ABCDEF", 32, 64) if kind == 1 else "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 16) if kind == 2 else some(alnum, 20, 64) if kind == 3 else some(alnum + "+/", 40, 44) + "=" if kind == 4 else some(alnum[:52], 16, 40) if kind == 5 else some(alnum, 9, 15) if kind == 6 else some(alnum, 4, 8) + draw.choice("@!$%") + some(alnum + "@!$%", 4, 16) + draw.choice(alnum) if kind == 7 else ".".join(["eyJ" + some(alnum + "_-", 17, 40), some(alnum + "_-", 20, 90), some(alnum + "_-", 43, 43)])
+            b, a = announced() if draw.random() < 0.1 else assigned() if draw.random() < 0.9 or kind in (0, 1, 5, 6, 7) else plain()
             out.append((c, b[-BEFORE:], a[:AFTER], 1))
         else:
             kind = draw.randrange(10)

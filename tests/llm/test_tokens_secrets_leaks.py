@@ -239,3 +239,32 @@ def test_leaks_of_empty_tables(spark, hard, empty):
     assert decontamination.contaminated(empty, items).count() == 0
     assert decontamination.contaminated(hard, items.where("false")).count() == 0
     assert decontamination.decontaminate(hard, items).count() == hard.count()
+
+
+def test_secrets_behind_tabs_dots_and_signs(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9x.eyJzdWIiOiIxMjM0NTY3ODkwIn0xy.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    long = "AKIA" + "A" * 300 + "1"
+    texts = {
+        1: ("secret:\t{}\n", "abc123def456"),
+        2: ("token:  {}", "abc123"),
+        3: ("passphrase {} for it", "correcthorsebatterystaple"),
+        4: ("password: {}", "p@ss!w0rd"),
+        5: ("x {} y", jwt),
+        6: ("{}", long),
+        7: ("password =\t \t'{}'", "Kq7Zt2RwX9"),
+        8: ("pwd {}.", "h.2X$k9Qz"),
+        9: ("\x01\x02 api_key={}\x01 and \x02", "Kq7Zt2RwX9pLmN4v"),
+    }
+    rows = [(k, t.format(key)) for k, (t, key) in texts.items()]
+    got = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {k: key for k, (_, key) in texts.items()}.items() <= {r.doc_id: r.candidate for r in got}.items()
+    by = {r.doc_id: r for r in got}
+    assert by[1].before == "secret:\t" and by[1].after == "\n" and by[9].before == "�� api_key="
+
+
+def test_candidates_are_numbered_in_order(spark):
+    text = "a token=Kq7Zt2RwX9aa b token=Kq7Zt2RwX9bb " + "0123456789abcdef0"
+    (one, two, three) = secrets.candidates(spark.createDataFrame([(1, text), (2, None), (3, "none here")], "doc_id long, text string")).orderBy("finding").collect()
+    assert (one.finding, two.finding, three.finding) == (1, 2, 3)
+    assert (one.candidate, two.candidate, three.candidate) == ("Kq7Zt2RwX9aa", "Kq7Zt2RwX9bb", "0123456789abcdef0")
+    assert two.before == "Kq7Zt2RwX9aa b token=" and one.after == " b token=" and three.after == ""
