@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.minhash import sliced
 from tallyforge.llm.storage import bound_batches, lean, stored
-from tallyforge.llm.texthash import NOT_WORD, distinct, mix, shared, shingles, words
+from tallyforge.llm.texthash import NOT_WORD, distinct, mix, shared, shingles_of, words
 
 SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
 #: largest number of shingles of each partition's items, and bins of its sketches
@@ -99,8 +99,8 @@ class ItemIndex:
     @classmethod
     def build(cls, items: list[tuple[int | None, str | None]], size: int) -> ItemIndex:
         out, texts = cls(), [(t or "").encode("utf-8", "surrogatepass") for _, t in items]
-        h, counts = shingles(texts, size, NOT_WORD)
-        n_words = words(texts, NOT_WORD)[1]
+        hashed, n_words = words(texts, NOT_WORD)
+        h, counts = shingles_of(hashed, n_words, size)
         at, found, short = 0, {}, {}
         for (item_id, _), n, length in zip(items, counts, n_words, strict=True):
             s = distinct(h[at : at + n])
@@ -124,11 +124,11 @@ class ItemIndex:
         out.short = {length: Values.of(*group) for length, group in short.items()}
         return out
 
-    def runs(self, texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    def runs(self, hashes: np.ndarray, n_words: np.ndarray) -> Iterator[tuple[int, int]]:
         """(document, item) pairs of which the document has the item's words in a row, for items shorter than a shingle."""
         for length, index in self.short.items():
-            h, counts = shingles(texts, length, NOT_WORD, at_most=False)
-            doc = np.repeat(np.arange(len(texts)), counts)
+            h, counts = shingles_of(hashes, n_words, length, at_most=False)
+            doc = np.repeat(np.arange(len(n_words)), counts)
             found: set[tuple[int, int]] = set()
             for k, place in zip(*index.hits(h[:, 0]), strict=True):
                 found.update((int(doc[k]), item) for item in index.items(place) if (self.sets[item][0] == h[k]).all())
@@ -184,7 +184,8 @@ class ItemIndex:
 def _search(index: ItemIndex, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in sliced(batches, 1 << 18):
-            h, counts = shingles(texts, size, NOT_WORD)
+            hashed = words(texts, NOT_WORD)
+            h, counts = shingles_of(*hashed, size)
             ends, rows, sets = np.cumsum(counts), [], {}
             for d, item in sorted(index.candidates(h[:, 0], counts)):
                 if d not in sets:
@@ -193,7 +194,7 @@ def _search(index: ItemIndex, size: int, percent: int):
                 both = shared(wanted, sets[d])
                 if 100 * both >= percent * len(wanted):
                     rows.append((ids[d], index.ids[item], len(wanted), both, both / len(wanted)))
-            rows += [(ids[d], index.ids[item], 1, 1, 1.0) for d, item in index.runs(texts)]
+            rows += [(ids[d], index.ids[item], 1, 1, 1.0) for d, item in index.runs(*hashed)]
             if rows:
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "n_item_shingles", "n_shared", "containment"])
@@ -201,7 +202,7 @@ def _search(index: ItemIndex, size: int, percent: int):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", words: int = 5, percent: int = 80, block_rows: int = 20_000, block_bytes: int = 4 << 20) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", words: int = 5, percent: int = 80, block_rows: int = 200_000, block_bytes: int = 32 << 20) -> DataFrame:
     """One row per (document, item) of which the document holds ``percent`` of the item's shingles.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, with A-Z
@@ -210,7 +211,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     words (or null) matches nothing. Repeated rows of either table give
     repeated result rows. Other columns are not read. An empty table gives no
     rows. A task holds about ``block_rows`` items or ``block_bytes`` of their
-    texts at once (and about five times these bytes of hashes); more items make
+    texts at once (and about seven times these bytes of hashes); more items make
     more passes.
     """
     spark = docs.sparkSession

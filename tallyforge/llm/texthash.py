@@ -64,12 +64,16 @@ def shingles(texts: list[bytes], size: int, between: bytes = BLANK, at_most: boo
     A text of fewer words is one shingle (none, without ``at_most``); a text
     without words has none.
     """
-    h, counts = words(texts, between)
+    return shingles_of(*words(texts, between), size, at_most)
+
+
+def shingles_of(h: np.ndarray, counts: np.ndarray, size: int, at_most: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of texts whose words are hashed already."""
     short = np.where(counts > 0, 1, 0) if at_most else 0
     made = np.where(counts >= size, counts - size + 1, short).astype(np.int64)
     if not made.sum():
         return np.empty((0, 2), np.uint64), made
-    text = np.repeat(np.arange(len(texts)), made)
+    text = np.repeat(np.arange(len(counts)), made)
     at = np.arange(len(text)) - np.repeat(np.cumsum(made) - made, made) + np.repeat(np.cumsum(counts) - counts, made)
     have = np.minimum(counts[text], size)
     out = np.repeat(have.astype(np.uint64)[:, None], 2, axis=1)

@@ -21,6 +21,7 @@ def hard(spark):
         (10, "x", "en", "c", 1),
         (None, "a text without an id that has a few more words", "en", "c", 1),
         (11, "日本語のテキスト", None, None, None),
+        (12, "a " + "xy" * (3 << 19) + " b c", "en", "c", 1),
     ]
     docs = spark.createDataFrame(rows, DOCS)
     clash = ["content", "sha256", "keep_id", "id", "band", "bins", "component", "score", "block", "a", "b", "hub", "component_id", "kept", "found", "label", "text_sha256"]
