@@ -1,9 +1,14 @@
 """WARC files: a writer, and a Python data source that reads them (operator 2).
 
-The source plans one partition per file. Filters on record_type, on the
+The source plans a partition per file, and for a large gzip file one per range
+of bytes: a range has the members that start in it, of which the first is found
+by the mark of a member whose content begins with a WARC record. (A file that is
+one member has one range with records; plain files are not cut.) Filters on record_type, on the
 other header columns and on ``page_id`` are pushed to the reader, which parses
 a record's headers first and steps over the block of a record that it does not
-want without decoding it; the payload is decoded only if a column needs it.
+want without decoding it; the payload is decoded only if a column needs it
+(``columns`` of ``read``, or the schema that the source is loaded with: Spark tells
+a Python source nothing else of the columns that a plan needs).
 Files are sequences of gzip members, one per record, or plain.
 """
 
@@ -116,11 +121,14 @@ def write(pages: DataFrame, where: str, *, id_col: str = "page_id", url_col: str
 class _Stream:
     """Reads, or steps over, the bytes of a file that may be gzip members."""
 
-    def __init__(self, raw, chunk: int = 1 << 20):
+    def __init__(self, raw, chunk: int = 1 << 20, stop: int | None = None):
+        """``stop``: members that start there, counted from where ``raw`` stands, or later are not read."""
         self.raw, self.chunk, self.held, self.at = raw, chunk, b"", 0
+        self.stop, self.ended = stop, False
         first = raw.read(chunk)
+        self.read = len(first)
         self.inflate = zlib.decompressobj(31) if first[:2] == b"\x1f\x8b" else None
-        self.packed = first
+        self.packed, self.fresh = first, True  # fresh: between members
         self._more()
 
     def _more(self) -> bool:
@@ -129,7 +137,10 @@ class _Stream:
         self.at = 0
         while True:
             if not self.packed:
-                self.packed = self.raw.read(self.chunk)
+                self.packed = b"" if self.ended else self.raw.read(self.chunk)
+                self.read += len(self.packed)
+                if self.packed and self.inflate is not None and self.stop is not None and self.fresh and self.read - len(self.packed) >= self.stop:
+                    self.ended, self.packed = True, b""
                 if not self.packed:
                     self.held = rest
                     return False
@@ -137,10 +148,12 @@ class _Stream:
                 new, self.packed = self.packed, b""
             else:
                 new = self.inflate.decompress(self.packed, self.chunk)
-                self.packed = self.inflate.unconsumed_tail
+                self.packed, self.fresh = self.inflate.unconsumed_tail, False
                 if self.inflate.eof:
-                    self.packed = self.inflate.unused_data
+                    self.packed, self.fresh = self.inflate.unused_data, True
                     self.inflate = zlib.decompressobj(31)
+                    if self.packed and self.stop is not None and self.read - len(self.packed) >= self.stop:
+                        self.ended, self.packed = True, b""
             if new:
                 self.held = rest + new
                 return True
@@ -173,9 +186,35 @@ class _Stream:
                 raise ValueError("a WARC record ends before its block does")
 
 
-def read_records(raw, wanted, payload: bool) -> Iterator[tuple]:
-    """(record's values in the order of SCHEMA); ``wanted`` sees headers only."""
-    stream = _Stream(raw)
+MEMBER = b"\x1f\x8b\x08"
+
+
+def first_member(raw, start: int, stop: int, block: int = 1 << 20) -> int | None:
+    """Where the first gzip member in ``start`` to ``stop`` begins whose content begins with a WARC record; None without one."""
+    at, held = start, b""
+    raw.seek(start)
+    while True:
+        new = raw.read(block)
+        held += new
+        k = held.find(MEMBER)
+        while 0 <= k and (len(held) - k >= 512 or not new):
+            if at + k >= stop:
+                return None
+            try:
+                if zlib.decompressobj(31).decompress(held[k : k + 4096], 64).startswith(b"WARC/"):
+                    return at + k
+            except zlib.error:
+                pass
+            k = held.find(MEMBER, k + 1)
+        if not new or at + len(held) - 512 >= stop and k < 0:
+            return None
+        keep = len(held) - k if k >= 0 else min(len(held), len(MEMBER) - 1)
+        at, held = at + len(held) - keep, held[len(held) - keep :]
+
+
+def read_records(raw, wanted, payload: bool, stop: int | None = None) -> Iterator[tuple]:
+    """(record's values in the order of SCHEMA); ``wanted`` sees headers only, ``stop`` is as for ``_Stream``."""
+    stream = _Stream(raw, stop=stop)
     while True:
         line = stream.line()
         if line is None:
@@ -219,7 +258,11 @@ def read_records(raw, wanted, payload: bool) -> Iterator[tuple]:
 
 @dataclass
 class WarcFile(InputPartition):
+    """A file, or the members of it that start in a range of bytes."""
+
     path: str
+    start: int = 0
+    stop: int | None = None
 
 
 class WarcReader(DataSourceReader):
@@ -227,6 +270,7 @@ class WarcReader(DataSourceReader):
         self.columns = schema.fieldNames()
         self.where = options["path"]
         self.payload = "payload" in self.columns and options.get("payload", "true").lower() != "false"
+        self.split = int(options.get("splitBytes", 64 << 20))
         self.filters: list[tuple[str, tuple]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
@@ -247,10 +291,15 @@ class WarcReader(DataSourceReader):
         system, path = filesystem(self.where)
         info = system.get_file_info(path)
         if info.type == fs.FileType.File:
-            return [WarcFile(self.where)]
+            return self._ranges(self.where, info.size)
         found = system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
-        names = sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith((".warc", ".warc.gz")))
-        return [WarcFile(self.where.rstrip("/") + n.removeprefix(path.rstrip("/"))) for n in names] or [WarcFile("")]
+        files = sorted((f.path, f.size) for f in found if f.type == fs.FileType.File and f.path.endswith((".warc", ".warc.gz")))
+        return [r for name, size in files for r in self._ranges(self.where.rstrip("/") + name.removeprefix(path.rstrip("/")), size)] or [WarcFile("")]
+
+    def _ranges(self, path: str, size: int) -> list[WarcFile]:
+        if size <= self.split or not path.endswith(".gz"):
+            return [WarcFile(path)]
+        return [WarcFile(path, a, min(a + self.split, size)) for a in range(0, size, self.split)]
 
     def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
         if not partition.path:
@@ -271,8 +320,14 @@ class WarcReader(DataSourceReader):
             return pa.RecordBatch.from_arrays([pa.array(columns[k], kinds[names[k]]) for k in at], names=self.columns)
 
         system, path = filesystem(partition.path)
-        with system.open_input_stream(path, compression=None) as raw:
-            for row in read_records(raw, wanted, self.payload):
+        with system.open_input_file(path) as raw:
+            start, stop = partition.start, partition.stop
+            if start:
+                start = first_member(raw, start, stop)
+                if start is None:
+                    return
+                raw.seek(start)
+            for row in read_records(raw, wanted, self.payload, None if stop is None else stop - start):
                 rows.append(row)
                 size += 300 + len(row[-1] or b"")
                 if size >= 4 << 20:
@@ -283,7 +338,7 @@ class WarcReader(DataSourceReader):
 
 
 class WarcDataSource(DataSource):
-    """``spark.read.format("warc").load(folder)``; option payload=false never decodes payloads."""
+    """``spark.read.format("warc").load(folder)``; option payload=false never decodes payloads, splitBytes is the length of a range."""
 
     @classmethod
     def name(cls) -> str:
@@ -296,12 +351,20 @@ class WarcDataSource(DataSource):
         return WarcReader(schema, self.options)
 
 
-def read(spark: SparkSession, where: str, *, payload: bool = True) -> DataFrame:
-    """All records below ``where``, with filters pushed to the reader."""
+def read(spark: SparkSession, where: str, *, payload: bool = True, columns: tuple[str, ...] | None = None, split_bytes: int = 64 << 20) -> DataFrame:
+    """All records below ``where``, with filters pushed to the reader; of ``columns`` only, if given.
+
+    Without the column ``payload`` no payload is decoded. The session's setting that
+    lets Spark push filters to Python sources is set.
+    """
     bound_batches(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(where)
+    reader = spark.read.format("warc").option("payload", str(payload).lower()).option("splitBytes", split_bytes)
+    if columns is not None:
+        kinds = dict(part.split() for part in SCHEMA.split(", "))
+        reader = reader.schema(", ".join(f"{c} {kinds[c]}" for c in columns))
+    return reader.load(where)
 
 
 def archived(pages: DataFrame, *, where: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -92,3 +92,36 @@ def test_empty_table_and_folder(spark, pages, tmp_path):
 
 def test_local_uris():
     assert filesystem("file:///a/b")[1] == filesystem("file:/a/b")[1] == filesystem("/a/b")[1] == "/a/b"
+
+
+def test_ranges_of_a_file_hold_every_record_once(spark, tmp_path):
+    rows = [(k, f"http://a.example/{k}", f"<p>{k}</p>" * (k % 40 + 1)) for k in range(300)]
+    rows.append((300, "http://a.example/inner", "WARC/1.1 is no record here"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    where = f"file:{tmp_path}/w"
+    (one,) = warc.write(df, where).where("records > 0").collect()
+    size = (tmp_path / "w" / one.file.rsplit("/", 1)[1]).stat().st_size
+    want = sorted((k, html.encode()) for k, _, html in rows)
+    for split in (333, 4096, size - 1, size, size + 1):
+        got = warc.read(spark, where, split_bytes=split)
+        assert sorted((r.page_id, bytes(r.payload)) for r in got.collect()) == want, split
+    assert warc.read(spark, where, split_bytes=4096).rdd.getNumPartitions() == -(-size // 4096)
+
+
+def test_first_member_is_found_across_blocks():
+    members = [warc._member(warc.record(k, "u", b"x" * (k * 37 % 200), "d", None), 1) for k in range(40)]
+    data = b"".join(members)
+    starts = [sum(map(len, members[:k])) for k in range(40)]
+    for start in range(1, len(data), 61):
+        want = next((s for s in starts if s >= start), None)
+        for stop in (len(data), start + 200):
+            found = warc.first_member(io.BytesIO(data), start, stop, block=97)
+            assert found == (want if want is not None and want < stop else None), (start, stop)
+
+
+def test_columns_decide_what_is_decoded(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, "v", "<p>b</p>")], "page_id long, url string, html string")
+    where = f"file:{tmp_path}/w"
+    warc.write(df, where)
+    got = warc.read(spark, where, columns=("target_uri", "page_id"))
+    assert got.columns == ["target_uri", "page_id"] and sorted(map(tuple, got.collect())) == [("u", 1), ("v", 2)]
