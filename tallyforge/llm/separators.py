@@ -115,7 +115,8 @@ def documents_of(spark: SparkSession, where: str, *, end_id: int = END_ID, dtype
     """
     bound_batches(spark)
     blocks = _blocks(spark, where, block_tokens, np.dtype(dtype).itemsize)
-    dealt = blocks.repartition(F.col("file"), F.col("block"))
+    # by number: rows of blocks are small, so Spark would join them all into one task, but their ids are not
+    dealt = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("file"), F.col("block"))
     found = stored(dealt.mapInArrow(_scan(where, end_id, dtype), "file string, block long, k long, tokens long, separators long, tail long"), "token-scan")
     order = Window.partitionBy("file").orderBy("block")
     before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)

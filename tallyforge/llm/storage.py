@@ -12,28 +12,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from tallyforge.session import ship
+from tallyforge.shared import filesystem, fresh_dir, session_dir, shared_dir, stored  # noqa: F401  used by the operators
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """URI of the shared folder, without a slash at its end."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def session_dir(spark: SparkSession) -> str:
-    """The part of the shared folder that this application writes to."""
-    return f"{shared_dir(spark)}/tallyforge-{spark.sparkContext.applicationId}"
-
-
-def fresh_dir(spark: SparkSession, tag: str) -> str:
-    return f"{session_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
 
 def remove_intermediates(spark: SparkSession) -> None:
     """Delete what this application stored; only when no result is still to be read."""
@@ -42,17 +25,6 @@ def remove_intermediates(spark: SparkSession) -> None:
         system.delete_dir(path)
 
 
-def stored(df: DataFrame, tag: str, **options: object) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again.
-
-    This cuts the lineage, survives lost executors, and lets the next join
-    shuffle both of its sides, so that Spark may split a skewed partition.
-    """
-    path = fresh_dir(df.sparkSession, tag)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 #: largest Arrow batch of texts that passes between Spark and Python
 BATCH_BYTES = 4 << 20
 
@@ -101,15 +73,6 @@ def _c_library():
         return None
 
 
-def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI; a bare path is a local one."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
 def publish(uri: str, write) -> None:
     """Write a file under a name of its own, then move it into place.
 
