@@ -1,8 +1,11 @@
 import datetime
 import zipfile
+import zlib
 from xml.etree import ElementTree
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tallyforge.sources import xlsx
 
@@ -38,3 +41,21 @@ def test_too_many_rows_leave_the_old_file(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="more than 2 rows"):
         xlsx.write_workbook({"s": spark.range(3)}, str(path))
     assert path.read_bytes() == b"old" and len(list(tmp_path.iterdir())) == 1
+
+
+def test_sheets_of_many_partitions_keep_their_order(spark, tmp_path):
+    sheet = spark.range(5000).selectExpr("id", "concat('row ', id) AS name", "id / 4 AS v").repartition(13).orderBy("id")
+    path = tmp_path / "mart.xlsx"
+    xlsx.write_workbook({"s": sheet, "t": sheet.limit(0)}, str(path))
+    with zipfile.ZipFile(path) as z:
+        assert z.testzip() is None  # every checksum, combined of those of its parts
+        assert [i.file_size for i in z.infolist()] == [len(z.read(i)) for i in z.infolist()]
+    _, got = cells(path, 1)
+    assert [r[0][1] for r in got] == ["id", *map(str, range(5000))] and got[77][1][1] == "row 76" and got[78][2][1] == "19.25"
+    assert len(cells(path, 2)[1]) == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=300), st.binary(max_size=300))
+def test_checksums_combine(a, b):
+    assert xlsx.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
