@@ -9,7 +9,7 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tallyforge.operators import page_tables, snapshots, stages
+from tallyforge.operators import page_tables, requests, snapshots, stages
 from tallyforge.plans.domain import oracle, table
 from tallyforge.plans.registry import query
 from tallyforge.shared import filesystem, fresh_dir, stored
@@ -109,7 +109,7 @@ def s14_runs(spark, d):
 @query(
     "s7_page_tables",
     """WITH t AS (
-  SELECT l_orderkey AS doc_id, l_linenumber, l_partkey, l_returnflag, l_quantity, count(*) OVER w AS n, count(*) FILTER (l_returnflag <> 'N') OVER w AS flags, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS row_no
+  SELECT l_orderkey AS doc_id, l_linenumber, l_partkey, l_returnflag, l_quantity, count(*) OVER w AS n, count(*) FILTER (l_returnflag <> 'N') OVER w AS flags, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)) AS INTEGER) AS row_no
   FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)
 )
 SELECT doc_id, 1 AS table_no, row_no, l_linenumber || '|' || l_partkey || CASE WHEN flags = 0 THEN '' WHEN l_returnflag = 'N' THEN '|' ELSE '|' || l_returnflag END || '|' || CAST(l_quantity AS BIGINT) AS cells FROM t WHERE n >= 2""",
@@ -146,3 +146,18 @@ def one_change(spark, d):
         return version["publications"].withColumnRenamed("status", f"{name}_status").join(n, "publication_id", "left").fillna(0, [f"{name}_issues"])
 
     return side(old, "old").join(side(new, "new"), "publication_id").select("publication_id", "old_status", "new_status", "old_issues", "new_issues")
+
+
+@query(
+    "m2_usage",
+    """WITH t AS (SELECT conv_id % 5 AS batch, coalesce(length(text), 0) AS n, turn FROM conversations),
+    s AS (SELECT batch, count(*) AS calls, CAST(sum(n) AS BIGINT) AS input, CAST(sum(n // 7) AS BIGINT) AS output, CAST(sum(CASE WHEN turn % 2 = 1 THEN n // 2 ELSE 0 END) AS BIGINT) AS cache_read, CAST(sum(CASE WHEN turn % 2 = 0 THEN n // 3 ELSE 0 END) AS BIGINT) AS cache_creation FROM t GROUP BY batch)
+    SELECT *, CASE WHEN input + cache_read + cache_creation > 0 THEN cache_read / (input + cache_read + cache_creation) END AS hit_ratio,
+           ((input + cache_read * 0.1::DOUBLE + cache_creation * 1.25::DOUBLE) * 3.0::DOUBLE + output * 15.0::DOUBLE) / 1000000 AS cost FROM s""",
+)
+def m2(spark, d):
+    """Tokens by the lengths of turns: answers of odd turns read the cache, those of even turns write it."""
+    n = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    said = F.struct(n.alias("input_tokens"), F.floor(n / 7).alias("output_tokens"), F.when(F.col("turn") % 2 == 1, F.floor(n / 2)).alias("cache_read_input_tokens"), F.when(F.col("turn") % 2 == 0, F.floor(n / 3)).alias("cache_creation_input_tokens"))
+    calls = table(spark, d, "conversations").select((F.col("conv_id") % 5).alias("batch"), said.alias("usage"))
+    return requests.usage(calls, "batch")

@@ -449,3 +449,35 @@ def test_files_beyond_a_column_are_digested(spark, tmp_path):
     assert got["huge.txt"][:2] == (3 << 30, "text/plain") and len(got["huge.txt"][2]) == 64
     assert got["empty.rtf"][2].startswith("e3b0c442") and got["a b.pdf"][1] == "application/pdf"
     assert set(got) == {"huge.txt", "a b.pdf", "empty.rtf"}
+
+
+# Model calls -------------------------------------------------------------------
+
+
+def test_bodies_of_requests(spark):
+    from tallyforge.operators import requests
+
+    schema = "system string, user_text string, pdf binary, images array<binary>, schema_name string, schema_description string, json_schema string"
+    rows = [
+        ('say "x"\n', "text\\ of\tpages é", None, None, "extract", "d", '{"type": "object"}'),
+        ("s", "t", b"%PDF", [], "extract", None, None),
+        ("s", None, b"%PDF", [b"\x89PNG", None], "extract", "d", "{}"),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    one, two, three = (json.loads(r[0]) for r in df.select(requests.request_body("m", max_tokens=9)).collect())
+    assert one["system"] == [{"type": "text", "text": 'say "x"\n', "cache_control": {"type": "ephemeral"}}]
+    assert one["messages"] == [{"role": "user", "content": [{"type": "text", "text": "text\\ of\tpages é"}]}]
+    assert one["tools"] == [{"name": "extract", "description": "d", "input_schema": {"type": "object"}}] and one["tool_choice"] == {"type": "tool", "name": "extract"}
+    assert (one["model"], one["max_tokens"], one["temperature"]) == ("m", 9, 0.0)
+    assert two["messages"][0]["content"] == [{"type": "document", "source": {"type": "base64", "media_type": "application/pdf", "data": "JVBERg=="}}, {"type": "text", "text": "t"}]
+    assert [c["type"] for c in three["messages"][0]["content"]] == ["image", "text"] and three["messages"][0]["content"][1]["text"] == ""
+    (hour, *_) = (json.loads(r[0]) for r in df.select(requests.request_body("m", cache_ttl="1h")).collect())
+    (never, *_) = (json.loads(r[0]) for r in df.select(requests.request_body("m", cache_ttl=None)).collect())
+    assert hour["system"][0]["cache_control"] == {"type": "ephemeral", "ttl": "1h"} and "cache_control" not in never["system"][0]
+
+
+def test_outcomes_of_calls(spark):
+    from tallyforge.operators import requests
+
+    df = spark.createDataFrame([(200, 1), (402, 1), (401, 3), (429, 1), (529, 3), (404, 1), (None, 1)], "status int, tries int")
+    assert [r[0] for r in df.select(requests.call_outcome(F.col("status"), F.col("tries"))).collect()] == ["answered", "unavailable", "unavailable", "again", "unavailable", "failed", "failed"]

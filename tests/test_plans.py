@@ -10,7 +10,7 @@ from tallyforge.plans.domain import table
 SF = "/root/testdata/sf0.001"
 # products with a side of a few rows by construction: four types, three standards, one row of totals
 SMALL_PRODUCTS = {"p11_applicable_metrics", "p14_probe_status", "j15_type_grid", "a20_probe_matrix", "a18_probe_summary", "a8_totals", "c7_failure_classes"}
-PYTHON = {"s4_log_ranges", "s14_member_runs", "w8_stage_outcomes", "s1_listing_rows", "s2_view_source", "s10_message_text", "s11_document_links", "s12_search_results", "s14_unpack", "f10_section", "f11_cleaned", "f21_outer_object", "j14_best_names", "m1_model_extraction"}
+PYTHON = {"s4_log_ranges", "w8_stage_outcomes", "s1_listing_rows", "s2_view_source", "s10_message_text", "s11_document_links", "s12_search_results", "s14_unpack", "f10_section", "f11_cleaned", "f21_outer_object", "j14_best_names", "m1_model_extraction"}
 
 
 def plan(df):
