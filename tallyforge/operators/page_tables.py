@@ -8,26 +8,29 @@ gaps-and-islands windows; what is sorted is a row a cell, never a character.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: blanks that part two cells
 GAP = 2
 
 
-def cells_of_lines(pages: DataFrame) -> DataFrame:
-    """A row per cell of the lines that have two or more: doc_id, page_number, line, first, last (without it), cell.
+def lines_of_cells(pages: DataFrame) -> DataFrame:
+    """The lines that have two cells or more: doc_id, page_number, line, cells (first, last without it, cell).
 
     A tab counts as two blanks.
     """
     lines = pages.select("doc_id", "page_number", F.posexplode(F.split(F.replace(F.col("page"), F.lit("\t"), F.lit("  ")), "\r?\n")).alias("line", "text"))
-    rows = lines.where(F.col("text").rlike(r"\S {2,}\S"))
-    pieces = F.split("text", r"(?<=  )(?=\S)")
-    starts = F.transform(pieces, lambda p, i: F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda n, q: n + F.length(q)))
-    cell = rows.select("doc_id", "page_number", "line", F.explode(F.arrays_zip(pieces.alias("text"), starts.alias("first"))).alias("c"))
-    text = F.regexp_replace("c.text", r"^\s+|\s+$", "")
-    lead = F.length("c.text") - F.length(F.ltrim("c.text"))
-    return cell.where(text != "").select("doc_id", "page_number", "line", (F.col("c.first") + lead).alias("first"), (F.col("c.first") + lead + F.length(text)).alias("last"), text.alias("cell"))
+    rows = lines.where(F.col("text").rlike(r"\S {2,}\S")).select("doc_id", "page_number", "line", F.split("text", r"(?<=  )(?=\S)").alias("pieces"))
+    starts = F.transform("pieces", lambda p, i: F.aggregate(F.slice("pieces", 1, i), F.lit(0), lambda n, q: n + F.length(q)))
+
+    def cell(piece: Column, start: Column) -> Column:
+        text = F.regexp_replace(piece, r"^\s+|\s+$", "")
+        first = start + F.length(piece) - F.length(F.ltrim(piece))
+        return F.struct(first.alias("first"), (first + F.length(text)).alias("last"), text.alias("cell"))
+
+    cells = F.filter(F.zip_with("pieces", starts, cell), lambda c: c["cell"] != "")
+    return rows.select("doc_id", "page_number", "line", cells.alias("cells"))
 
 
 def page_tables(pages: DataFrame, least_rows: int = 2) -> DataFrame:
@@ -37,11 +40,11 @@ def page_tables(pages: DataFrame, least_rows: int = 2) -> DataFrame:
     columns or more. Pages without tables, empty and null ones have no rows.
     """
     page = ["doc_id", "page_number"]
-    cells = cells_of_lines(pages)
     by_line = Window.partitionBy(*page).orderBy("line")
     # a table begins where the line before has no cells
     begins = F.coalesce((F.col("line") - F.lag("line").over(by_line) > 1).cast("int"), F.lit(1))
-    tabled = cells.withColumn("_b", begins).withColumn("table", F.sum("_b").over(by_line.rangeBetween(Window.unboundedPreceding, 0)))
+    lines = lines_of_cells(pages).withColumn("_b", begins).withColumn("table", F.sum("_b").over(by_line.rowsBetween(Window.unboundedPreceding, 0)))
+    tabled = lines.select(*page, "table", "line", F.inline("cells"))
     by_place = Window.partitionBy(*page, "table").orderBy("first", "last")
     reached = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     new = F.coalesce((F.col("first") - reached >= GAP).cast("int"), F.lit(1))
