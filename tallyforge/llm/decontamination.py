@@ -11,6 +11,10 @@ items have too few values for that: a document that has any of their shingles
 is a candidate. An item of fewer words than a shingle is looked up as the run
 of words that it is.
 
+A shingle with a word that no item has is in no item. So a document's words are
+looked up in the items' vocabulary, and only runs of its words are hashed; what
+is left out of a sketch could not have agreed, and candidates become no fewer.
+
 Items are taken in blocks of a bounded number of rows and bytes, one pass over
 the documents per block; nothing else is broadcast, and documents are never
 shuffled. (Sketching the documents once and joining the sketches with the items'
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.minhash import sliced
 from tallyforge.llm.storage import bound_batches, lean, stored
-from tallyforge.llm.texthash import NOT_WORD, distinct, mix, shared, shingles_of, words
+from tallyforge.llm.texthash import NOT_WORD, distinct, known_words, mix, shared, shingles_of, words
 
 SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
 #: largest number of shingles of each partition's items, and bins of its sketches
@@ -87,20 +91,45 @@ class Values:
         return self.owners[self.begins[place] : self.begins[place + 1]].tolist()
 
 
+@dataclass
+class Found:
+    """The shingles of some documents that have only words of items, by document and place."""
+
+    doc: np.ndarray
+    place: np.ndarray
+    h: np.ndarray  # both lanes
+    counts: np.ndarray  # shingles of each document, these and others
+
+    def of(self, d: int) -> slice:
+        return slice(*np.searchsorted(self.doc, [d, d + 1]))
+
+    @classmethod
+    def all(cls, h: np.ndarray, counts: np.ndarray) -> Found:
+        """Documents of which every shingle is there; ``h`` is one lane."""
+        place = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return cls(np.repeat(np.arange(len(counts)), counts), place, h[:, None], counts)
+
+
 @dataclass
 class ItemIndex:
     """One block of items, sketched; what a task carries."""
 
     ids: list[int | None] = field(default_factory=list)
     sets: list[np.ndarray] = field(default_factory=list)
+    vocabulary: dict[bytes, int] = field(default_factory=dict)
+    hashes: np.ndarray = field(default_factory=lambda: np.empty((0, 2), np.uint64))  # of the vocabulary
     sketches: dict[int, Values] = field(default_factory=dict)  # by partition
     short: dict[int, Values] = field(default_factory=dict)  # items of fewer words than a shingle, by their number of words
 
     @classmethod
     def build(cls, items: list[tuple[int | None, str | None]], size: int) -> ItemIndex:
         out, texts = cls(), [(t or "").encode("utf-8", "surrogatepass") for _, t in items]
-        hashed, n_words = words(texts, NOT_WORD)
-        h, counts = shingles_of(hashed, n_words, size)
+        for t in texts:
+            for word in t.translate(NOT_WORD).split():
+                out.vocabulary.setdefault(word, len(out.vocabulary))
+        out.hashes = words(list(out.vocabulary), NOT_WORD)[0]
+        numbers, n_words = known_words(texts, out.vocabulary, NOT_WORD)
+        h, counts = shingles_of(out.hashes[numbers], n_words, size)
         at, found, short = 0, {}, {}
         for (item_id, _), n, length in zip(items, counts, n_words, strict=True):
             s = distinct(h[at : at + n])
@@ -124,17 +153,34 @@ class ItemIndex:
         out.short = {length: Values.of(*group) for length, group in short.items()}
         return out
 
-    def runs(self, hashes: np.ndarray, n_words: np.ndarray) -> Iterator[tuple[int, int]]:
+    def shingles(self, numbers: np.ndarray, n_words: np.ndarray, size: int) -> Found:
+        """The shingles of ``size`` words of documents whose words are ``numbers`` of the vocabulary."""
+        known = np.concatenate([[0], np.cumsum(numbers >= 0)])
+        counts = np.maximum(n_words - size + 1, 0)
+        first = np.cumsum(n_words) - n_words
+        doc = np.repeat(np.arange(len(counts)), counts)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+        start = first[doc] + place
+        whole = known[start + size] - known[start] == size
+        doc, place, start = doc[whole], place[whole], start[whole]
+        at = (start[:, None] + np.arange(size)).ravel()
+        h, _ = shingles_of(self.hashes[numbers[at]], np.full(len(start), size), size)
+        return Found(doc, place, h, counts)
+
+    def runs(self, numbers: np.ndarray, n_words: np.ndarray) -> Iterator[tuple[int, int]]:
         """(document, item) pairs of which the document has the item's words in a row, for items shorter than a shingle."""
         for length, index in self.short.items():
-            h, counts = shingles_of(hashes, n_words, length, at_most=False)
-            doc = np.repeat(np.arange(len(n_words)), counts)
+            s = self.shingles(numbers, n_words, length)
             found: set[tuple[int, int]] = set()
-            for k, place in zip(*index.hits(h[:, 0]), strict=True):
-                found.update((int(doc[k]), item) for item in index.items(place) if (self.sets[item][0] == h[k]).all())
+            for k, place in zip(*index.hits(s.h[:, 0]), strict=True):
+                found.update((int(s.doc[k]), item) for item in index.items(place) if (self.sets[item][0] == s.h[k]).all())
             yield from found
 
     def candidates(self, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
+        """``pairs`` of documents of which every shingle is given."""
+        return self.pairs(Found.all(h, counts))
+
+    def pairs(self, s: Found) -> set[tuple[int, int]]:
         """(document, item) pairs of which a window and the item agree in a bin.
 
         Documents are taken together up to ``SEGMENT`` shingles; a longer one is
@@ -142,25 +188,32 @@ class ItemIndex:
         """
         overlap = 2 * max(self.sketches, default=0)
         segment = max(SEGMENT, overlap)
-        begins = np.cumsum(counts) - counts
         found: set[tuple[int, int]] = set()
-        d = 0
+        d, counts = 0, s.counts
         while d < len(counts):
             if counts[d] > segment:
-                for s in range(0, int(counts[d]), segment):
-                    part = h[begins[d] + max(0, s - overlap) : begins[d] + min(int(counts[d]), s + segment)]
-                    found.update((d, i) for _, i in self._agreeing(part, np.array([len(part)])))
+                own = s.of(d)
+                place, h = s.place[own], s.h[own, 0]
+                for a in range(0, int(counts[d]), segment):
+                    begin, end = max(0, a - overlap), min(int(counts[d]), a + segment)
+                    i, j = np.searchsorted(place, [begin, end])
+                    found.update((d, item) for _, item in self._meeting(np.zeros(j - i, np.int64), place[i:j] - begin, h[i:j], np.array([end - begin])))
                 d += 1
                 continue
             e = d + max(1, int(np.searchsorted(np.cumsum(counts[d:]), segment, side="right")))
-            found.update((d + k, i) for k, i in self._agreeing(h[begins[d] : begins[e - 1] + counts[e - 1]], counts[d:e]))
+            own = slice(*np.searchsorted(s.doc, [d, e]))
+            found.update((d + k, item) for k, item in self._meeting(s.doc[own] - d, s.place[own], s.h[own, 0], counts[d:e]))
             d = e
         return found
 
     def _agreeing(self, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
-        doc = np.repeat(np.arange(len(counts)), counts)
-        position = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
+        s = Found.all(h, counts)
+        return self._meeting(s.doc, s.place, h, counts)
+
+    def _meeting(self, doc: np.ndarray, position: np.ndarray, h: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
         found: set[tuple[int, int]] = set()
+        if not len(h):
+            return found
         for size, index in self.sketches.items():
             bins = bins_of(size)
             b, v = sketch_parts(h, bins)
@@ -184,17 +237,17 @@ class ItemIndex:
 def _search(index: ItemIndex, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in sliced(batches, 1 << 18):
-            hashed = words(texts, NOT_WORD)
-            h, counts = shingles_of(*hashed, size)
-            ends, rows, sets = np.cumsum(counts), [], {}
-            for d, item in sorted(index.candidates(h[:, 0], counts)):
+            numbered = known_words(texts, index.vocabulary, NOT_WORD)
+            s = index.shingles(*numbered, size)
+            rows, sets = [], {}
+            for d, item in sorted(index.pairs(s)):
                 if d not in sets:
-                    sets = {d: distinct(h[ends[d] - counts[d] : ends[d]])}
+                    sets = {d: distinct(s.h[s.of(d)])}
                 wanted = index.sets[item]
                 both = shared(wanted, sets[d])
                 if 100 * both >= percent * len(wanted):
                     rows.append((ids[d], index.ids[item], len(wanted), both, both / len(wanted)))
-            rows += [(ids[d], index.ids[item], 1, 1, 1.0) for d, item in index.runs(*hashed)]
+            rows += [(ids[d], index.ids[item], 1, 1, 1.0) for d, item in index.runs(*numbered)]
             if rows:
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "n_item_shingles", "n_shared", "containment"])

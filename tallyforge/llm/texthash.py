@@ -8,6 +8,8 @@ different words alike, as a polynomial hash has it.
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import xxhash
 
@@ -58,6 +60,17 @@ def words(texts: list[bytes], between: bytes = BLANK) -> tuple[np.ndarray, np.nd
     return np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), counts
 
 
+def known_words(texts: list[bytes], vocabulary: dict[bytes, int], between: bytes = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each word of all texts in a vocabulary, -1 for others; how many words each text has."""
+    numbers, counts = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        for part in _chunks(text.translate(between)):
+            found = part.split()
+            counts[k] += len(found)
+            numbers.append(np.fromiter(map(vocabulary.get, found, repeat(-1)), np.int32, len(found)))
+    return np.concatenate(numbers), counts
+
+
 def shingles(texts: list[bytes], size: int, between: bytes = BLANK, at_most: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``size`` words (shingles x 2 lanes); counts per text.
 
