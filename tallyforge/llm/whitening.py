@@ -25,8 +25,8 @@ from tallyforge.llm import doubledouble as dd
 from tallyforge.llm.storage import Batches, bound_batches, lean, stored
 from tallyforge.llm.vectors import finite_rows, whole_numbers
 
-#: products held at once
-PRODUCTS = 1 << 18
+#: entries of vectors whose products are held at once
+PRODUCTS = 1 << 16
 LONGEST = (1 << 63) - 1
 
 
@@ -97,23 +97,22 @@ def _sums(size: int):
 
 
 def _products(fit: Whitening, size: int):
-    first, second = np.triu_indices(size)
-
     def run(batches: Batches) -> Batches:
-        total = np.zeros(len(first)), np.zeros(len(first))
+        total = np.zeros((size, size)), np.zeros((size, size))  # above the diagonal
         n = np.float64(fit.n), np.float64(0)
-        step = max(1, PRODUCTS // len(first))
+        step = max(1, PRODUCTS // size)
         for batch in batches:
             x = _matrix(batch[0], size)
             for k in range(0, len(x), step):
                 high, low = dd.div(dd.of_integers(fit.deviations(x[k : k + step])), n)
-                parts = dd.halves(high)
-                p, e = dd.two_prod(high[:, first], high[:, second], tuple(h[:, first] for h in parts), tuple(h[:, second] for h in parts))
-                e += high[:, first] * low[:, second] + low[:, first] * high[:, second]
-                total = dd.add(total, dd.sum_rows(dd.quick_two_sum(p, e)))
+                upper, lower = dd.halves(high)
+                for i in range(size):
+                    own, rest = slice(i, i + 1), slice(i, size)
+                    p, e = dd.two_prod(high[:, own], high[:, rest], (upper[:, own], lower[:, own]), (upper[:, rest], lower[:, rest]))
+                    e += high[:, own] * low[:, rest] + low[:, own] * high[:, rest]
+                    total[0][i, rest], total[1][i, rest] = dd.add((total[0][i, rest], total[1][i, rest]), dd.sum_rows(dd.quick_two_sum(p, e)))
         task = TaskContext.get()
-        ends = np.cumsum(np.arange(size, 0, -1))[:-1]
-        columns = [pa.array([list(part) for part in np.split(v, ends)], pa.list_(pa.float64())) for v in total]
+        columns = [pa.array([v[i, i:] for i in range(size)], pa.list_(pa.float64())) for v in total]
         yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array([task.partitionId() if task else 0] * size, pa.int32()), *columns], names=["i", "task", "high", "low"])
 
     return lean(run)
