@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import difflib
-from collections import Counter
+import heapq
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,13 +90,14 @@ def best_names(pairs: DataFrame, n: int = 3) -> DataFrame:
 
 
 class NameIndex:
-    """Names in lower case, by character: for each character the names that hold it, with its places as bits.
+    """Names in lower case as a tree of prefixes, a tree for each length, grown where a search comes.
 
     Matching blocks of two names follow one another in both, so they are a
     common subsequence: twice the length of the longest one over both lengths
-    is never below the ratio. It is computed for all names at once, a step a
-    character of the target. Names of more than 64 characters have their shared
-    characters as bound instead.
+    is never below the ratio. Of a node only the prefix is known; each character
+    that a name may still have, or the target's at its end, counts as matched.
+    Nodes are taken by this bound, those of earlier names first among equals, so
+    a search ends once no name left can be among the best.
     """
 
     def __init__(self, names: list[tuple[int, str | None]], n: int):
@@ -104,52 +106,68 @@ class NameIndex:
             same = by_name.setdefault((name or "").lower().strip(), [])
             if len(same) < n:  # of equal names only the first n can be among the best
                 same.append((position, name))
-        self.names, self.n, self.scored = list(by_name.items()), n, 0
-        self.lengths = np.array([len(low) for low, _ in self.names])
-        self.first = np.array([same[0][0] for _, same in self.names])
-        self.short = self.lengths <= 64
-        places: dict[str, dict[int, int]] = {}
-        self.long: dict[int, Counter] = {}
-        for k, (low, _) in enumerate(self.names):
-            if not self.short[k]:
-                self.long[k] = Counter(low)
-                continue
-            for i, c in enumerate(low):
-                own = places.setdefault(c, {})
-                own[k] = own.get(k, 0) | 1 << i
-        self.places = {c: (np.fromiter(own, np.int64), np.fromiter(own.values(), np.uint64)) for c, own in places.items()}
-
-    def common(self, target: str) -> np.ndarray:
-        """An upper bound on the matched characters of each name."""
-        v = np.full(len(self.names), ~np.uint64(0))
-        for c in target:
-            if c in self.places:
-                k, m = self.places[c]
-                own = v[k]
-                u = own & m
-                v[k] = (own + u) | (own - u)
-        found = np.bitwise_count(~v).astype(np.int64)
-        if self.long:
-            have = Counter(target)
-            for k, own in self.long.items():
-                found[k] = (have & own).total()
-        return found
+        self.names = sorted(by_name, key=lambda low: (len(low), low))
+        self.rows = [by_name[low] for low in self.names]
+        self.first = np.array([same[0][0] for same in self.rows])
+        self.n, self.scored, self.visited = n, 0, 0
+        self.roots, at = [], 0
+        while at < len(self.names):
+            end = bisect_right(self.names, len(self.names[at]), at, key=len)
+            self.roots.append(self._node(at, end, 0))
+            at = end
+
+    def _node(self, low: int, high: int, begin: int) -> list:
+        """First position, range of names, characters from ``begin`` that all of them share, their end, children."""
+        a, b, end = self.names[low], self.names[high - 1], begin
+        while end < len(a) and a[end] == b[end]:
+            end += 1
+        return [int(self.first[low:high].min()), low, high, a[begin:end], end, None]
+
+    def _children(self, node: list) -> list[list]:
+        if node[5] is None:
+            _, low, high, _, end, _ = node
+            node[5] = []
+            while low < high:
+                to = bisect_right(self.names, self.names[low][end], low, high, key=lambda name: name[end])
+                node[5].append(self._node(low, to, end))
+                low = to
+        return node[5]
 
     def best(self, target: str | None) -> list[tuple[float, int, str | None]]:
         """(minus ratio, position, name) of the ``n`` most alike, earlier ones first among equals."""
         low = (target or "").lower().strip()
-        both = self.lengths + len(low)
-        bound = np.where(both > 0, 2.0 * self.common(low) / np.maximum(both, 1), 1.0)
+        size, places = len(low), {}
+        for i, c in enumerate(low):
+            places[c] = places.get(c, 0) | 1 << i
+        every, heap = (1 << size) - 1, []
+
+        def reach(node: list, v: int) -> None:
+            """The node with its bound; the zeros of ``v`` are the characters of the target that are matched."""
+            for c in node[3]:
+                own = v & places.get(c, 0)
+                v = (v + own) | (v - own)
+            v &= every
+            whole = len(self.names[node[1]])
+            rest = whole - node[4]
+            most = size if rest >= size else (~v & (1 << size - rest) - 1).bit_count() + rest
+            self.visited += 1
+            heapq.heappush(heap, (-2.0 * most / (size + whole) if size + whole else -1.0, node[0], node[1], node[4], node, v))
+
+        for root in self.roots:
+            reach(root, every)
         m, best = difflib.SequenceMatcher(None, low, ""), []
-        for k in np.lexsort((self.first, -bound)).tolist():
-            if len(best) == self.n and (-bound[k], self.first[k]) > best[-1][:2]:
-                if -bound[k] > best[-1][0]:
-                    break
+        while heap:
+            minus, first, at, _, node, v = heapq.heappop(heap)
+            if len(best) == self.n and (minus, first) > best[-1][:2]:
+                break
+            if node[2] - at > 1:
+                for child in self._children(node):
+                    reach(child, v)
                 continue
-            m.set_seq2(self.names[k][0])
+            m.set_seq2(self.names[at])
             self.scored += 1
             minus = -m.ratio()
-            best += [(minus, position, name) for position, name in self.names[k][1]]
+            best += [(minus, position, name) for position, name in self.rows[at]]
             best.sort(key=lambda x: x[:2])
             del best[self.n :]
         return best
@@ -168,17 +186,20 @@ def _best_of_group(n: int):
     return run
 
 
-def best_of_all(targets: DataFrame, names: DataFrame, n: int = 3, block_rows: int = 20_000, group_rows: int = 2_000) -> DataFrame:
+def best_of_all(targets: DataFrame, names: DataFrame, n: int = 3, block_rows: int = 400_000, group_rows: int = 50_000, least_rows: int = 2_000) -> DataFrame:
     """J14 of every distinct target against all names (position, name): the result of ``best_names``.
 
-    Names are dealt into blocks of about ``block_rows``; every group of about
-    ``group_rows`` targets meets each block once, in a task that indexes the block and
-    scores only the names whose bound may still enter the ``n`` best. What leaves
-    a task is ``n`` rows a target. Only two counts come to the driver.
+    Names are dealt into blocks of about ``block_rows``; every group of targets
+    meets each block once, in a task that indexes the block and visits only
+    the prefixes whose bound may still enter the ``n`` best. Groups have about
+    ``group_rows`` targets, or fewer (down to ``least_rows``) where that makes no
+    more groups than shuffle partitions, as each block is sent to every group. What
+    leaves a task is ``n`` rows a target. Only two counts come to the driver.
     """
     asked = targets.select("target").distinct()
     blocks = max(1, -(-names.count() // block_rows))
-    groups = max(1, -(-asked.count() // group_rows))
+    rows, partitions = asked.count(), int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(1, -(-rows // group_rows), min(partitions, -(-rows // least_rows)))
     dealt_names = names.select(F.col("position").cast("long"), "name", F.pmod(F.xxhash64("position", "name"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
     dealt = asked.select("target", F.pmod(F.xxhash64("target"), F.lit(groups)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     scored = dealt_names.groupBy("block", "part").cogroup(dealt.groupBy("block", "part")).applyInArrow(_best_of_group(n), "target string, position long, name string, score double")

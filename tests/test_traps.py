@@ -335,3 +335,11 @@ def test_best_names_of_all_names(spark):
     assert sorted(map(tuple, got.select("target", "place", "name", "position", "score").collect())) == want
     asked, all_names = spark.createDataFrame([(t,) for t in targets], "target string"), spark.createDataFrame(names, "position long, name string")
     assert sorted(map(tuple, listings.best_of_all(asked, all_names, block_rows=4).select("target", "place", "name", "position", "score").collect())) == want
+
+
+def test_a_search_among_many_names_visits_few():
+    names = [(k, f"Supplier#{k:09d}") for k in range(1, 20_001)]
+    index = listings.NameIndex(names, 3)
+    for k in (1, 777, 20_000, 123_456, 299_999):
+        assert len(index.best(f"Customer#{k:09d}")) == 3
+    assert index.scored < 50 and index.visited < 2_500
