@@ -334,6 +334,14 @@ def test_pages_of_two_tables_and_none(spark):
     assert sorted(got, key=str) == sorted([(1, 1, 1, 1, ["Assets", "2023", "2022"]), (1, 1, 1, 2, ["cash", "10", "20"]), (1, 1, 1, 3, ["other debts", None, "5"]), (1, 1, 2, 1, ["a", "b"]), (1, 1, 2, 2, ["c", "d"]), (None, 1, 1, 1, ["x", "y"]), (None, 1, 1, 2, ["z", "w"])], key=str)
 
 
+def test_tables_of_pages_need_no_shuffle(spark):
+    df = spark.createDataFrame([(1, 1, "a   b\nc   d\ntext\ne   f\ng   h"), (1, 2, None)], "doc_id long, page_number int, page string")
+    found = page_tables.page_tables(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert sorted((r.table_no, r.row_no, r.cells) for r in found.collect()) == [(1, 1, ["a", "b"]), (1, 2, ["c", "d"]), (2, 1, ["e", "f"]), (2, 2, ["g", "h"])]
+
+
 # Versions --------------------------------------------------------------------
 
 
