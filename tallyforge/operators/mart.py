@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def metric_sheet(metrics: DataFrame, documents: DataFrame, publications: DataFrame) -> DataFrame:
-    """Metrics with their document and publication; those without a document are not exported."""
+    """Metrics with their document and publication; those without a document are not exported.
+
+    Where metrics are made of rows that share a source, those rows may be given instead and spread afterwards.
+    """
     d = documents.select("document_id", "publication_id", "relative_path")
     p = publications.select("publication_id", "publication_date", "is_incomplete")
     return metrics.join(d, metrics["source_document_id"] == d["document_id"]).drop("document_id").join(p, "publication_id")

@@ -11,11 +11,27 @@ import re
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 _LINE_KEY = "l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE), CAST(round(l_extendedprice * 100) AS BIGINT), CAST(l_quantity AS BIGINT)"
 
+#: a period's sums as its metrics: columns, and the rows to multiply with
+_METRIC_COLUMNS = """
+        SELECT md5(concat_ws('|', ticker, reporting_date, period_type, reporting_standard, metric_name)) AS metric_id, ticker, reporting_date, period_type, reporting_standard, metric_name,
+               CASE metric_name
+                 WHEN 'revenue' THEN CASE WHEN k % 17 = 0 THEN -1 ELSE 1 END * CAST(net AS DOUBLE) / CAST(10000 AS DOUBLE)
+                 WHEN 'net_income' THEN CASE WHEN k % 7 = 0 THEN NULL ELSE CAST(net AS DOUBLE) / CAST(100000 AS DOUBLE) END
+                 WHEN 'total_assets' THEN CASE WHEN k % 23 = 0 THEN -1 ELSE 1 END * CAST(gross AS DOUBLE) / CAST(100 AS DOUBLE)
+                 WHEN 'total_equity' THEN CAST(gross AS DOUBLE) * CAST(4 AS DOUBLE) / CAST(1000 AS DOUBLE)
+                 ELSE CAST(gross AS DOUBLE) * CAST(CASE WHEN k % 6 = 0 THEN 7 ELSE 6 END AS DOUBLE) / CAST(1000 AS DOUBLE) END AS value,
+               CASE WHEN k % 13 = 0 AND metric_name = 'revenue' THEN 'USD' ELSE 'RUB' END AS currency,
+               CASE WHEN k % 11 = 0 AND metric_name = 'total_assets' THEN 'thousands' ELSE 'RUB' END AS unit,
+               CASE WHEN k % 29 = 0 THEN NULL ELSE source_document_id END AS source_document_id"""
+_METRIC_NAMES = """CROSS JOIN (VALUES ('revenue'), ('net_income'), ('total_assets'), ('total_equity'), ('total_liabilities')) AS m(metric_name)
+        WHERE NOT (k % 19 = 0 AND metric_name = 'total_liabilities')"""
+
 VIEWS: dict[str, str | tuple[str, str]] = {
     "tickers": """
         SELECT concat('EDX', c_custkey) AS ticker, CAST(c_custkey AS STRING) AS e_disclosure_id, c_name AS name,
@@ -41,7 +57,19 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                CAST(l_quantity AS INT) - 1 AS page_count, CAST(least(l_linenumber, l_quantity - 1) AS INT) AS scan_pages_count,
                CAST(l_quantity - 1 - least(l_linenumber, l_quantity - 1) AS INT) AS text_pages_count, l_linenumber AS line
         FROM {{lineitem}} JOIN {{publications}} ON l_orderkey = seq""",
-    "period_sums": f"""
+    # in Spark the lines of an order are summed before they meet it, most of them in the task that reads them
+    "period_sums": (
+        f"""
+        SELECT concat('EDX', o_custkey) AS ticker,
+               CAST(concat(year(o_orderdate), CASE quarter(o_orderdate) WHEN 1 THEN '-03-31' WHEN 2 THEN '-06-30' WHEN 3 THEN '-09-30' ELSE '-12-31' END) AS DATE) AS reporting_date,
+               concat('Q', quarter(o_orderdate)) AS period_type, CASE o_orderkey % 3 WHEN 0 THEN 'IFRS' WHEN 1 THEN 'RSBU' ELSE 'ISSUER' END AS reporting_standard,
+               max(o_custkey + year(o_orderdate) * 4 + quarter(o_orderdate) + o_orderkey % 3) AS k,
+               CAST(sum(net) AS BIGINT) AS net, CAST(sum(gross) AS BIGINT) AS gross, max(source_document_id) AS source_document_id
+        FROM (SELECT l_orderkey, sum(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round((1 - l_discount) * 100) AS BIGINT)) AS net,
+                     sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS gross, max(md5(concat_ws('|', {_LINE_KEY}))) AS source_document_id
+              FROM {{lineitem}} GROUP BY l_orderkey) x
+        JOIN {{orders}} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4""",
+        f"""
         SELECT concat('EDX', o_custkey) AS ticker,
                CAST(concat(year(o_orderdate), CASE quarter(o_orderdate) WHEN 1 THEN '-03-31' WHEN 2 THEN '-06-30' WHEN 3 THEN '-09-30' ELSE '-12-31' END) AS DATE) AS reporting_date,
                concat('Q', quarter(o_orderdate)) AS period_type, CASE o_orderkey % 3 WHEN 0 THEN 'IFRS' WHEN 1 THEN 'RSBU' ELSE 'ISSUER' END AS reporting_standard,
@@ -50,19 +78,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS gross,
                max(md5(concat_ws('|', {_LINE_KEY}))) AS source_document_id
         FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4""",
-    "metrics": """
-        SELECT md5(concat_ws('|', ticker, reporting_date, period_type, reporting_standard, metric_name)) AS metric_id, ticker, reporting_date, period_type, reporting_standard, metric_name,
-               CASE metric_name
-                 WHEN 'revenue' THEN CASE WHEN k % 17 = 0 THEN -1 ELSE 1 END * CAST(net AS DOUBLE) / CAST(10000 AS DOUBLE)
-                 WHEN 'net_income' THEN CASE WHEN k % 7 = 0 THEN NULL ELSE CAST(net AS DOUBLE) / CAST(100000 AS DOUBLE) END
-                 WHEN 'total_assets' THEN CASE WHEN k % 23 = 0 THEN -1 ELSE 1 END * CAST(gross AS DOUBLE) / CAST(100 AS DOUBLE)
-                 WHEN 'total_equity' THEN CAST(gross AS DOUBLE) * CAST(4 AS DOUBLE) / CAST(1000 AS DOUBLE)
-                 ELSE CAST(gross AS DOUBLE) * CAST(CASE WHEN k % 6 = 0 THEN 7 ELSE 6 END AS DOUBLE) / CAST(1000 AS DOUBLE) END AS value,
-               CASE WHEN k % 13 = 0 AND metric_name = 'revenue' THEN 'USD' ELSE 'RUB' END AS currency,
-               CASE WHEN k % 11 = 0 AND metric_name = 'total_assets' THEN 'thousands' ELSE 'RUB' END AS unit,
-               CASE WHEN k % 29 = 0 THEN NULL ELSE source_document_id END AS source_document_id
-        FROM {period_sums} CROSS JOIN (VALUES ('revenue'), ('net_income'), ('total_assets'), ('total_equity'), ('total_liabilities')) AS m(metric_name)
-        WHERE NOT (k % 19 = 0 AND metric_name = 'total_liabilities')""",
+    ),
+    "metrics": f"{_METRIC_COLUMNS}\n        FROM {{period_sums}} {_METRIC_NAMES}",
     "disclosures": """
         SELECT seq AS event_id, ticker, publication_date AS event_date, publication_date, CASE seq % 3 WHEN 0 THEN 'dividends' WHEN 1 THEN 'management_change' ELSE 'rumour' END AS event_type,
                concat('event ', seq) AS summary, CASE WHEN seq % 2 = 0 THEN concat('{"per_share_rub":', seq % 50, '}') END AS key_params_json, publication_id AS source_publication_id
@@ -106,9 +123,16 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                'report' AS publication_type, CAST(o_orderdate AS DATE) AS publication_date, 'new' AS file_hash, 'discovered' AS status, CAST(NULL AS STRING) AS last_error, 0 AS is_incomplete,
                CAST(2 + o_orderkey % 4 AS INT) AS report_type_code, CAST(year(o_orderdate) AS INT) AS reporting_period_year, concat('Q', quarter(o_orderdate)) AS reporting_period_type, o_orderkey AS seq
         FROM {orders} WHERE o_orderkey % 6 < 2""",
-    "metric_delta": """
+    "metric_delta": (
+        f"""
+        SELECT concat('new-', metric_id) AS metric_id, ticker, reporting_date, period_type, reporting_standard, metric_name, value + 1 AS value, currency, unit, d.document_id AS source_document_id
+        FROM {{metrics}} JOIN (
+            SELECT ticker AS t, max(document_id) AS document_id FROM (SELECT l_orderkey, max(md5(concat_ws('|', {_LINE_KEY}))) AS document_id FROM {{lineitem}} GROUP BY l_orderkey) x
+            JOIN {{publications}} ON l_orderkey = seq GROUP BY ticker) d ON ticker = t WHERE metric_name = 'revenue' AND period_type = 'Q1'""",
+        """
         SELECT concat('new-', metric_id) AS metric_id, ticker, reporting_date, period_type, reporting_standard, metric_name, value + 1 AS value, currency, unit, d.document_id AS source_document_id
         FROM {metrics} JOIN (SELECT ticker AS t, max(document_id) AS document_id FROM {filings} GROUP BY ticker) d ON ticker = t WHERE metric_name = 'revenue' AND period_type = 'Q1'""",
+    ),
     "before": "SELECT ticker, 5 AS publications_total, 2 AS written, 0 AS skipped, CAST(seq % 4 AS INT) AS metrics_rows, 1 AS qa_issues_count FROM (SELECT ticker, min(seq) AS seq FROM {publications} GROUP BY ticker) x",
     "after": """SELECT ticker, CAST(CASE WHEN seq % 5 = 0 THEN 0 ELSE 5 END AS INT) AS publications_total, CAST(CASE WHEN seq % 3 = 0 THEN 5 ELSE seq % 4 END AS INT) AS written, 0 AS skipped,
                CAST(CASE WHEN seq % 3 = 0 THEN 0 ELSE seq % 5 END AS INT) AS metrics_rows, CAST(seq % 3 AS INT) AS qa_issues_count, CAST(CASE WHEN seq % 7 = 0 THEN 1 ELSE 0 END AS INT) AS returncode
@@ -135,19 +159,32 @@ def _needs(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{([a-z_]+)\}", text)))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A provided table, or a domain view over them."""
+def _over(spark: SparkSession, text: str, parts: dict[str, DataFrame]) -> DataFrame:
+    for n, df in parts.items():
+        df.createOrReplaceTempView(f"_tf_{n}")
+    return spark.sql(re.sub(r"\{([a-z_]+)\}", lambda m: f"_tf_{m[1]}", text))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
+    """A provided table, or a domain view over them; ``given`` frames stand for the tables or views of their names."""
+    if name in given:
+        return given[name]
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = VIEWS[name]
     text = text if isinstance(text, str) else text[0]
-    parts = {n: table(spark, sf_dir, n) for n in _needs(text)}
-    names = {}
-    for n, df in parts.items():
-        names[n] = f"_tf_{n}"
-        df.createOrReplaceTempView(names[n])
-    body = re.sub(r"\{([a-z_]+)\}", lambda m: names[m[1]], text)
-    return spark.sql(body)
+    return _over(spark, text, {n: table(spark, sf_dir, n, **given) for n in _needs(text)})
+
+
+def sourced_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``period_sums`` with the source that its metrics name, null where they name none."""
+    return table(spark, sf_dir, "period_sums").withColumn("source_document_id", F.expr("CASE WHEN k % 29 = 0 THEN NULL ELSE source_document_id END"))
+
+
+def spread_metrics(spark: SparkSession, periods: DataFrame, *carried: str) -> DataFrame:
+    """The metrics of rows of ``period_sums``, with the columns of those rows that are ``carried`` along."""
+    more = "".join(f", {c}" for c in carried)
+    return _over(spark, f"{_METRIC_COLUMNS}{more} FROM {{periods}} {_METRIC_NAMES}", {"periods": periods})
 
 
 @cache

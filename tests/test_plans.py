@@ -42,3 +42,27 @@ def test_filters_reach_the_scan(spark):
 def test_counts_are_combined_before_the_shuffle(spark):
     p = plan(registry.queries()["a4_documents_of_ticker"](spark, SF))
     assert p.index("HashAggregate") < p.index("partial_count")
+
+
+def _physical(spark, name, sf="/root/testdata/sf0.001"):
+    return registry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["j2_export_mart", "t2_sheet_order", "k2_number_format", "d9_replace_metrics"])
+def test_periods_are_joined_before_their_metrics_are_spread(spark, name):
+    plan = _physical(spark, name)
+    assert plan.index("NestedLoopJoin") < min(k for k in (plan.find("SortMergeJoin"), plan.find("HashJoin")) if k >= 0)
+
+
+def test_lines_are_not_shuffled_for_one_ticker(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 200_000)  # less than the orders
+    try:
+        plan = _physical(spark, "p16_base_scan", "/root/testdata/sf0.1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(l_orderkey" not in plan and "lineitem" in plan
+
+
+def test_lines_are_read_once_for_their_route(spark):
+    assert _physical(spark, "p17_request_route").count("lineitem.parquet") == 1
