@@ -7,6 +7,7 @@ may hold a key twice, the row of the largest ``seq`` wins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -109,18 +110,41 @@ def replace_owned(state: DataFrame, delta: DataFrame, processed: DataFrame, owne
     return state.join(processed.select(owner).distinct(), owner, "left_anti").unionByName(delta.select(*state.columns))
 
 
+def not_sourced(rows: DataFrame, documents: DataFrame, publication_ids: DataFrame) -> DataFrame:
+    """Rows whose source is no document of the publications; those without a source stay."""
+    gone = documents.join(publication_ids.select("publication_id").distinct(), "publication_id", "left_semi").select(F.col("document_id").alias("source_document_id")).distinct()
+    return rows.join(gone, "source_document_id", "left_anti").select(*rows.columns)
+
+
+def _winners(delta: DataFrame) -> DataFrame:
+    return latest(delta, METRIC_KEY, "_seq" if "_seq" in delta.columns else "metric_id")
+
+
 def replace_metrics(metrics: DataFrame, delta: DataFrame, documents: DataFrame, publication_ids: DataFrame) -> DataFrame:
     """Drop metrics sourced from the publications' documents, then insert or replace by key.
 
     A key of the delta takes over the row of another publication; within the
     delta the largest ``_seq`` (or metric_id) wins.
     """
-    gone = documents.join(publication_ids.select("publication_id").distinct(), "publication_id", "left_semi").select(F.col("document_id").alias("source_document_id")).distinct()
-    kept = metrics.join(gone, "source_document_id", "left_anti").select(*metrics.columns)
-    new = latest(delta, METRIC_KEY, "_seq" if "_seq" in delta.columns else "metric_id").select(*metrics.columns)
+    kept = not_sourced(metrics, documents, publication_ids)
+    new = _winners(delta).select(*metrics.columns)
     return kept.join(new.select(*METRIC_KEY), list(METRIC_KEY), "left_anti").select(*metrics.columns).unionByName(new)
 
 
+def replace_of_periods(periods: DataFrame, spread: Callable[[DataFrame, str], DataFrame], delta: DataFrame, documents: DataFrame, publication_ids: DataFrame) -> DataFrame:
+    """D9 as ``replace_metrics``, where ``spread`` makes metrics of a row a period and carries a column along.
+
+    Joins are of periods: each meets the names of its metrics that the delta
+    replaces, and metrics are made of what is left.
+    """
+    period = [c for c in METRIC_KEY if c != "metric_name"]
+    new = _winners(delta)
+    names = new.groupBy(*period).agg(F.collect_set("metric_name").alias("_replaced"))
+    kept = not_sourced(periods.join(names, period, "left"), documents, publication_ids)
+    metrics = spread(kept, "_replaced").where(~F.coalesce(F.array_contains("_replaced", F.col("metric_name")), F.lit(False))).drop("_replaced")
+    return metrics.unionByName(new.select(*metrics.columns))
+
+
 def bump_failures(skiplist: DataFrame, failures: DataFrame) -> DataFrame:
     """Count failures up to GIVE_UP; manual and overlap entries keep their reason.
 
