@@ -48,3 +48,15 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(uri)
+
+
+#: bytes of an Arrow batch that is sent to a Python worker
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to ``BATCH_BYTES``; bounded by rows alone, they grow with the texts. A smaller bound stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.shared import filesystem
+from tallyforge.shared import bounded_batches, filesystem
 from tallyforge.sources.ranges import files_below
 
 # First bytes of archives.
@@ -74,7 +74,12 @@ MEMBERS = "path string, member string, file_hash string, size long, content bina
 
 def unpack(archives: DataFrame, max_bytes: int = 500 << 20, with_content: bool = True) -> DataFrame:
     """Members of zip archives (path, content). An archive with an unsafe path, of too large a
-    total or that cannot be read gives one row with its error and no members (W8)."""
+    total or that cannot be read gives one row with its error and no members (W8).
+
+    Archives come in batches bounded by bytes, and a member is read in blocks, so
+    without contents memory is a batch's and a block's.
+    """
+    bounded_batches(archives.sparkSession)
 
     def members(path: str, content: bytes) -> list[tuple]:
         out, total = [], 0
@@ -88,8 +93,14 @@ def unpack(archives: DataFrame, max_bytes: int = 500 << 20, with_content: bool =
                 total += m.file_size
                 if total > max_bytes:
                     raise ValueError(f"more than {max_bytes} bytes")
-                data = z.read(m)
-                out.append((path, m.filename, hashlib.sha256(data).hexdigest(), len(data), data if with_content else None, None))
+                data, digest, size = [], hashlib.sha256(), 0
+                with z.open(m) as f:
+                    while block := f.read(BLOCK):
+                        digest.update(block)
+                        size += len(block)
+                        if with_content:
+                            data.append(block)
+                out.append((path, m.filename, digest.hexdigest(), size, b"".join(data) if with_content else None, None))
         return out
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

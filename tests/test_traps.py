@@ -343,3 +343,14 @@ def test_a_search_among_many_names_visits_few():
     for k in (1, 777, 20_000, 123_456, 299_999):
         assert len(index.best(f"Customer#{k:09d}")) == 3
     assert index.scored < 50 and index.visited < 2_500
+
+
+def test_archives_come_in_batches_bounded_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, f"{64 << 20}b")
+    try:
+        got = registry.queries()["s14_unpack"](spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(key).rstrip("b")) <= 4 << 20 and got.where("file_hash is not null").count() > 0
+    finally:
+        spark.conf.set(key, before)
